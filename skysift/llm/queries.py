@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.llm import compression_classifier, quality_rules, slots, url_rules
+from skysift.llm import compression_classifier, packing, quality_rules, slots, token_counts, url_rules
 from skysift.llm.support import documents
 
 #: The rules that op6 judges by, as (action, host, path).
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file; SKYSIFT_TOKENIZERS names the folder, else the installed package has it."""
+    if folder := os.environ.get("SKYSIFT_TOKENIZERS"):
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return url_rules.judge_urls(pages, url_rules.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
@@ -63,7 +81,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_url_filters, op8_quality_rules, op9_sharding, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op4_token_counts, op6_url_filters, op8_quality_rules, op9_sharding, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
