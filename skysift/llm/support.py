@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Rows of one Arrow batch handed to Python; long texts make large rows, so batches stay short.
 BATCH_ROWS = 1000
 
@@ -35,7 +37,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # the shuffles of a written table are of no more use: let Spark drop their files when it is written
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
