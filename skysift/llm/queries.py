@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.llm import compression_classifier, packing, parity_join, quality_rules, slots, token_counts, url_rules
+from skysift.llm import compression_classifier, packing, parity_join, pii, quality_rules, slots, token_counts, url_rules
 from skysift.llm.support import documents
 
 #: The rules that op6 judges by, as (action, host, path).
@@ -36,6 +36,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.fit(docs))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return url_rules.judge_urls(pages, url_rules.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
@@ -85,7 +90,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op4_token_counts, op6_url_filters, op8_quality_rules, op9_sharding, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op4_token_counts, op5_pii, op6_url_filters, op8_quality_rules, op9_sharding, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
