@@ -45,6 +45,7 @@ def document_stats(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     has_word = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     first = docs.select(
         "doc_id",
+        F.xxhash64("text").alias("text_hash"),
         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"),
         F.regexp_extract_all(body, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("words"),
         has_word.alias("lines"),
@@ -53,6 +54,7 @@ def document_stats(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     )
     second = first.select(
         "doc_id",
+        "text_hash",
         "stratum",
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
@@ -68,7 +70,7 @@ def document_stats(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     )
     places = "sort_array(transform(filter(packed, (x, k) -> shiftright(x, bits) = shiftright(coalesce(get(packed, k - 1), ~x), bits) or shiftright(x, bits) = shiftright(coalesce(get(packed, k + 1), ~x), bits)), x -> x & (shiftleft(1L, bits) - 1)))"
     covered = f"if(size(packed) = 0, 0L, aggregate({places}, named_struct('s', 0L, 'last', -3L), (a, x) -> named_struct('s', a.s + least(3L, x - a.last), 'last', x), a -> a.s))"
-    return third.select("doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", F.expr(covered).cast("bigint").alias("n_repeat_words"))
+    return third.select("doc_id", "text_hash", "stratum", "n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", F.expr(covered).cast("bigint").alias("n_repeat_words"))
 
 
 def base_failed() -> Column:
@@ -114,10 +116,10 @@ def calibrate(stats: DataFrame, labels: DataFrame, risk: float = RISK, confidenc
         .agg(F.sum((F.col("quality") == 1).cast("bigint")).alias("good"), F.sum((F.col("hit") & (F.col("quality") == 1)).cast("bigint")).alias("hit_good"), F.sum((F.col("hit") & (F.col("quality") == 0)).cast("bigint")).alias("hit_bad"))
     )
     # the table has strata x rules x cutoffs rows from here on
-    chains = counts.agg((F.countDistinct("stratum") * len(cutoffs)).alias("chains"))
-    level = F.lit(1 - confidence) / F.greatest(F.col("chains"), F.lit(1))
+    counts = materialize(counts, "quality-tests")
+    level = F.lit((1 - confidence) / max(1, counts.select("stratum").distinct().count() * len(cutoffs)))
     chain = Window.partitionBy("stratum", "rule").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
-    tested = counts.crossJoin(F.broadcast(chains)).withColumn("p_value", binomial_tail("good", "hit_good", risk)).withColumn("stands", F.min((F.col("p_value") <= level).cast("int")).over(chain))
+    tested = counts.withColumn("p_value", binomial_tail("good", "hit_good", risk)).withColumn("stands", F.min((F.col("p_value") <= level).cast("int")).over(chain))
     best = Window.partitionBy("stratum", "rule").orderBy((F.col("hit_bad") - COST * F.col("hit_good")).desc(), "nth")
     return (
         tested.where((F.col("stands") == 1) & (F.col("hit_bad") > COST * F.col("hit_good")))
@@ -140,3 +142,10 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
     """Statistics are computed once, over all documents, and kept as a narrow table."""
     stats = materialize(document_stats(docs, stratum), "quality-stats")
     return judge(stats, materialize(calibrate(stats, labels), "quality-thresholds"))
+
+
+def keep_passing(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The rows of docs that pass all rules, with all their columns. Rows of one id and text share a fate."""
+    failed = judged(docs, labels, stratum).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__hash"))
+    return docs.join(failed, same, "left_anti")
