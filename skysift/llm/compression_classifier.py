@@ -78,12 +78,12 @@ def _design(features: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(features)), np.clip(features[:, 0], -0.2, 0.2), np.minimum(features[:, 1], 0.5)])
 
 
-def build_dictionary(blocks: list[bytes]) -> bytes:
+def build_dictionary(blocks: list[bytes], size: int = DICT_BYTES) -> bytes:
     """A trained dictionary, or the blocks themselves where they are too few to train on."""
     try:
-        return zstandard.train_dictionary(DICT_BYTES, blocks).as_bytes()
+        return zstandard.train_dictionary(size, blocks).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(blocks)[-DICT_BYTES:]
+        return b"".join(blocks)[-size:]
 
 
 def fit_logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> tuple[float, ...]:

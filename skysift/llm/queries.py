@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.llm import compression_classifier, packing, parity_join, pii, quality_rules, slots, token_counts, url_rules
+from skysift.llm import compression_classifier, packing, parity_join, payload_chunks, pii, quality_rules, slots, token_counts, url_rules
 from skysift.llm.support import documents
 
 #: The rules that op6 judges by, as (action, host, path).
@@ -66,6 +66,10 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM rank
 """
 
 
+def op7_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payload_chunks.media_features(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     out = quality_rules.judged(documents(spark, sf_dir), labels)
@@ -90,7 +94,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op4_token_counts, op5_pii, op6_url_filters, op8_quality_rules, op9_sharding, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op4_token_counts, op5_pii, op6_url_filters, op7_media_chunks, op8_quality_rules, op9_sharding, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
