@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.llm import compression_classifier, packing, parity_join, payload_chunks, pii, quality_rules, slots, token_counts, url_rules
+from skysift.llm import compression_classifier, packing, parity_join, payload_chunks, pii, quality_rules, slots, token_counts, url_rules, viterbi
 from skysift.llm.support import documents
 
 #: The rules that op6 judges by, as (action, host, path).
@@ -32,6 +32,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_components(documents(spark, sf_dir))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.round_trip(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -94,7 +98,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op4_token_counts, op5_pii, op6_url_filters, op7_media_chunks, op8_quality_rules, op9_sharding, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op3_sentencepiece, op4_token_counts, op5_pii, op6_url_filters, op7_media_chunks, op8_quality_rules, op9_sharding, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
