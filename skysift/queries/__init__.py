@@ -1,6 +1,6 @@
 """All registered queries; importing this package fills the registry."""
 
-from skysift.queries import flagging, joining, searching  # noqa: F401
+from skysift.queries import flagging, joining, scalars, searching  # noqa: F401
 from skysift.queries.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
