@@ -112,7 +112,7 @@ def splice(encoded: DataFrame) -> DataFrame:
     both = once.join(left, [*key, "chunk"], "left")
     places = lambda c: F.transform(c, lambda x: x["at"])
     common = F.array_min(F.array_intersect(places("left"), places("head")))
-    at = lambda c: F.filter(c, lambda x: x["at"] == F.col("common"))[0]["tokens"]
+    at = lambda c: F.get(F.filter(c, lambda x: x["at"] == F.col("common")), F.lit(0))["tokens"]
     part = both.withColumn("common", common).withColumn(
         "part", F.when(F.col("chunk") > 0, at("left") - at("head")).otherwise(0) + F.when(F.col("last"), F.col("n_tokens")).otherwise(0)
     )
