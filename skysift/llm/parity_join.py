@@ -202,8 +202,11 @@ def jaccard_components(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFra
     """doc_id, n_shingles and component_id of every row."""
     docs = docs.select("doc_id", "text")
     keys = materialize(keyed(docs, frequent_shingles(docs)), "keys")
-    classes = keys.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
-    ranks = materialize(keys.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n", "node"), "classes")
+    # only sets that several documents have; stored, so that the join below can split a frequent set's rows
+    classes = keys.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+    classes = materialize(classes.where("copies > 1").select("k1", "k2", "first"), "classes")
+    node = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id")).alias("node")
+    ranks = materialize(keys.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n", node), "ranks")
 
     # blocks of two documents or more
     rows = keys.where("doc_id is not null").select("doc_id", F.explode("blocks").alias("sig"))
