@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from skysift.llm.support import short_batches, text_rows
 
 #: Bytes of a block. A dictionary helps the start of a block most, so blocks are short.
-BLOCK = 1024
+BLOCK = 512
 #: Bytes of a dictionary.
-DICT_BYTES = 65_536
+DICT_BYTES = 131_072
 #: Labelled rows taken for the dictionaries (of each class), and blocks of them at most.
-DICT_ROWS, DICT_BLOCKS = 2000, 3000
+DICT_ROWS, DICT_BLOCKS = 2000, 6000
 #: Labelled rows for the calibration.
 CALIBRATION_ROWS = 6000
+#: Bytes added to the sum that the difference is divided by, so that a few bytes of a short text say little.
+EVEN = 64
 LEVEL = 1
 #: From this score on a text counts as good.
 CUT = 0.3
@@ -70,7 +72,7 @@ class Sizes:
                 continue
             blocks = [raw[k : k + BLOCK] for k in range(0, len(raw), BLOCK)]
             g, b = sum(len(good(x)) for x in blocks), sum(len(bad(x)) for x in blocks)
-            out[n] = (b - g) / (b + g), (b + g) / (2 * len(raw))
+            out[n] = (b - g) / (b + g + EVEN), (b + g) / (2 * len(raw))
         return out
 
 

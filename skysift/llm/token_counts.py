@@ -147,6 +147,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, chunk
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     body = body.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
     # a text of few bytes has few characters; the bytes decide, which every chunk still reaches
-    small = count_small(body.where(F.col("n_bytes") <= chunk), tokenizer_path)
     huge = count_huge(body.where(F.col("n_bytes") > chunk).withColumn("hash", F.xxhash64("text")), tokenizer_path, chunk, overlap)
+    small = count_small(body.where(F.col("n_bytes") <= chunk), tokenizer_path)  # last: it runs with the result, in full batches
     return small.unionByName(huge).withColumn("over_limit", F.col("n_tokens") > limit)
