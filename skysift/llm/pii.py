@@ -87,7 +87,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             out.append((0, start, done))
         at = text.find("@", done)
     if _DIGIT.search(text):
-        out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p := part.lstrip("0")) <= 3 and int(p or 0) <= 255 for part in m[0].split("."))]
         for m in _CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
             if 16 <= len(digits) <= 19 and luhn(digits):
