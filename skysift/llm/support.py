@@ -1,66 +1,18 @@
-"""Helpers shared by the corpus operators: durable intermediates and Arrow batches."""
+"""Helpers shared by the corpus operators: durable intermediates (of skysift.stored) and Arrow batches."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[tuple[SparkSession, str]] = []
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from skysift.stored import materialize, shared_dir  # noqa: F401
 
 #: Rows of one Arrow batch handed to Python; long texts make large rows, so batches stay short.
 BATCH_ROWS = 1000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or an own one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jvm.get() if jvm.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="skysift-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
-
-    The tables are removed when the driver process ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    # the shuffles of a written table are of no more use: let Spark drop their files when it is written
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _forget() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the JVM may have gone already
-            return
-
-
-atexit.register(_forget)
-
-
 def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the memory of a Python task: at most `rows` rows and 16 MB of input a batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

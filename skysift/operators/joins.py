@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skysift.stored import materialize
+
 
 def _buckets(low: Column, high: Column, width: float) -> Column:
     return F.explode(F.sequence(F.floor(low / width).cast("bigint"), F.floor(high / width).cast("bigint")))
@@ -35,8 +37,9 @@ def nearest(left: DataFrame, right: DataFrame, x: str, y: str, tolerance: float,
 def backward(left: DataFrame, right: DataFrame, x: str, y: str, carry: list[str], strict: bool = True) -> DataFrame:
     """The latest right row before each left row (strictly, or at the same time too).
 
-    Both sides are merged by time in one range-partitioned order. Within a partition the last right row
-    carries forward; the last one of each partition before carries across, from a table with one row a partition.
+    Both sides are merged by time in one range-partitioned order, stored with the partitions' numbers: each plan
+    that read it anew would number them in its own way. Within a partition the last right row carries forward;
+    the last one of each partition before carries across, from a table with one row a partition.
     """
     tag = F.struct(F.col(y).alias("at"), *[F.col(c) for c in carry])
     late = 1 if strict else 0
@@ -44,7 +47,7 @@ def backward(left: DataFrame, right: DataFrame, x: str, y: str, carry: list[str]
     b = right.select(F.col(y).cast("double").alias("__t"), F.lit(late if strict else 0).alias("__o"), tag.alias("__r"), F.lit(None).cast(a.schema["__l"].dataType).alias("__l"))
     if not strict:
         a = a.withColumn("__o", F.lit(1))
-    merged = a.unionByName(b).repartitionByRange("__t", "__o").withColumn("__p", F.spark_partition_id())
+    merged = materialize(a.unionByName(b).repartitionByRange("__t", "__o").withColumn("__p", F.spark_partition_id()), "merged")
     inside = Window.partitionBy("__p").orderBy("__t", "__o").rowsBetween(Window.unboundedPreceding, 0)
     filled = merged.withColumn("__here", F.last("__r", ignorenulls=True).over(inside))
     ends = merged.where("__r is not null").groupBy("__p").agg(F.max(F.struct("__t", "__o", "__r")).alias("e"))

@@ -5,8 +5,10 @@ import os
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from skysift.operators import joins
 
 FOLDER = os.environ.get("SKYSIFT_TEST_DATA", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -41,3 +43,23 @@ def test_joins_see_every_file(spark):
     assert {r.event_type: r.n for r in got("interval_exists_all").itertuples()} == n
     assert {r.event_id: r.postinjection for r in got("previous_gulp_match_all").itertuples()} == minute
     assert any(f % 10 for f in near.values()) and any(f % 10 for f in first.values())
+
+
+def test_backward_over_many_partitions(spark):
+    """Wide left rows and narrow right rows: read apart, they would be coalesced to different partitions."""
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        x = ((F.col("id") * 7919) % 200003).cast("double")
+        left = spark.range(40000).select("id", x.alias("x"), F.concat(*[F.sha2((F.col("id") + k).cast("string"), 512) for k in range(4)]).alias("wide"))
+        right = spark.range(40).select((F.col("id") * 5000 + 17).cast("double").alias("y"), F.col("id").alias("name"))
+        got = joins.backward(left, right, "x", "y", ["name"]).select("id", "x", "y", "name").toPandas()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    number = np.floor((np.nextafter(got["x"], -np.inf) - 17) / 5000).clip(upper=39)
+    want = number.where(number >= 0)
+    assert len(got) == 40000 and got["name"].isna().equals(want.isna())
+    assert (got["name"].dropna() == want.dropna()).all() and (got["y"].dropna() == want.dropna() * 5000 + 17).all()
