@@ -7,10 +7,12 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from skysift.stored import materialize
+
 _EPOCH = 1704067200000000
 
 
@@ -56,23 +58,36 @@ def sessions(stream: DataFrame, gap: str, late: str, keys: list[str]) -> DataFra
     return windowed.select(F.unix_micros("session_window.start").alias("start"), *keys, "n")
 
 
-def throttle(stream: DataFrame, key: str, seconds: float) -> DataFrame:
-    """Triggers of a key (with us, event_id), but none within `seconds` of the last one that passed."""
+def throttle(rows: DataFrame, key: str, seconds: float) -> DataFrame:
+    """Triggers of a key (with us, event_id), but none within `seconds` (above 0) of the last one that passed.
 
-    def step(name: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values(["us", "event_id"])
-        passed = []
-        for us, event_id in zip(rows["us"].tolist(), rows["event_id"].tolist(), strict=True):
-            if last is None or us - last >= seconds * 1e6:
-                passed.append((name[0], event_id, us))
-                last = us
-        if last is not None:
-            state.update((last,))
-        yield pd.DataFrame(passed, columns=[key, "event_id", "us"])
-
-    kind = stream.schema[key].dataType.simpleString()
-    return stream.select(key, "event_id", F.unix_micros("at").alias("us")).groupBy(key).applyInPandasWithState(step, f"{key} {kind}, event_id bigint, us bigint", "last bigint", "append", GroupStateTimeout.NoTimeout)
+    rows is a table: which triggers pass depends on all earlier ones, in whatever order or files they came.
+    The next one that would pass after each moment is found in time buckets of that length, and the chain from the
+    first one is marked by doubling: with each round over stored tables, twice as many steps. A task of the search
+    holds the distinct moments of one key in one bucket, or one row a bucket of one key. Null times or keys don't pass.
+    """
+    gap = int(round(seconds * 1e6))
+    times = materialize(rows.select(F.col(key).alias("key"), F.unix_micros("at").alias("us"), "event_id").where("key is not null and us is not null").groupBy("key", "us").agg(F.min("event_id").alias("event_id")), "times")
+    floor = lambda c: F.expr(f"cast({c} div {gap} - if({c} % {gap} < 0, 1, 0) as bigint)")
+    at = times.select("key", "us", floor("us").alias("b"))
+    by_bucket = Window.partitionBy("key").orderBy("b")
+    after = at.groupBy("key", "b").agg(F.min("us").alias("f")).select("key", "b", *[F.lead(c, n).over(by_bucket).alias(f"{c}{n}") for c, n in (("b", 1), ("f", 1), ("f", 2))])
+    # in the bucket of the moment `gap` later: the first row from then on; a row comes before a moment sought at its time
+    sought = at.select("key", (F.col("b") + 1).alias("b"), (F.col("us") + gap).alias("t"), F.lit(1).alias("o"), F.lit(None).cast("bigint").alias("row"), "us")
+    there = at.select("key", "b", F.col("us").alias("t"), F.lit(0).alias("o"), F.col("us").alias("row"), F.lit(None).cast("bigint").alias("us"))
+    down = Window.partitionBy("key", "b").orderBy(F.desc("t"), "o").rowsBetween(Window.unboundedPreceding, 0)
+    near = sought.unionByName(there).withColumn("found", F.last("row", ignorenulls=True).over(down)).where("us is not null").select("key", (F.col("b") - 1).alias("b"), "us", "found")
+    later = F.when(F.col("b1") == F.col("b") + 1, F.col("f2")).otherwise(F.col("f1"))
+    jump = materialize(near.join(after, ["key", "b"]).select("key", F.col("us").alias("a"), F.coalesce("found", later).alias("z")).where("z is not null"), "jumps")
+    passed = materialize(times.groupBy("key").agg(F.min("us").alias("us")), "passed")
+    many = passed.count()
+    while True:
+        step = passed.join(jump.withColumnRenamed("a", "us"), ["key", "us"]).select("key", F.col("z").alias("us"))
+        passed = materialize(passed.unionByName(step).distinct(), "passed")
+        if many == (many := passed.count()):
+            break
+        jump = materialize(jump.join(jump.select("key", F.col("a").alias("z"), F.col("z").alias("y")), ["key", "z"]).select("key", "a", F.col("y").alias("z")), "jumps")
+    return passed.join(times, ["key", "us"]).select(F.col("key").alias(key), "event_id", "us")
 
 
 def assemble(stream: DataFrame, parts: int, wait: str) -> DataFrame:

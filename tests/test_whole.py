@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from skysift.operators import joins
+from skysift.streaming import runs
 
 FOLDER = os.environ.get("SKYSIFT_TEST_DATA", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -63,3 +64,27 @@ def test_backward_over_many_partitions(spark):
     want = number.where(number >= 0)
     assert len(got) == 40000 and got["name"].isna().equals(want.isna())
     assert (got["name"].dropna() == want.dropna()).all() and (got["y"].dropna() == want.dropna() * 5000 + 17).all()
+
+
+def test_throttle_of_files_out_of_order(spark, tmp_path):
+    """Files whose times overlap and go backward, ties, gaps of many buckets, and steps of just two hours."""
+    rng = np.random.default_rng(3)
+    hours = np.concatenate([rng.uniform(0, 60, 400), rng.uniform(200, 230, 60), np.arange(300, 330, 2.0), [300.0, 302.0, 500.0]])
+    rows = pd.DataFrame({"event_id": np.arange(len(hours)), "event_type": rng.choice(["a", "b", "c"], len(hours)), "value": rng.uniform(40, 100, len(hours))})
+    rows["ts"] = pd.Timestamp("2024-01-01") + pd.to_timedelta((hours * 3.6e9).round(), unit="us")
+    rows["ts"] = rows["ts"].astype("datetime64[us]")
+    (tmp_path / "events.parquet").mkdir()
+    for k in range(5):
+        rows.iloc[::-1].iloc[k::5].to_parquet(tmp_path / f"events.parquet/part-{k}.parquet")
+    want, last = set(), {}
+    for r in rows[rows["value"] > 60].sort_values(["ts", "event_id"]).itertuples():
+        if r.event_type not in last or r.ts - last[r.event_type] >= pd.Timedelta("2h"):
+            last[r.event_type] = r.ts
+            want.add((r.event_type, r.event_id, r.ts.value // 1000))
+    got = entry.queries()["stream_throttle"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_throttle_of_nothing(spark):
+    none = spark.createDataFrame([], "k string, event_id bigint, at timestamp")
+    assert runs.throttle(none, "k", 60.0).count() == 0
