@@ -223,22 +223,32 @@ def skip_take(spark, sf_dir):
 
 
 @query("SELECT o_orderkey, 'cand' || lpad(CAST(100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS VARCHAR), 6, '0') AS candname FROM orders WHERE o_orderkey % 20 = 0")
-def next_names(spark, sf_dir):
+def next_names(spark, sf_dir, rows="o_orderkey % 20 = 0"):
     """Names that go on from the last one, counted by day."""
-    rows = table(spark, sf_dir, "orders").where("o_orderkey % 20 = 0").withColumn("day", F.to_date("o_orderdate"))
-    return candidates.next_names(rows, [F.col("o_orderdate"), F.col("o_orderkey")], 100, "day").select("o_orderkey", "candname")
+    orders = table(spark, sf_dir, "orders").where(rows).withColumn("day", F.to_date("o_orderdate"))
+    return candidates.next_names(orders, [F.col("o_orderdate"), F.col("o_orderkey")], 100, "day").select("o_orderkey", "candname")
+
+
+@query("SELECT o_orderkey, printf('cand%06d', 100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey)) AS candname FROM orders")
+def next_names_all(spark, sf_dir):
+    return next_names(spark, sf_dir, "true")
 
 
 @query(f"""WITH {_C}, px AS (SELECT CAST(l_suppkey % 64 AS INTEGER) AS y, CAST(l_partkey % 64 AS INTEGER) AS x, avg(l_discount) AS v FROM lineitem GROUP BY ALL),
 k AS (SELECT cand, least(greatest(dec_idx - 2, 0), 59) AS y0, least(greatest(ra_idx - 2, 0), 59) AS x0 FROM c WHERE gulp = 7)
 SELECT cand, count(*) AS pixels, round(sum(v), 6) + 0 AS total FROM k JOIN px ON y BETWEEN y0 AND y0 + 4 AND x BETWEEN x0 AND x0 + 4 GROUP BY cand""")
-def cutout_sums(spark, sf_dir):
+def cutout_sums(spark, sf_dir, rows="gulp = 7"):
     """5 x 5 cut-outs, moved inward at the edges."""
     pixels = table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 64).cast("int").alias("y"), (F.col("l_partkey") % 64).cast("int").alias("x")).agg(F.avg("l_discount").alias("v"))
-    cut = candidates.cutouts(_cands(spark, sf_dir).where("gulp = 7"), pixels, [], 2, 64)
+    cut = candidates.cutouts(_cands(spark, sf_dir).where(rows), pixels, [], 2, 64)
     return cut.groupBy("cand").agg(F.count("*").alias("pixels"), r6(F.sum("v")).alias("total"))
 
 
+@query(SQL["cutout_sums"].replace(" WHERE gulp = 7", ""))
+def cutout_sums_all(spark, sf_dir):
+    return cutout_sums(spark, sf_dir, "true")
+
+
 @query(f"WITH {EV}, p AS (SELECT pix, avg(value) AS v FROM ev GROUP BY pix) SELECT e.chan, arg_min(p.pix, abs(p.v - e.m) * 1000000 + p.pix) AS pix FROM (SELECT chan, avg(value) AS m FROM ev GROUP BY chan) e, p GROUP BY e.chan")
 def nearest_pixel(spark, sf_dir):
     """The position whose level is nearest each channel's (eight positions against five channels)."""

@@ -88,3 +88,21 @@ def test_throttle_of_files_out_of_order(spark, tmp_path):
 def test_throttle_of_nothing(spark):
     none = spark.createDataFrame([], "k string, event_id bigint, at timestamp")
     assert runs.throttle(none, "k", 60.0).count() == 0
+
+
+@needs_tables
+def test_queries_see_every_row(spark):
+    got = lambda name: entry.queries()[name](spark, FOLDER).toPandas()
+    orders, part, supplier, line = read("orders"), read("part"), read("supplier"), read("lineitem")
+    assert set(got("hex_roundtrip_all")["p_partkey"]) == set(part["p_partkey"])
+    assert set(got("trigger_records_all")["trigname"]) == {f"t{k}" for k in orders["o_orderkey"]}
+    assert set(got("transit_times_all")["s_suppkey"]) == set(supplier["s_suppkey"])
+    in_order = orders.sort_values(["o_orderdate", "o_orderkey"])["o_orderkey"]
+    assert dict(got("next_names_all")[["o_orderkey", "candname"]].to_numpy().tolist()) == {k: f"cand{n:06d}" for n, k in enumerate(in_order, 101)}
+    strong = line[line["l_quantity"] >= 45]
+    assert set(got("cutout_sums_all")["cand"]) == set(strong["l_orderkey"] * 10 + strong["l_linenumber"])
+    place = supplier.groupby(supplier["s_suppkey"] % 32)["s_acctbal"].sum().to_dict()
+    pairs = {(r.ant1, r.ant2): r.x for r in got("antenna_pairs_all").itertuples()}
+    assert pairs == pytest.approx({(a, b): place[b] - place[a] for a in place for b in place if a < b}, abs=1e-5)
+    assert len(got("baseline_uvw_all")) == len(got("name_split_join_all")) == len(pairs)
+    assert not got("stack_images_all").equals(got("stack_images"))
