@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from skysift.operators import joins
+from skysift.operators import joins, learned
 from skysift.streaming import runs
 
 FOLDER = os.environ.get("SKYSIFT_TEST_DATA", "/root/testdata/sf0.001")
@@ -106,3 +106,17 @@ def test_queries_see_every_row(spark):
     assert pairs == pytest.approx({(a, b): place[b] - place[a] for a in place for b in place if a < b}, abs=1e-5)
     assert len(got("baseline_uvw_all")) == len(got("name_split_join_all")) == len(pairs)
     assert not got("stack_images_all").equals(got("stack_images"))
+
+
+def test_clusters_without_a_task_a_gulp(spark):
+    """The labels of the plain method, by a plan that gives no Python task a whole gulp."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(0, 0.02, (60, 2)), rng.uniform(-1, 1, (240, 2))])
+    rows = pd.DataFrame({"g": rng.integers(0, 2, 300), "id": rng.permutation(300), "p": x[:, 0], "q": x[:, 1]})
+    frame = learned.cluster(spark.createDataFrame(rows), "g", ["p", "q"], "id", 0.1, 4)
+    assert "FlatMapGroupsInPandas" not in frame._jdf.queryExecution().toString()
+    want = {}
+    for g, part in rows.sort_values("id").groupby("g"):
+        want |= {(g, i): c for i, c in zip(part["id"], learned.density_labels(part[["p", "q"]].to_numpy(), 0.1, 4), strict=True)}
+    assert len(set(want.values())) > 4
+    assert {(r.g, r.id): r.cluster for r in frame.collect()} == want
