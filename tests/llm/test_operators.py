@@ -376,24 +376,53 @@ def test_quality_stats(spark, docs, texts):
     assert {r.doc_id for r in kept.collect()} - {None} == {n for n, r in got.items() if r.kept}
 
 
-def test_thresholds_control_the_risk(spark):
-    r = random.Random(9)
-    rows, labels = [], []
-    for n in range(3000):
+_STATS = "doc_id bigint, stratum string, n_words bigint, word_chars bigint, n_symbols bigint, n_capitals bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint"
+
+
+def labelled_stats(spark, count, seed, shares):
+    """Rows of good and bad documents; shares(r, good) gives the per cent of symbols, capitals and double lines."""
+    r, rows, labels = random.Random(seed), [], []
+    for n in range(count):
         good = r.random() < 0.7
-        share = r.random() * (2 if good else 30)
-        rows.append((n, "en" if n % 2 else "fr", 100, 1000, int(10 * share), 0, 10, 0, 0))
+        symbols, capitals, lines = shares(r, good)
+        rows.append((n, "en" if n % 2 else "fr", 100, 1000, int(10 * symbols), int(10 * capitals), 100, int(lines), 0))
         labels.append((n, int(good)))
-    stats = spark.createDataFrame(rows, "doc_id bigint, stratum string, n_words bigint, word_chars bigint, n_symbols bigint, n_capitals bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint")
-    chosen = quality_rules.calibrate(stats, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
+    return spark.createDataFrame(rows, _STATS), spark.createDataFrame(labels, "doc_id bigint, quality int")
+
+
+def test_thresholds_control_the_risk(spark):
+    stats, labels = labelled_stats(spark, 3000, 9, lambda r, good: (r.random() * (2 if good else 30), 0, 0))
+    chosen = quality_rules.calibrate(stats, labels).collect()
     assert {(c.stratum, c.rule) for c in chosen} == {("en", "symbols"), ("fr", "symbols")}
     from math import comb
 
     for c in chosen:
         p = sum(comb(c.good, k) * 0.02**k * 0.98 ** (c.good - k) for k in range(c.hit_good + 1))
-        assert c.p_value == pytest.approx(p, rel=1e-6) and p <= 0.05 / 10
-    few = quality_rules.calibrate(stats.limit(60), spark.createDataFrame(labels, "doc_id bigint, quality int"))
-    assert few.count() == 0
+        assert c.p_value == pytest.approx(p, rel=1e-6) and p <= 0.05 / 2
+    assert quality_rules.calibrate(stats.limit(60), labels).count() == 0
+
+
+def test_the_union_of_a_stratum_keeps_the_risk(spark):
+    """Three rules that each reject 1 % of the good documents can't all stand: 3 % is over the risk."""
+
+    def shares(r, good):
+        if good:
+            at = r.random()
+            return (50 if at < 0.01 else 0), (95 if 0.01 <= at < 0.02 else 0), (90 if 0.02 <= at < 0.03 else 0)
+        return r.choice([(50, 0, 0), (0, 95, 0), (0, 0, 90)])
+
+    stats, labels = labelled_stats(spark, 20_000, 3, shares)
+    chosen = quality_rules.calibrate(stats, labels)
+    rows = quality_rules.judge(stats, chosen).join(labels.where("quality = 1"), "doc_id").groupBy("stratum").agg(F.avg((~F.col("kept")).cast("double")).alias("lost")).collect()
+    assert chosen.count() and len(rows) == 2 and all(x.lost <= 0.02 for x in rows)
+
+
+def test_repeats_in_a_text_of_millions_of_words(spark):
+    """One window that recurs among ten million words: six words, whatever the length."""
+    body = F.concat(F.lit("one two three "), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(9_999_996)), lambda k: F.concat(F.lit("w"), k.cast("string"))), " "), F.lit(" one two three"))
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), body.alias("text"), F.lit("en").alias("lang"))
+    row = quality_rules.document_stats(docs).select("n_words", "n_repeat_words").first()
+    assert tuple(row) == (10_000_003, 6)
 
 
 # sharding
