@@ -8,19 +8,24 @@ so the count of unequal blocks bounds the symmetric difference from below). By t
 principle, for one order of blocks that all sets share, two similar sets have an equal block among the
 first |A| / 4 + 1 of either. The order puts blocks of rare shingles first and full ones before sparse
 ones, so that passages that many texts share seldom make candidates; which shingles count as frequent is
-read off a bounded sample and steers nothing but that order. A set with too few blocks adds a marker.
+read off a bounded sample and steers nothing but that order. Blocks are so many that a set has that
+many of them: in the two lowest bands each shingle is a block of its own, and above them a set that falls
+short has odds below 1e-15, so no key is there that unrelated sets would share.
 
 A set near the lower edge of its band is also registered in the band below, as its partners may be there.
 
 Candidates that share a block are first compared with one hub of the block (linear work, three rounds
-with other hubs each), links merge into components, and only members of different components then
-meet in pairs, past a second parity sketch of 512 bits whose Hamming distance must stay within the
-bound. What passes is verified on whole sets. No link between different texts is lost, for pairs that
+with other hubs each), links merge into components, and only members of different components and of
+sizes that can link then meet in pairs, past a second parity sketch of 512 bits whose Hamming distance
+must stay within the bound. What passes is verified on whole sets. No link between different texts is lost, for pairs that
 are skipped are in one component already.
 
 Defined results: a null text, an empty one and one without words have no shingles and no links; equal
-sets are one class and linked; rows that repeat are reported once each; a row without id is reported
-without component; an empty table gives an empty result; only id and text are read.
+sets are one class and linked; rows that repeat are reported once each; where rows of one id differ in
+their text, each has its own n_shingles, and the id's links are those of the set with the least digest; a
+row without id is reported without component; an empty table gives an empty result; only id and text are
+read. first_of_each() keeps one row of each id that stays (of rows with one id, the one with the least
+hash of its text) and all rows without an id.
 """
 
 from __future__ import annotations
@@ -36,8 +41,11 @@ from skysift.llm.components import components
 from skysift.llm.shingles import mix, shingles
 from skysift.llm.support import materialize, short_batches, text_rows
 
-#: Shingles a block holds on average in the largest set of a band; bands are powers of 4.
-LOAD, LEAST_BLOCKS = 3.2, 16
+#: Bands are powers of 4. Shingles a block holds on average in a set at the upper edge of its band (a quarter
+#: more in sets registered from the band above), blocks at least, and the highest band of one shingle a block.
+LOAD, LEAST_BLOCKS, SINGLE = 2.0, 64, 1
+#: Sizes fall into steps of this ratio for the last round: sizes that can link are in one step or in neighbours.
+STEP = 1.26
 WORDS = 8
 #: Documents sampled for frequent shingles, hits that make one frequent, and how many are kept.
 SAMPLE_DOCS, SAMPLE_HITS, FREQUENT = 4000, 5, 200_000
@@ -55,7 +63,7 @@ def bands(size: int) -> list[int]:
 
 def blocks_of(found: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Parities and shingle counts of the blocks of a sorted set that aren't empty."""
-    count = max(LEAST_BLOCKS, int(np.ceil(4 ** (band + 1) / LOAD)))
+    count = max(LEAST_BLOCKS, int(np.ceil(4 ** (band + 1) / LOAD))) if band > SINGLE else 1 << 32
     at = ((found >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
     starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     parity = np.bitwise_xor.reduceat(mix(found + np.uint64(band)), starts)
@@ -63,7 +71,7 @@ def blocks_of(found: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The first size // 4 + 1 blocks of each band in the order that all sets share."""
+    """The first size // 4 + 1 blocks of each band in the order that all sets share (see above: they don't run out)."""
     out = []
     if len(frequent):
         near = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)]
@@ -78,13 +86,16 @@ def signatures(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
                 parity, held = blocks_of(family, band)
                 parity = mix(parity + np.uint64(rank))
                 got.append(parity[np.lexsort((parity, -held))])
-        chosen = np.concatenate(got)[:need]
-        if len(chosen) < need:
-            chosen = np.append(chosen, mix(np.array([band], np.uint64) + np.uint64(1 << 40)))
-        out.append(chosen)
+        out.append(np.concatenate(got)[:need])
     return np.concatenate(out)
 
 
+def digest(found: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set that isn't empty, as two integers."""
+    total = np.array([np.sum(found, dtype=np.uint64)], np.uint64)
+    return int(mix(total).view(np.int64)[0]), int(np.bitwise_xor.reduce(mix(found)).view(np.int64))
+
+
 def sketch(found: np.ndarray) -> np.ndarray:
     """Parity sketch of 64 * WORDS bits: each shingle flips one."""
     bit = (mix(found ^ np.uint64(0x9E3779B97F4A7C15)) & np.uint64(64 * WORDS - 1)).astype(np.int64)
@@ -118,8 +129,9 @@ def keyed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 found = shingles(text)
                 size.append(len(found))
                 if len(found):
-                    k1.append(int(mix(np.array([np.sum(found, dtype=np.uint64)], np.uint64)).view(np.int64)[0]))
-                    k2.append(int(np.bitwise_xor.reduce(mix(found)).view(np.int64)))
+                    first, second = digest(found)
+                    k1.append(first)
+                    k2.append(second)
                     bits[n] = sketch(found)
                     sigs.append(signatures(found, often).view(np.int64))
                     at.append(at[-1] + len(sigs[-1]))
@@ -138,14 +150,17 @@ def keyed(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """node and shingles (sorted 64-bit hashes, little-endian) of the rows of docs."""
+    """node, digest and shingles (sorted 64-bit hashes, little-endian) of the rows of docs that have words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_rows(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([shingles(t).astype("<u8").tobytes() for t in texts], pa.binary())], names=["node", "shingles"])
+            sets = [shingles(t) for t in texts]
+            keys = [digest(x) if len(x) else (None, None) for x in sets]
+            columns = [batch.column("doc_id").cast(pa.int64()), *(pa.array([k[n] for k in keys], pa.int64()) for n in (0, 1)), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "k1", "k2", "shingles"])
 
     short_batches(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, "node bigint, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "node bigint, k1 bigint, k2 bigint, shingles binary").where("k1 is not null")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -198,10 +213,39 @@ def _hub_pairs(members: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
     return best.groupBy("u").agg(F.max(F.struct("close", "v")).alias("b")).select("u", F.col("b.v").alias("v"))
 
 
+def _close_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of one block whose components differ and whose sizes and sketches allow a link.
+
+    Sizes of a link lie in one step or in two neighbours, so steps are part of the key: a block that texts of all
+    lengths share falls into as many keys. The larger set of a pair is dealt to its own step and to the one below.
+    """
+    step = F.floor(F.ln("n") / F.ln(F.lit(STEP))).cast("int")
+    a = members.withColumn("step", step).alias("a")
+    b = members.withColumn("step", F.explode(F.array(step, step - 1))).alias("b")
+    larger = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
+    same = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.step") == F.col("b.step"))
+    met = a.join(b, same & larger & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b"))
+    return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+
+
+def _one_set_an_id(keys: DataFrame, again: DataFrame) -> DataFrame:
+    """keys where all rows of an id carry its least digest, and only rows of that set have blocks."""
+    joined = keys.join(again, "doc_id", "left")
+    other = F.col("d1").isNotNull() & ~(F.col("k1").eqNullSafe(F.col("d1")) & F.col("k2").eqNullSafe(F.col("d2")))
+    blocks = F.when(~other, F.col("blocks")).otherwise(F.array().cast("array<bigint>"))
+    known = (F.col("n") > 0) & F.col("d1").isNotNull()
+    return joined.select("doc_id", "n", F.when(known, F.col("d1")).otherwise(F.col("k1")).alias("k1"), F.when(known, F.col("d2")).otherwise(F.col("k2")).alias("k2"), *_SKETCH, blocks.alias("blocks"))
+
+
 def jaccard_components(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     docs = docs.select("doc_id", "text")
     keys = materialize(keyed(docs, frequent_shingles(docs)), "keys")
+    again = keys.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min(F.struct("k1", "k2")).alias("least")).where("rows > 1")
+    again = materialize(again.select("doc_id", F.col("least.k1").alias("d1"), F.col("least.k2").alias("d2")), "repeated-ids")
+    repeats = not again.isEmpty()
+    if repeats:
+        keys = materialize(_one_set_an_id(keys, again), "keys")
     # only sets that several documents have; stored, so that the join below can split a frequent set's rows
     classes = keys.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     classes = materialize(classes.where("copies > 1").select("k1", "k2", "first"), "classes")
@@ -213,13 +257,14 @@ def jaccard_components(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFra
     shared = materialize(rows.groupBy("sig").count().where("count > 1").select("sig"), "shared-blocks")
     met = materialize(rows.join(shared, "sig"), "met")
     firsts = ranks.where("doc_id = node").select("node").distinct()
-    held = met.join(firsts, met.doc_id == firsts.node, "left_semi").select(F.col("doc_id").alias("node"), "sig").distinct()
+    held = met.join(firsts, met.doc_id == firsts.node, "left_semi").select(F.col("doc_id").alias("node"), "sig").distinct()  # the two bands of a set may repeat a block
     several = held.groupBy("sig").count().where("count > 1").select("sig")
     held = materialize(held.join(several, "sig"), "held")
     used = held.select("node").distinct()
-    nodes = materialize(keys.select(F.col("doc_id").alias("node"), "n", *_SKETCH).dropDuplicates(["node"]).join(used, "node"), "nodes")
+    nodes = keys.where(F.size("blocks") > 0).select(F.col("doc_id").alias("node"), "n", *_SKETCH)
+    nodes = materialize((nodes.distinct() if repeats else nodes).join(used, "node"), "nodes")
     members = materialize(held.join(nodes, "node"), "members")
-    sets = materialize(_sets_of(docs, used), "sets")
+    sets = materialize(_sets_of(docs, used, repeats), "sets")
 
     links: DataFrame | None = None
     found: DataFrame | None = None
@@ -229,10 +274,7 @@ def jaccard_components(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFra
             pairs = _hub_pairs(grouped, nodes, turn)
         else:
             live = grouped.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig")
-            left = materialize(grouped.join(live, "sig", "left_semi"), "unsettled")
-            a, b = left.alias("a"), left.alias("b")
-            pairs = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b"))
-            pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+            pairs = _close_pairs(materialize(grouped.join(live, "sig", "left_semi"), "unsettled"))
         new = materialize(verified(pairs, sets), "verified")
         if new.isEmpty():
             continue
@@ -244,14 +286,23 @@ def jaccard_components(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFra
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
 
 
-def _sets_of(docs: DataFrame, used: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, used: DataFrame, repeats: bool) -> DataFrame:
     """Sets of the nodes that share a block with another: their texts are read again."""
     need = docs.join(used.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return shingle_sets(need).dropDuplicates(["node"])
+    sets = shingle_sets(need)
+    if repeats:
+        sets = sets.groupBy("node").agg(F.min_by("shingles", F.struct("k1", "k2")).alias("shingles"))
+    return sets.select("node", "shingles")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs that have the least id of their component; all columns stay."""
-    found = jaccard_components(docs)
-    dropped = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    """The rows of docs that have the least id of their component, one for each id; all columns stay."""
+    found = jaccard_components(docs).where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("component_id") != F.col("doc_id")).alias("goes"), F.count("*").alias("rows"))
+    marked = materialize(found.where("goes or rows > 1"), "marked")
+    kept = docs.join(marked.select("doc_id"), "doc_id", "left_anti")
+    again = marked.where("not goes").select("doc_id")
+    if again.isEmpty():
+        return kept
+    whole, order = F.struct(*[F.col(c) for c in docs.columns]), F.struct(F.xxhash64("text"), F.xxhash64(*docs.columns))
+    one = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, order).alias("row"))
+    return kept.unionByName(one.select("row.*"))

@@ -166,7 +166,49 @@ def test_jaccard_components(docs, texts):
     assert [r.component_id for r in rows if r.doc_id is None] == [None]
     kept = parity_join.first_of_each(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == set(want.values())
+    rows = [r.doc_id for r in kept.collect()]
+    assert sorted(n for n in rows if n is not None) == sorted(set(want.values())) and rows.count(None) == 1
+
+
+def test_rows_of_one_id_with_other_texts(spark):
+    """The id's links are those of one of its sets; each row has its own size, and one row stays."""
+    r = random.Random(12)
+    a, b = prose(r, 60), prose(r, 90)
+    docs = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b), (4, None), (4, a), (4, ""), (None, a)], "doc_id bigint, text string")
+    rows = parity_join.jaccard_components(docs).collect()
+    assert sorted(x.n_shingles for x in rows if x.doc_id == 1) == [56, 86]
+    component = {x.doc_id: x.component_id for x in rows if x.n_shingles}
+    assert (component[2], component[3], component[4]) in ((1, 3, 1), (2, 1, 2)) and component[1] == 1
+    kept = [x.doc_id for x in parity_join.first_of_each(docs).collect()]
+    assert sorted(n for n in kept if n is not None) == sorted(set(component[n] for n in (1, 2, 3, 4)) | ({4} if component[4] == 4 else set())) and kept.count(None) == 1
+
+
+def test_blocks_never_run_out():
+    """Sets of every size have as many blocks as the bound asks for, none of them shared by unrelated sets."""
+    r = np.random.default_rng(5)
+    none = np.zeros(0, np.uint64)
+    for size in [*range(1, 130), 255, 256, 300, 312, 319, 320, 1023, 1024, 1260, 1279, 1280, 5119, 5120, 6000, 20_000]:
+        seen: list[np.ndarray] = []
+        for _ in range(12):
+            found = np.unique(r.integers(0, 2**64, size, np.uint64))
+            got = parity_join.signatures(found, none)
+            assert len(got) == len(parity_join.bands(len(found))) * (len(found) // 4 + 1), size
+            seen.append(np.unique(got))
+        assert len(np.unique(np.concatenate(seen))) == sum(map(len, seen)), size
+
+
+def test_unrelated_sets_make_no_pairs(spark):
+    """Many sets at the edge of a band share no block, so nothing is left to pair."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ids = batch.column("id").to_pylist()
+            sigs = [parity_join.signatures(np.unique(np.random.default_rng(n).integers(0, 2**64, 1279, np.uint64)), np.zeros(0, np.uint64)).view(np.int64) for n in ids]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sigs, pa.list_(pa.int64()))], names=["id", "blocks"])
+
+    rows = spark.range(0, 20_000, 1, 8).mapInArrow(run, "id bigint, blocks array<bigint>").select("id", F.explode(F.array_distinct("blocks")).alias("sig"))
+    assert rows.groupBy("sig").count().agg(F.sum(F.expr("count * (count - 1) div 2")).alias("pairs")).first().pairs < 20_000
 
 
 @pytest.mark.parametrize("seed", range(3))
