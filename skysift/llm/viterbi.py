@@ -7,6 +7,12 @@ length are looked up among the sorted hashes of the pieces, and the best sum of
 longest last piece) is kept with its backpointer. A character without a piece of its own becomes its
 UTF-8 bytes' pieces, scored below every piece.
 
+Longer segments are strung together, and blocks of equal length advance together in the same way, an
+array row for each block and each of the places in it where a path may enter. That gives the best sum
+from each entry to each entry of the next block; carried from block to block, these give the best sum at
+every position, and the backpointers follow from the sums. Sums are counted from each array's start, so
+that they stay exact at any length; memory beyond five bytes a character doesn't grow with the text.
+
 The segmentation is the one of greatest total score, as the SentencePiece library gives it for a
 unigram model with these pieces and scores.
 
@@ -20,6 +26,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,13 +38,13 @@ from skysift.llm.support import short_batches, text_rows
 
 SPACE = "▁"
 _SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-#: Segments longer than this advance alone, their matches found at once.
-LONG = 64
+#: Longer segments are searched in blocks of BLOCK characters, ROWS blocks at once.
+LONG, BLOCK, ROWS = 64, 128, 512
 #: Segments kept by one Python worker; beyond that the memo starts anew.
 MEMO = 500_000
 #: How far below the least piece an unknown character scores.
 UNKNOWN = 10.0
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_BASE = 0x9E3779B97F4A7C15
 
 
 @dataclass(frozen=True)
@@ -51,15 +58,28 @@ class Pieces:
 
 
 def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    """Characters as numbers from 1 on; 0 parts strung segments."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") + np.uint32(1)
 
 
-def _prefix(codes: np.ndarray) -> np.ndarray:
-    """Polynomial hashes of the prefixes of each row."""
-    out = np.zeros((codes.shape[0], codes.shape[1] + 1), np.uint64)
-    for k in range(codes.shape[1]):
-        out[:, k + 1] = out[:, k] * _BASE + codes[:, k]
-    return out
+@functools.lru_cache(maxsize=4)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        step = np.full(size, base, np.uint64)
+        step[0] = 1
+        out.append(np.multiply.accumulate(step))
+    return out[0], out[1]
+
+
+def _hasher(codes: np.ndarray):
+    """A function of (starts, ends) to the polynomial hashes of those substrings of each row."""
+    size = codes.shape[-1]
+    up, down = _powers(1 << max(8, size.bit_length()))
+    prefix = np.zeros((*codes.shape[:-1], size + 1), np.uint64)
+    np.cumsum(codes * up[:size], axis=-1, out=prefix[..., 1:])
+    return lambda starts, ends: (prefix[..., ends] - prefix[..., starts]) * down[starts]
 
 
 def build(pieces: list[tuple[int, str, float]], byte_ids: list[int], size: int) -> Pieces:
@@ -70,7 +90,7 @@ def build(pieces: list[tuple[int, str, float]], byte_ids: list[int], size: int)
         if p[1]:
             groups.setdefault(len(p[1]), []).append(p)
     for length, group in groups.items():
-        keys = _prefix(np.stack([_codes(p[1]) for p in group]))[:, -1]
+        keys = _hasher(np.stack([_codes(p[1]) for p in group]))(0, length)
         order = np.argsort(keys)
         by_length[length] = (keys[order], np.array([p[2] for p in group], float)[order], np.array([p[0] for p in group], np.int64)[order])
     raw = [b""] * size
@@ -93,24 +113,22 @@ def load(path: str) -> Pieces:
 
 
 def _match(pieces: Pieces, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Score and id for each substring hash; -inf and -1 where no piece has it."""
+    """Score and id for each substring hash; -1 where no piece has it, with the score of an unknown character or -inf."""
+    missing = pieces.unknown if length == 1 else -np.inf
+    if length not in pieces.by_length:
+        return np.full(hashes.shape, missing), np.full(hashes.shape, -1)
     keys, scores, ids = pieces.by_length[length]
     at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
     hit = keys[at] == hashes
-    return np.where(hit, scores[at], -np.inf), np.where(hit, ids[at], -1)
+    return np.where(hit, scores[at], missing), np.where(hit, ids[at], -1)
 
 
 def search(pieces: Pieces, words: list[str]) -> list[bytes]:
     """Ids (little-endian 32-bit) of words of one length."""
     length = len(words[0])
     codes = np.stack([_codes(w) for w in words])
-    prefix = _prefix(codes)
-    lengths = sorted((k for k in pieces.by_length if k <= length), reverse=True)
-    if 1 not in lengths:
-        lengths.append(1)
-    powers = {k: np.multiply.accumulate(np.full(k, _BASE, np.uint64))[-1] for k in lengths}
-    if length > LONG and len(words) == 1:
-        return [_one(pieces, words[0], prefix[0], lengths, powers)]
+    hashes = _hasher(codes)
+    lengths = sorted({1} | {k for k in pieces.by_length if k <= length}, reverse=True)
     best = np.full((len(words), length + 1), -np.inf)
     best[:, 0] = 0
     back, chosen = np.zeros((len(words), length + 1), np.int64), np.full((len(words), length + 1), -1, np.int64)
@@ -119,9 +137,7 @@ def search(pieces: Pieces, words: list[str]) -> list[bytes]:
         for k in lengths:
             if k > end:
                 continue
-            score, ids = _match(pieces, prefix[:, end] - prefix[:, end - k] * powers[k], k) if k in pieces.by_length else (np.full(len(words), -np.inf), np.full(len(words), -1))
-            if k == 1:
-                score = np.where(ids < 0, pieces.unknown, score)
+            score, ids = _match(pieces, hashes(end - k, end), k)
             total = best[:, end - k] + score
             better = total > best[:, end]
             best[better, end] = total[better]
@@ -135,41 +151,91 @@ def search(pieces: Pieces, words: list[str]) -> list[bytes]:
     ids = np.stack([s[0] for s in reversed(steps)], axis=1)
     ends = np.stack([s[1] for s in reversed(steps)], axis=1)
     known = (ids != -1).all(axis=1)
-    flat, keep = ids.astype("<i4"), ids >= 0
-    return [flat[n][keep[n]].tobytes() if known[n] else _spelled(pieces, words[n], [(i, e) for i, e in zip(ids[n].tolist(), ends[n].tolist()) if i != -2]) for n in range(len(words))]
-
-
-def _spelled(pieces: Pieces, word: str, path: list[tuple[int, int]]) -> bytes:
-    """Ids of a path with unknown characters (-1) in it."""
-    out: list[int] = []
-    for n, end in path:
-        out += [n] if n >= 0 else [pieces.byte_ids[b] for b in word[end - 1].encode("utf-8", "surrogatepass")]
-    return np.array(out, "<i4").tobytes()
-
-
-def _one(pieces: Pieces, word: str, prefix: np.ndarray, lengths: list[int], powers: dict[int, np.uint64]) -> bytes:
-    """The same search for one long word: all matches first, then one pass over the positions."""
-    size = len(word)
-    best = [0.0] + [-np.inf] * size
-    back, chosen = [0] * (size + 1), [-1] * (size + 1)
-    options: list[list[tuple[int, float, int]]] = [[] for _ in range(size + 1)]
-    for k in lengths:
-        if k in pieces.by_length:
-            score, ids = _match(pieces, prefix[k:] - prefix[:-k] * powers[k], k)
-            for at in np.flatnonzero(ids >= 0).tolist():
-                options[at + k].append((k, float(score[at]), int(ids[at])))
-    for end in range(1, size + 1):
-        if not options[end] or options[end][-1][0] != 1:
-            options[end].append((1, pieces.unknown, -1))
-        for k, score, n in options[end]:
-            if best[end - k] + score > best[end]:
-                best[end], back[end], chosen[end] = best[end - k] + score, k, n
-        options[end] = []
-    path, at = [], size
-    while at:
-        path.append((chosen[at], at))
-        at -= back[at]
-    return _spelled(pieces, word, path[::-1])
+    flat, keep = ids.astype("<i4"), ids > -2
+    return [flat[n][keep[n]].tobytes() if known[n] else _spelled(pieces, codes[n], flat[n][keep[n]], ends[n][keep[n]]) for n in range(len(words))]
+
+
+def _spelled(pieces: Pieces, codes: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> bytes:
+    """Ids of a path where each unknown character (-1) becomes its bytes."""
+    unknown = ids < 0
+    if not unknown.any():
+        return ids.astype("<i4").tobytes()
+    letters = codes[ends[unknown] - 1] - np.uint32(1)
+    size = np.ones(len(ids), np.int64)
+    size[unknown] += (letters > 0x7F).astype(np.int64) + (letters > 0x7FF) + (letters > 0xFFFF)
+    stops = np.cumsum(size)
+    out = np.empty(stops[-1], "<i4")
+    out[stops[~unknown] - 1] = ids[~unknown]
+    raw = np.frombuffer(letters.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), np.uint8)
+    of = np.repeat((stops - size)[unknown], size[unknown])
+    inside = np.arange(len(raw)) - np.repeat(np.cumsum(size[unknown]) - size[unknown], size[unknown])
+    out[of + inside] = np.asarray(pieces.byte_ids)[raw]
+    return out.tobytes()
+
+
+def _scores(pieces: Pieces, codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids of the pieces that end at each position from `most` on; row t holds those of most - t characters."""
+    hashes, ends = _hasher(codes), np.arange(most, len(codes) + 1)
+    score, ids = np.full((most, len(ends)), -np.inf), np.full((most, len(ends)), -1, np.int32)
+    for k in {1, *pieces.by_length}:
+        score[most - k], ids[most - k] = _match(pieces, hashes(ends - k, ends), k)
+    return score, ids
+
+
+def _block_sums(by_end: np.ndarray, entered: np.ndarray, most: int) -> np.ndarray:
+    """Best sums at the positions of each block from its entries on: by_end (position, piece row, block) and
+    entered (position, block, ...) with the sums that paths from before the block bring. Positions past a block's end are
+    reached by pieces that start within it."""
+    best = np.full((len(by_end), *entered.shape[1:]), -np.inf)
+    best[: len(entered)] = entered
+    for q in range(1, len(by_end)):
+        low, high = max(0, q - most), min(q, BLOCK)
+        step = by_end[q, low - q + most : high - q + most]
+        total = (best[low:high] + step.reshape(*step.shape, *[1] * (entered.ndim - 2))).max(axis=0)
+        np.maximum(best[q], total, out=best[q])
+    return best
+
+
+def search_long(pieces: Pieces, words: list[str]) -> list[bytes]:
+    """Ids of words of any length, strung together and searched in blocks."""
+    most = max({1, *pieces.by_length})
+    stops = np.cumsum([len(w) + 1 for w in words])
+    codes = np.zeros(-(-int(stops[-1]) // BLOCK) * BLOCK + 2 * most, np.uint32)  # `most` zeros on either side
+    for w, stop in zip(words, stops, strict=True):
+        codes[most + stop - 1 - len(w) : most + stop - 1] = _codes(w)
+    size = len(codes) - 2 * most
+    back, chosen = np.zeros(size, np.uint8), np.zeros(size, np.int32)
+    carried, tail = np.full(most, -np.inf), np.full(most, -np.inf)
+    carried[0] = 0
+    entries = np.full((most, 1, most), -np.inf)
+    entries[np.arange(most), 0, np.arange(most)] = 0
+    for a in range(0, size, BLOCK * ROWS):
+        b = min(size, a + BLOCK * ROWS)
+        rows = (b - a) // BLOCK
+        score, ids = _scores(pieces, codes[a : b + 2 * most], most)
+        by_end = np.stack([score[:, q : q + b - a : BLOCK] for q in range(BLOCK + most)])
+        # from every entry of a block to every entry of the next
+        across = _block_sums(by_end, np.broadcast_to(entries, (most, rows, most)), most)[BLOCK:]
+        entered = np.empty((most, rows))
+        for n in range(rows):
+            entered[:, n] = carried
+            carried = (across[:, n] + carried).max(axis=1)
+        best = _block_sums(by_end[:BLOCK], entered, most).T.reshape(-1)
+        around = np.concatenate([tail, best])
+        total = np.stack([around[t : t + b - a] for t in range(most)]) + score[:, : b - a]
+        longest = total.argmax(axis=0)
+        back[a:b], chosen[a:b] = most - longest, ids[longest, np.arange(b - a)]
+        base = carried.max()
+        carried, tail = carried - base, around[-most:] - base
+    lengths, out = back.tobytes(), []
+    for w, stop in zip(words, stops.tolist(), strict=True):
+        path, at = array("q"), stop - 1
+        while at > stop - 1 - len(w):
+            path.append(at)
+            at -= lengths[at]
+        ends = np.frombuffer(path, np.int64)[::-1]
+        out.append(_spelled(pieces, codes[most:], chosen[ends], ends))
+    return out
 
 
 class Encoder:
@@ -185,12 +251,12 @@ class Encoder:
         groups: dict[int, list[str]] = {}
         for w in set().union(*cut).difference(self.memo):
             groups.setdefault(len(w), []).append(w)
-        for length, words in groups.items():
-            step = 1 if length > LONG else 20_000
-            for k in range(0, len(words), step):
-                self.memo.update(zip(words[k : k + step], search(self.pieces, words[k : k + step]), strict=True))
-        get = self.memo.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        long = [w for length, words in groups.items() if length > LONG for w in words]
+        found = dict(zip(long, search_long(self.pieces, long), strict=True)) if long else {}
+        for words in (v for k, v in groups.items() if k <= LONG):
+            for k in range(0, len(words), 20_000):
+                self.memo.update(zip(words[k : k + 20_000], search(self.pieces, words[k : k + 20_000]), strict=True))
+        return [b"".join(found[w] if len(w) > LONG else self.memo[w] for w in c) for c in cut]
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.pieces.raw.__getitem__, np.frombuffer(ids, "<i4").tolist()))

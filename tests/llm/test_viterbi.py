@@ -75,6 +75,32 @@ def test_equals_plain_search_and_round_trips(text):
     assert coder.decode(coder.encode([text])[0]) == text
 
 
+def test_long_segments_equal_the_plain_search(monkeypatch):
+    """Segments without spaces of many lengths, together and across blocks and arrays of blocks."""
+    r = random.Random(11)
+    words = ["".join(r.choice(["tion", "an", "he", "q", "日", "é", "01", "\U0001f600", "ing", "str", "x", "\x00"]) for _ in range(n)) for n in (30, 33, 40, 64, 90, 200, 400, 900)]
+    coder = viterbi.Encoder(viterbi.load(str(PATH)))
+    want = [np.array(plain(w), "<i4").tobytes() for w in words]
+    assert coder.encode(words) == want
+    monkeypatch.setattr(viterbi, "BLOCK", 16)
+    monkeypatch.setattr(viterbi, "ROWS", 3)
+    assert coder.encode(words) == want
+    assert [coder.decode(x) for x in want] == words
+
+
+def test_long_segments_in_bounded_memory():
+    import tracemalloc
+
+    r, coder = random.Random(2), viterbi.Encoder(viterbi.load(str(PATH)))
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    coder.encode([text[:1000]])
+    tracemalloc.start()
+    ids = coder.encode([text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert coder.decode(ids) == text and peak < 150_000_000
+
+
 def test_equals_the_library_in_unigram_mode():
     # digits are left out: their scores of -1e9 use up the library's single precision
     lib, r = unigram(), random.Random(3)
