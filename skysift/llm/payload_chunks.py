@@ -5,9 +5,13 @@ A payload of 8-bit samples (a text's UTF-8 bytes, padded) is cut where a rolling
 digests give every digest one owner; the store keeps each chunk once, packed with the other chunks of
 its owner's payload, and an ordered chunk list for every distinct payload. Reading puts the chunks in
 order (those of other payloads come by a join on their digests), checks the payload's digest and
-computes features. Payloads whose chunks are all their own are read without a shuffle.
+computes features.
 
-Chunks are compressed with one dictionary for the store, trained on DICT_ROWS sampled texts.
+Only payloads that repeat or share a chunk (found on the narrow lists of digests) meet others; a join
+that marks them broadcasts their keys where Spark sees that they are few, and else shuffles. The rest is
+written where it was compressed and read without a shuffle.
+
+Chunks are compressed with one dictionary for the store, trained on blocks of DICT_ROWS sampled texts.
 
 Defined results: a null or empty text is one unit of padding; rows that repeat get equal values; an
 empty table gives an empty result; only id and text are read.
@@ -32,9 +36,13 @@ from skysift.llm.support import materialize, short_batches, text_rows
 #: A payload is padded with PAD to a positive multiple of UNIT bytes.
 UNIT, PAD = 576, b"\xff"
 #: Bytes of a chunk: at least, at most, and 2^BITS more than the least on average.
-LEAST, MOST, BITS = 2048, 65_536, 13
-#: Texts sampled for the store's dictionary (the first bytes of 1024-byte blocks by hash order), its bytes, and the level.
-DICT_ROWS, DICT_BYTES, LEVEL = 500, 112_640, 6
+LEAST, MOST, BITS = 128, 8192, 9
+#: Texts sampled for the store's dictionary, bytes of a block and blocks of each text; the dictionary's bytes; the level.
+DICT_ROWS, DICT_BLOCK, DICT_BLOCKS, DICT_BYTES, LEVEL = 500, 1024, 4, 112_640, 6
+#: The driver sees some times SPARE texts' blocks before it picks DICT_ROWS.
+SPARE = 4
+#: Bytes of a digest that names a chunk or payload; whole digests are reported.
+NAME = 16
 _GEAR = np.random.default_rng(577).integers(0, 2**32, 256, np.uint32)
 
 
@@ -68,7 +76,7 @@ def chunks(payload: bytes) -> list[bytes]:
 
 
 def digest(chunk: bytes) -> bytes:
-    return hashlib.sha256(chunk).digest()
+    return hashlib.sha256(chunk).digest()[:NAME]
 
 
 def manifests(docs: DataFrame) -> DataFrame:
@@ -94,28 +102,48 @@ def manifests(docs: DataFrame) -> DataFrame:
 
 def shared_chunks(listed: DataFrame) -> DataFrame:
     """Which payload owns each chunk that several payloads hold: payload, foreign (digests it must
-    fetch) and lent (digests of its own that others fetch). Few payloads have a row."""
-    each = listed.select("payload", "digests").dropDuplicates(["payload"])
-    refs = each.select("payload", F.explode(F.array_distinct("digests")).alias("digest"))
-    owners = refs.groupBy("digest").agg(F.min("payload").alias("owner"), F.count("*").alias("n")).where("n > 1").select("digest", "owner")
+    fetch) and lent (digests of its own that others fetch). Payloads that merely repeat have a row too, with
+    empty lists; the others have none."""
+    rows = listed.groupBy("payload").agg(F.count("*").alias("rows"), F.first("digests").alias("digests"))
+    each = materialize(rows.select("payload", "rows", F.array_distinct("digests").alias("digests")), "payloads")
+    refs = each.select("payload", F.explode("digests").alias("digest"))
+    owners = materialize(refs.groupBy("digest").agg(F.min("payload").alias("owner"), F.count("*").alias("n")).where("n > 1").select("digest", "owner"), "owners")
     met = refs.join(owners, "digest")
-    return met.groupBy("payload").agg(
+    sharing = met.groupBy("payload").agg(
         F.collect_set(F.when(F.col("payload") != F.col("owner"), F.col("digest"))).alias("foreign"),
         F.collect_set(F.when(F.col("payload") == F.col("owner"), F.col("digest"))).alias("lent"),
     )
+    none = F.array().cast("array<binary>")
+    both = each.where("rows > 1").select("payload").join(sharing, "payload", "full")
+    return both.select("payload", F.coalesce("foreign", none).alias("foreign"), F.coalesce("lent", none).alias("lent"))
 
 
 def dictionary(docs: DataFrame) -> bytes:
-    """The store's dictionary from blocks of a bounded sample."""
+    """The store's dictionary from blocks of a bounded sample: texts whose hash falls under a bound that some SPARE
+    times DICT_ROWS reach, equal rows once, and of each the blocks at hashed places."""
+    bound = F.lit(max(1, docs.count() // (SPARE * DICT_ROWS)))
     whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    order = F.xxhash64("doc_id", "text")
-    rows = docs.select(order.alias("o"), F.substring(whole, 1, F.lit(4096)).alias("b")).where(F.octet_length("b") >= 64).orderBy("o").limit(DICT_ROWS).collect()
-    blocks = [bytes(r.b)[k : k + 1024] for r in rows for k in range(0, len(r.b), 1024)]
-    return build_dictionary(blocks, DICT_BYTES) if blocks else b""
+    few = docs.select(F.xxhash64("doc_id", "text").alias("o"), whole.alias("b")).where((F.pmod("o", bound) == 0) & (F.octet_length("b") >= 64))
+    count = F.greatest(F.floor(F.octet_length("b") / DICT_BLOCK), F.lit(1)).cast("int")
+    places = F.transform(F.sequence(F.lit(1), F.lit(DICT_BLOCKS)), lambda k: F.pmod(F.xxhash64("o", k), count) * DICT_BLOCK + 1)
+    blocks = F.transform(F.array_distinct(places), lambda k: F.substring("b", k.cast("int"), F.lit(DICT_BLOCK)))
+    rows = few.select("o", blocks.alias("blocks")).groupBy("o").agg(F.first("blocks").alias("blocks")).orderBy("o").limit(DICT_ROWS).collect()
+    found = [bytes(x) for r in rows for x in r.blocks]
+    return build_dictionary(found, DICT_BYTES) if found else b""
+
+
+def _press(raw: bytes):
+    """A function to compressed chunks; sizes and dictionary are known, so frames don't name them."""
+    held = {"dict_data": zstandard.ZstdCompressionDict(raw)} if raw else {}
+    return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_dict_id=False, write_checksum=False, **held).compress
+
+
+def _open(raw: bytes):
+    whole = zstandard.ZstdDecompressor(**({"dict_data": zstandard.ZstdCompressionDict(raw)} if raw else {}))
+    return lambda blob: whole.decompress(blob, max_output_size=MOST)
 
 
-def _coder(raw: bytes, kind):
-    return kind(dict_data=zstandard.ZstdCompressionDict(raw), **({"level": LEVEL} if kind is zstandard.ZstdCompressor else {})) if raw else kind()
+_CHUNKS = "array<struct<digest:binary,lent:boolean,blob:binary>>"
 
 
 def packs(docs: DataFrame, shared: DataFrame, raw: bytes) -> DataFrame:
@@ -123,7 +151,7 @@ def packs(docs: DataFrame, shared: DataFrame, raw: bytes) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(raw)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press, seen = _coder(held.value, zstandard.ZstdCompressor), set()
+        press, seen = _press(held.value), set()
         kind = pa.list_(pa.struct([("digest", pa.binary()), ("blob", pa.binary())]))
         for _, texts in text_rows(batches):
             rows: list[tuple] = []
@@ -133,15 +161,19 @@ def packs(docs: DataFrame, shared: DataFrame, raw: bytes) -> DataFrame:
                 if name not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(name)
-                    rows.append((name, [{"digest": digest(c), "blob": press.compress(c)} for c in chunks(payload)]))
+                    rows.append((name, [{"digest": digest(c), "blob": press(c)} for c in chunks(payload)]))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], kind)], names=["payload", "chunks"])
 
     short_batches(docs.sparkSession)
-    pressed = docs.select("text").mapInArrow(run, "payload binary, chunks array<struct<digest:binary,blob:binary>>").dropDuplicates(["payload"])
-    known = pressed.join(shared, "payload", "left")
-    is_foreign = lambda c: F.coalesce(F.array_contains("foreign", c["digest"]), F.lit(False))
-    marked = F.transform("chunks", lambda c: F.struct(c["digest"].alias("digest"), F.coalesce(F.array_contains("lent", c["digest"]), F.lit(False)).alias("lent"), F.when(~is_foreign(c), c["blob"]).alias("blob")))
-    return known.select("payload", F.coalesce(F.size("foreign") <= 0, F.lit(True)).alias("whole"), marked.alias("chunks"))
+    pressed = docs.select("text").mapInArrow(run, "payload binary, chunks array<struct<digest:binary,blob:binary>>")
+    meets = shared.select("payload", F.lit(True).alias("meets"))
+    stored = materialize(pressed.join(meets, "payload", "left").select("payload", F.coalesce("meets", F.lit(False)).alias("meets"), "chunks"), "pressed")
+    own = F.transform("chunks", lambda c: F.struct(c["digest"].alias("digest"), F.lit(False).alias("lent"), c["blob"].alias("blob"))).cast(_CHUNKS)
+    alone = stored.where("not meets").select("payload", F.lit(True).alias("whole"), own.alias("chunks"))
+    known = stored.where("meets").select("payload", "chunks").dropDuplicates(["payload"]).join(shared, "payload")
+    marked = F.transform("chunks", lambda c: F.struct(c["digest"].alias("digest"), F.array_contains("lent", c["digest"]).alias("lent"), F.when(~F.array_contains("foreign", c["digest"]), c["blob"]).alias("blob"))).cast(_CHUNKS)
+    met = materialize(known.select("payload", (F.size("foreign") == 0).alias("whole"), marked.alias("chunks")), "packs")
+    return alone.unionByName(met)
 
 
 def describe(samples: bytes, parts: int) -> str:
@@ -162,15 +194,15 @@ def read_back(stored: DataFrame, raw: bytes) -> DataFrame:
     held = stored.sparkSession.sparkContext.broadcast(raw)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = _coder(held.value, zstandard.ZstdDecompressor)
+        open_ = _open(held.value)
         for batch in batches:
             cols: tuple[list, ...] = ([], [], [], [], [], [])
             for name, blobs in zip(batch.column("payload").to_pylist(), batch.column("blobs").to_pylist(), strict=True):
-                samples = b"".join(open_.decompress(b) for b in blobs)
+                samples = b"".join(map(open_, blobs))
                 if digest(samples) != name:
                     raise ValueError(f"payload {name.hex()} does not match its digest")
                 media = b"".join(struct.pack("<I", len(b)) + b for b in blobs)
-                for col, value in zip(cols, (name, name.hex(), zlib.crc32(samples[-32:]), len(media), digest(media).hex(), describe(samples, len(blobs))), strict=True):
+                for col, value in zip(cols, (name, hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(media), hashlib.sha256(media).hexdigest(), describe(samples, len(blobs))), strict=True):
                     col.append(value)
             types = (pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["payload", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
@@ -185,7 +217,7 @@ def store_media(docs: DataFrame) -> tuple[DataFrame, DataFrame, bytes]:
     listed = materialize(manifests(docs), "manifests")
     shared = materialize(shared_chunks(listed), "shared-chunks")
     raw = dictionary(docs)
-    return listed, materialize(packs(docs, shared, raw), "packs"), raw
+    return listed, packs(docs, shared, raw), raw
 
 
 def media_features(docs: DataFrame) -> DataFrame:

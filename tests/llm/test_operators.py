@@ -395,13 +395,24 @@ def test_url_rules(spark):
 
 def test_media(spark, docs, texts):
     listed, stored, raw = payload_chunks.store_media(docs)
-    got = by_id(payload_chunks.media_features(docs).collect())
+    rows = payload_chunks.media_features(docs).collect()
+    assert len(rows) == len(texts) + 3
+    got = by_id(rows)
+    press = payload_chunks._press(raw)
     same = collections.defaultdict(set)
     for n, r in got.items():
         body = (texts[n] or "").encode()
         payload = body + b"\xff" * (max(1, -(-len(body) // 576)) * 576 - len(body))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(body), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
         same[r.payload_sha256].add((r.media_bytes, r.media_sha256, r.feature))
+        # the stored form of a payload, chunk by chunk, and the features of its samples
+        parts = payload_chunks.chunks(payload)
+        media = b"".join(len(b).to_bytes(4, "little") + b for b in map(press, parts))
+        assert b"".join(parts) == payload and (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
+        shares = "/".join(f"{sum(b // 32 == k for b in payload) / len(payload):.4f}" for k in range(8))
+        mean = sum(payload) / len(payload)
+        spread = (sum((b - mean) ** 2 for b in payload) / len(payload)) ** 0.5
+        assert r.feature == f"chunks={len(parts)};mean={mean:.4f};std={spread:.4f};bins={shares}"
     assert all(len(v) == 1 for v in same.values())
     blobs = [c.digest for r in stored.collect() for c in r.chunks if c.blob is not None]
     assert len(blobs) == len(set(blobs))
@@ -419,6 +430,19 @@ def test_shared_chunks_are_stored_once(spark):
     assert payload_chunks.read_back(stored, raw).count() == 6
 
 
+def test_a_passage_of_two_texts_shares_chunks(spark):
+    """Distinct short texts with one passage in common store its chunks once."""
+    r = random.Random(9)
+    passage = prose(r, 900)
+    docs = spark.createDataFrame([(n, prose(r, 120) + " " + passage + " " + prose(r, 90)) for n in range(5)], "doc_id bigint, text string")
+    listed, stored, raw = payload_chunks.store_media(docs)
+    rows = stored.collect()
+    assert sum(not x.whole for x in rows) == 4 and sum(c.lent for x in rows for c in x.chunks) > 0
+    kept = sum(c.blob is not None for x in rows for c in x.chunks)
+    assert kept < 0.8 * sum(len(x.chunks) for x in rows)
+    assert payload_chunks.read_back(stored, raw).count() == 5
+
+
 def test_cuts_follow_the_content():
     r = np.random.default_rng(3)
     data = r.integers(0, 256, 200_000, np.uint8).tobytes()
