@@ -30,8 +30,10 @@ from skysift.llm.support import materialize, short_batches, text_rows
 CAPACITY = 2048
 #: Blocks that the pieces of one length are placed in at most.
 BLOCKS = 128
-#: Parts that the pieces of one length are dealt out to for ranking.
-SALTS = 256
+#: Parts that the pieces of one length are dealt out to for ranking: at least so many, and one for so many pieces.
+SALTS, SALT_ROWS = 256, 1_000_000
+#: Rows of a plan that are broadcast (40 bytes each: 20 MB). A plan has some 128 rows a length, whatever the data's size.
+PLAN_ROWS = 500_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -105,21 +107,25 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, blocks: int = BLOCKS) -> Da
     histogram = {r.length: r["count"] for r in parts.groupBy("length").count().collect()}
     plan, made = plan_sequences({k: v for k, v in histogram.items() if k < capacity}, capacity, blocks)
 
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
+    salts = max(SALTS, sum(histogram.values()) // SALT_ROWS)
+    salted = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
     inside = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = salted.withColumn("nth", F.row_number().over(inside) - 1).join(base, ["length", "salt"]).withColumn("rank", F.col("base") + F.col("nth")).drop("salt", "nth", "base")
 
+    # a plan row holds a run of ranks, no longer than its length's block: it meets the ranks of the blocks that it reaches
     names = ["length", "first_rank", "n", "first_sequence", "offset"]
     table = pa.table([pa.array([p[k] for p in plan], pa.int64()) for k in range(5)], names=names)
-    places = (
-        spark.createDataFrame(table)
-        .repartition(max(1, min(len(plan) // 2000, 200)))
-        .select("length", "offset", "first_rank", "first_sequence", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
-        .select("length", (F.col("first_rank") + F.col("k")).alias("rank"), (F.col("first_sequence") + F.col("k")).alias("sequence_id"), "offset")
-    )
-    short = ranked.where(F.col("length") < capacity).join(places, ["length", "rank"])
+    width = {k: -(-v // blocks) for k, v in histogram.items()}
+    wide = pa.table([pa.array(list(width), pa.int64()), pa.array(list(width.values()), pa.int64())], names=["length", "width"])
+    widths = F.broadcast(spark.createDataFrame(wide))  # one row a length: at most `capacity`
+    runs = spark.createDataFrame(table).join(widths, "length").withColumn("last", F.col("first_rank") + F.col("n") - 1)
+    block = lambda c: F.expr(f"{c} div width")
+    runs = runs.select("length", "first_rank", "last", "first_sequence", "offset", F.explode(F.sequence(block("first_rank"), block("last"))).alias("block"))
+    short = ranked.where(F.col("length") < capacity).join(widths, "length").withColumn("block", block("rank"))
+    short = short.join(F.broadcast(runs) if len(plan) <= PLAN_ROWS else runs, ["length", "block"]).where("rank between first_rank and last")
+    short = short.withColumn("sequence_id", F.col("first_sequence") + F.col("rank") - F.col("first_rank"))
     full = ranked.where(F.col("length") == capacity).select("*", (F.lit(made) + F.col("rank")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     keep = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     return short.select(keep).unionByName(full.select(keep))
