@@ -7,7 +7,8 @@ rule of the same text).
 
 Defined results: a null url, or one without "://", has an empty host and path and gets the default
 verdict; repeated urls get equal verdicts, one for each row; an empty table gives an empty result; an
-empty rule table leaves the default. Columns of the input with names of the result are replaced.
+empty rule table leaves the default; a rule without a host fits nothing. Columns of the input with names
+of the result are replaced.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     host, path = url_parts(F.col(url_col))
     parts = pages.withColumn("__h", host).withColumn("__p", path).select(*kept, "__h", "__p")
 
-    known = rules.select("action", F.col("host").alias("rh"), F.coalesce("path", F.lit("")).alias("rp")).where("rh is not null and action is not null")
+    known = rules.select("action", F.col("host").alias("rh"), F.coalesce("path", F.lit("")).alias("rp")).where("rh <> '' and action is not null")
     # one rule for each (host, path): block before allow
     known = known.groupBy("rh", "rp").agg(F.max("action").alias("action"))
     known = known.select("action", F.concat("rh", "rp").alias("rule"), F.size(F.split("rh", r"\.")).alias("labels"), F.length("rp").alias("chars"))
@@ -56,17 +57,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
         return parts.select(*kept, F.col("__h").alias("host"), F.col("__p").alias("path"), empty.alias("rule"), F.lit(default).alias("verdict"))
     total = sum(s["count"] for s in shapes)
 
-    keys = parts.select("__h", "__p").distinct()
+    keys = parts.where("__h <> ''").select("__h", "__p").distinct()
     labels = F.size(F.split("__h", r"\."))
-    expressions = F.array(*[
-        F.when(
-            (labels >= s.labels) & (F.length("__p") >= s.chars),
-            F.concat(F.lit(f"{s.labels}|{s.chars}|"), F.substring_index("__h", ".", -s.labels), F.substring("__p", 1, s.chars)),
-        )
-        for s in sorted(shapes, key=lambda s: (s.labels, s.chars))
-    ])
+    # one constant list, however many shapes there are
+    listed = F.array(*[F.struct(F.lit(s.labels).alias("labels"), F.lit(s.chars).alias("chars")) for s in sorted(shapes, key=lambda s: (s.labels, s.chars))])
+    reached = F.filter(listed, lambda s: (labels >= s["labels"]) & (F.length("__p") >= s["chars"]))
+    expressions = F.transform(reached, lambda s: F.concat(s["labels"].cast("string"), F.lit("|"), s["chars"].cast("string"), F.lit("|"), F.call_function("substring_index", F.col("__h"), F.lit("."), -s["labels"]), F.substring("__p", F.lit(1), s["chars"])))
     expanded = (
-        keys.select("__h", "__p", F.explode(F.filter(expressions, lambda x: x.isNotNull())).alias("expression"))
+        keys.select("__h", "__p", F.explode(expressions).alias("expression"))
         .withColumn("full", _digest(F.col("expression")))
         .withColumn("short", F.substring("full", 1, 8))
     )
@@ -74,7 +72,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     hits = expanded.join(F.broadcast(side) if total <= BROADCAST_RULES else side, "short").where(F.col("full") == F.col("digest"))
     best = F.max_by(F.struct("rule", "action"), F.struct(F.length("rule"), F.col("action"), F.col("rule")))
     verdicts = hits.groupBy("__h", "__p").agg(best.alias("best"))
-    return parts.join(verdicts, ["__h", "__p"], "left").select(
+    # urls without a host have no rule: they don't meet in the join as one key
+    judged = parts.where("__h <> ''").join(verdicts, ["__h", "__p"], "left").select(*kept, "__h", "__p", "best")
+    bare = parts.where("__h = ''").withColumn("best", F.lit(None).cast(verdicts.schema["best"].dataType))
+    return judged.unionByName(bare).select(
         *kept,
         F.col("__h").alias("host"),
         F.col("__p").alias("path"),
