@@ -109,7 +109,11 @@ def splice(encoded: DataFrame) -> DataFrame:
     key = ["doc_id", "hash", "n_bytes"]
     once = encoded.groupBy(*key, "chunk").agg(*(F.first(c).alias(c) for c in ("last", "n_tokens", "head", "tail")))
     left = once.where(~F.col("last")).select(*key, (F.col("chunk") + 1).alias("chunk"), F.col("tail").alias("left"))
-    both = once.join(left, [*key, "chunk"], "left")
+    # a row without an id has its chunks like any other
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
+    for c in (*key[1:], "chunk"):
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    both = once.alias("a").join(left.alias("b"), same, "left").select("a.*", "left")
     places = lambda c: F.transform(c, lambda x: x["at"])
     common = F.array_min(F.array_intersect(places("left"), places("head")))
     at = lambda c: F.get(F.filter(c, lambda x: x["at"] == F.col("common")), F.lit(0))["tokens"]
@@ -126,7 +130,8 @@ def count_huge(docs: DataFrame, tokenizer_path: str, chunk: int = CHUNK, overlap
     rows: DataFrame | None = None
     while True:
         # rows of a text go to several tasks; equal chunks of repeated rows meet again in splice()
-        spread = cut(docs, chunk, overlap).repartition("doc_id", "hash", "chunk")
+        tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as many as set: chunks are small but dear
+        spread = cut(docs, chunk, overlap).repartition(tasks, "doc_id", "hash", "chunk")
         encoded = materialize(encode_chunks(spread, tokenizer_path, overlap), "chunks")
         rows = encoded.where("chunk = 0").select(*key) if rows is None else rows
         counted = materialize(splice(encoded), "spliced")
