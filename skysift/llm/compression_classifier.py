@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skysift.llm.support import short_batches, text_rows
+from skysift.llm.support import materialize, short_batches, text_rows
 
 #: Bytes of a block. A dictionary helps the start of a block most, so blocks are short.
 BLOCK = 512
@@ -31,6 +31,8 @@ BLOCK = 512
 DICT_BYTES = 131_072
 #: Labelled rows taken for the dictionaries (of each class), and blocks of them at most.
 DICT_ROWS, DICT_BLOCKS = 2000, 6000
+#: The driver sees some times SPARE blocks before it picks DICT_BLOCKS.
+SPARE = 2
 #: Labelled rows for the calibration.
 CALIBRATION_ROWS = 6000
 #: Bytes added to the sum that the difference is divided by, so that a few bytes of a short text say little.
@@ -116,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Compressi
     sample = rows.where((part == 0) & (F.col("label") == 1)).orderBy("order", "doc_id").limit(DICT_ROWS)
     sample = sample.unionByName(rows.where((part == 0) & (F.col("label") == 0)).orderBy("order", "doc_id").limit(DICT_ROWS))
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = body.join(F.broadcast(sample), "doc_id")
+    texts = materialize(body.join(F.broadcast(sample), "doc_id"), "labelled")  # 2 * DICT_ROWS labels at most
     whole = F.encode("text", "UTF-8")
     count = F.ceil(F.octet_length("text") / BLOCK).cast("int")
     blocks = (
@@ -124,7 +126,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Compressi
         .select("label", "doc_id", "order", F.explode(F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.struct(k.alias("nth"), F.substring(whole, k * BLOCK + 1, F.lit(BLOCK)).alias("block")))).alias("b"))
         .select("label", F.xxhash64("doc_id", "b.nth").alias("order"), "doc_id", F.col("b.nth").alias("nth"), F.col("b.block").alias("block"))
     )
-    got = {y: [bytes(r.block) for r in blocks.where(F.col("label") == y).orderBy("order", "doc_id", "nth").limit(DICT_BLOCKS).collect()] for y in (1, 0)}
+    held = {r.label: r.n for r in texts.groupBy("label").agg(F.sum(count).alias("n")).collect()}
+
+    def picked(label: int) -> list[bytes]:
+        """Blocks by hash order, of those whose hash falls under a bound that some SPARE times DICT_BLOCKS reach."""
+        bound = F.lit(max(1, (held.get(label) or 0) // (SPARE * DICT_BLOCKS)))
+        few = blocks.where((F.col("label") == label) & (F.pmod("order", bound) == 0))
+        return [bytes(r.block) for r in few.orderBy("order", "doc_id", "nth").limit(DICT_BLOCKS).collect()]
+
+    got = {y: picked(y) for y in (1, 0)}
     if not got[0] or not got[1]:
         return CompressionModel(b"", b"", ())
     good, bad = build_dictionary(got[1]), build_dictionary(got[0])

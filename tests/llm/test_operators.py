@@ -274,8 +274,10 @@ def test_token_counts_across_awkward_cuts(spark):
     coder, r = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json")), random.Random(5)
     bits = ["<|endoftext|>", "   ", "\n\n", "don't", "we'll", " a", "日本語", "123456", "!!!", "\t", "é" * 30, "x" * 70, " ", "word", "<|end"]
     rows = [(n, "".join(r.choice(bits) for _ in range(400))) for n in range(12)]
-    got = token_counts.count_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), tokenizer_file("byte_bpe_50k.json"), chunk=200, overlap=64)
-    for x in got.collect():
+    rows.append((None, rows[0][1]))
+    found = token_counts.count_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), tokenizer_file("byte_bpe_50k.json"), chunk=200, overlap=64).collect()
+    assert len(found) == 13 and {x.n_tokens for x in found if x.doc_id is None} == {x.n_tokens for x in found if x.doc_id == 0}
+    for x in (x for x in found if x.doc_id is not None):
         assert x.n_tokens == len(coder.encode(rows[x.doc_id][1], add_special_tokens=False).ids)
 
 
@@ -386,6 +388,7 @@ def test_url_rules(spark):
         assert (r.host, r.path, r.rule, r.verdict) == plain(r.url)
     none = url_rules.judge_urls(pages, url_rules.rule_table(spark, URL_RULES).limit(0), default="block").collect()
     assert {r.verdict for r in none} == {"block"} and {r.rule for r in none} == {None}
+    assert {r.rule for r in url_rules.judge_urls(pages, url_rules.rule_table(spark, [("block", "", "")])).collect()} == {None}
     both = url_rules.rule_table(spark, [("allow", "org", "/"), ("block", "org", "/")])
     assert url_rules.judge_urls(pages, both).where("page_id = 4").first().verdict == "block"
 
@@ -545,6 +548,29 @@ def test_sharding(docs, texts):
     assert [loads[s] for s in range(5)] == made.loads()
 
 
+def test_sizes_are_near_equal(spark):
+    """Many rows: no shard is off the mean by more than a hundredth, though one source holds a third of the bytes."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 3 * 60 + F.when(F.col("id") % 7 == 0, 300).otherwise(20)).cast("int")).alias("text"))
+    out, made = slots.shard_by_bytes(docs, 24)
+    loads = [r.b for r in out.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(loads) == 24 and sorted(loads) == sorted(made.loads()) and max(loads) - min(loads) < 0.01 * sum(loads) / 24
+
+
+def test_the_stored_map_is_loaded_and_edited(spark, tmp_path):
+    """A second run goes by the stored map: only slots of the new shard move, and both versions stay."""
+    folder = f"file://{tmp_path}/map"
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("y"), (F.col("id") % 90).cast("int")).alias("text"))
+    first, one = slots.shard_by_bytes(docs, 4, slots=256, folder=folder)
+    before = {r.doc_id: r.shard for r in first.collect()}
+    more = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 4000))
+    second, two = slots.shard_by_bytes(more, 5, slots=256, folder=folder)
+    after = {r.doc_id: r.shard for r in second.collect()}
+    assert two.version == one.version + 1 and two.shards == 5 and len(after) == 8000
+    assert all(after[n] in (shard, 4) for n, shard in before.items()) and 0 < sum(after[n] == 4 for n in before) < 2000
+    assert slots.load_map(spark, folder, one.version).shard_of == one.shard_of and slots.load_map(spark, folder).shard_of == two.shard_of
+    assert max(two.loads()) - min(two.loads()) < 0.1 * sum(two.loads()) / 5
+
+
 def test_map_edits():
     r = random.Random(3)
     sizes = [r.randrange(50, 150) for _ in range(512)]
