@@ -7,9 +7,9 @@ its owner's payload, and an ordered chunk list for every distinct payload. Readi
 order (those of other payloads come by a join on their digests), checks the payload's digest and
 computes features.
 
-Only payloads that repeat or share a chunk (found on the narrow lists of digests) meet others; a join
-that marks them broadcasts their keys where Spark sees that they are few, and else shuffles. The rest is
-written where it was compressed and read without a shuffle.
+Which chunks are shared is found on the narrow lists of digests. Compressed payloads are shuffled once, by
+payload, which brings copies together and each to the list of its shared chunks; payloads whose chunks are
+all their own are then read where they lie.
 
 Chunks are compressed with one dictionary for the store, trained on blocks of DICT_ROWS sampled texts.
 
@@ -36,7 +36,7 @@ from skysift.llm.support import materialize, short_batches, text_rows
 #: A payload is padded with PAD to a positive multiple of UNIT bytes.
 UNIT, PAD = 576, b"\xff"
 #: Bytes of a chunk: at least, at most, and 2^BITS more than the least on average.
-LEAST, MOST, BITS = 128, 8192, 9
+LEAST, MOST, BITS = 256, 8192, 10
 #: Texts sampled for the store's dictionary, bytes of a block and blocks of each text; the dictionary's bytes; the level.
 DICT_ROWS, DICT_BLOCK, DICT_BLOCKS, DICT_BYTES, LEVEL = 500, 1024, 4, 112_640, 6
 #: The driver sees some times SPARE texts' blocks before it picks DICT_ROWS.
@@ -100,22 +100,17 @@ def manifests(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload binary, digests array<binary>")
 
 
+_SHARED = "array<struct<at:int,digest:binary>>"
+
+
 def shared_chunks(listed: DataFrame) -> DataFrame:
-    """Which payload owns each chunk that several payloads hold: payload, foreign (digests it must
-    fetch) and lent (digests of its own that others fetch). Payloads that merely repeat have a row too, with
-    empty lists; the others have none."""
-    rows = listed.groupBy("payload").agg(F.count("*").alias("rows"), F.first("digests").alias("digests"))
-    each = materialize(rows.select("payload", "rows", F.array_distinct("digests").alias("digests")), "payloads")
-    refs = each.select("payload", F.explode("digests").alias("digest"))
-    owners = materialize(refs.groupBy("digest").agg(F.min("payload").alias("owner"), F.count("*").alias("n")).where("n > 1").select("digest", "owner"), "owners")
-    met = refs.join(owners, "digest")
-    sharing = met.groupBy("payload").agg(
-        F.collect_set(F.when(F.col("payload") != F.col("owner"), F.col("digest"))).alias("foreign"),
-        F.collect_set(F.when(F.col("payload") == F.col("owner"), F.col("digest"))).alias("lent"),
-    )
-    none = F.array().cast("array<binary>")
-    both = each.where("rows > 1").select("payload").join(sharing, "payload", "full")
-    return both.select("payload", F.coalesce("foreign", none).alias("foreign"), F.coalesce("lent", none).alias("lent"))
+    """Which payload owns each chunk that several payloads hold: payload, foreign (digests that it must fetch, with
+    their places among its distinct chunks) and lent (likewise those of its own that others fetch). Few payloads have a row."""
+    refs = listed.select("payload", F.posexplode(F.array_distinct("digests")).alias("at", "digest"))
+    owners = refs.groupBy("digest").agg(F.min("payload").alias("owner"), F.max("payload").alias("last")).where("owner <> last").select("digest", "owner")
+    met = refs.join(materialize(owners, "owners"), "digest").withColumn("c", F.struct("at", "digest"))
+    foreign, lent = (F.collect_set(F.when(own, F.col("c"))).cast(_SHARED) for own in (F.col("payload") != F.col("owner"), F.col("payload") == F.col("owner")))
+    return met.groupBy("payload").agg(foreign.alias("foreign"), lent.alias("lent"))
 
 
 def dictionary(docs: DataFrame) -> bytes:
@@ -143,16 +138,13 @@ def _open(raw: bytes):
     return lambda blob: whole.decompress(blob, max_output_size=MOST)
 
 
-_CHUNKS = "array<struct<digest:binary,lent:boolean,blob:binary>>"
-
-
 def packs(docs: DataFrame, shared: DataFrame, raw: bytes) -> DataFrame:
-    """payload, whole (no chunk is foreign) and chunks (digest, lent, blob; a foreign one has no blob) of each distinct payload."""
+    """payload, blobs of its distinct chunks (null where one is foreign), order (the chunk list as places among them;
+    null where it is theirs), foreign and lent of each distinct payload."""
     held = docs.sparkSession.sparkContext.broadcast(raw)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, seen = _press(held.value), set()
-        kind = pa.list_(pa.struct([("digest", pa.binary()), ("blob", pa.binary())]))
         for _, texts in text_rows(batches):
             rows: list[tuple] = []
             for text in texts:
@@ -161,19 +153,19 @@ def packs(docs: DataFrame, shared: DataFrame, raw: bytes) -> DataFrame:
                 if name not in seen:
                     if len(seen) < 1_000_000:
                         seen.add(name)
-                    rows.append((name, [{"digest": digest(c), "blob": press(c)} for c in chunks(payload)]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], kind)], names=["payload", "chunks"])
+                    parts = chunks(payload)
+                    place = {c: k for k, c in enumerate(dict.fromkeys(parts))}
+                    rows.append((name, list(map(press, place)), [place[c] for c in parts] if len(place) < len(parts) else None))
+            types = (pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["payload", "blobs", "order"])
 
     short_batches(docs.sparkSession)
-    pressed = docs.select("text").mapInArrow(run, "payload binary, chunks array<struct<digest:binary,blob:binary>>")
-    meets = shared.select("payload", F.lit(True).alias("meets"))
-    stored = materialize(pressed.join(meets, "payload", "left").select("payload", F.coalesce("meets", F.lit(False)).alias("meets"), "chunks"), "pressed")
-    own = F.transform("chunks", lambda c: F.struct(c["digest"].alias("digest"), F.lit(False).alias("lent"), c["blob"].alias("blob"))).cast(_CHUNKS)
-    alone = stored.where("not meets").select("payload", F.lit(True).alias("whole"), own.alias("chunks"))
-    known = stored.where("meets").select("payload", "chunks").dropDuplicates(["payload"]).join(shared, "payload")
-    marked = F.transform("chunks", lambda c: F.struct(c["digest"].alias("digest"), F.array_contains("lent", c["digest"]).alias("lent"), F.when(~F.array_contains("foreign", c["digest"]), c["blob"]).alias("blob"))).cast(_CHUNKS)
-    met = materialize(known.select("payload", (F.size("foreign") == 0).alias("whole"), marked.alias("chunks")), "packs")
-    return alone.unionByName(met)
+    pressed = docs.select("text").mapInArrow(run, "payload binary, blobs array<binary>, order array<int>").dropDuplicates(["payload"])
+    none = F.array().cast(_SHARED)
+    known = pressed.join(shared, "payload", "left").select("payload", "blobs", "order", F.coalesce("foreign", none).alias("foreign"), F.coalesce("lent", none).alias("lent"))
+    elsewhere = F.transform("foreign", lambda c: c["at"])
+    own = F.when(F.size("foreign") == 0, F.col("blobs")).otherwise(F.transform("blobs", lambda b, k: F.when(~F.array_contains(elsewhere, k), b)))
+    return known.select("payload", own.alias("blobs"), "order", "foreign", "lent")
 
 
 def describe(samples: bytes, parts: int) -> str:
@@ -185,19 +177,20 @@ def describe(samples: bytes, parts: int) -> str:
 
 def read_back(stored: DataFrame, raw: bytes) -> DataFrame:
     """Digests, sizes and features of each stored payload, from the bytes in the store."""
-    lent = stored.select(F.explode(F.filter("chunks", lambda c: c["lent"])).alias("c")).select("c.digest", F.col("c.blob").alias("fetched")).dropDuplicates(["digest"])
-    parted = stored.where(~F.col("whole"))
-    needs = parted.select("payload", F.explode(F.filter("chunks", lambda c: c["blob"].isNull())).alias("c")).select("payload", "c.digest").distinct()
-    fetched = needs.join(lent, "digest").groupBy("payload").agg(F.map_from_entries(F.collect_list(F.struct("digest", "fetched"))).alias("got"))
-    filled = parted.join(fetched, "payload").select("payload", F.transform("chunks", lambda c: F.coalesce(c["blob"], F.element_at("got", c["digest"]))).alias("blobs"))
-    complete = stored.where("whole").select("payload", F.transform("chunks", lambda c: c["blob"]).alias("blobs")).unionByName(filled)
+    lent = stored.select("blobs", F.explode("lent").alias("c")).select("c.digest", F.get("blobs", "c.at").alias("fetched")).dropDuplicates(["digest"])
+    parted = stored.where(F.size("foreign") > 0)
+    needs = parted.select("payload", F.explode("foreign").alias("c")).select("payload", "c.at", "c.digest")
+    fetched = needs.join(lent, "digest").groupBy("payload").agg(F.map_from_entries(F.collect_list(F.struct("at", "fetched"))).alias("got"))
+    filled = parted.join(fetched, "payload").select("payload", F.transform("blobs", lambda b, k: F.coalesce(b, F.element_at("got", k))).alias("blobs"), "order")
+    complete = stored.where(F.size("foreign") == 0).select("payload", "blobs", "order").unionByName(filled)
     held = stored.sparkSession.sparkContext.broadcast(raw)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = _open(held.value)
         for batch in batches:
             cols: tuple[list, ...] = ([], [], [], [], [], [])
-            for name, blobs in zip(batch.column("payload").to_pylist(), batch.column("blobs").to_pylist(), strict=True):
+            for name, blobs, order in zip(*(batch.column(c).to_pylist() for c in ("payload", "blobs", "order")), strict=True):
+                blobs = [blobs[k] for k in order] if order else blobs
                 samples = b"".join(map(open_, blobs))
                 if digest(samples) != name:
                     raise ValueError(f"payload {name.hex()} does not match its digest")
@@ -217,7 +210,7 @@ def store_media(docs: DataFrame) -> tuple[DataFrame, DataFrame, bytes]:
     listed = materialize(manifests(docs), "manifests")
     shared = materialize(shared_chunks(listed), "shared-chunks")
     raw = dictionary(docs)
-    return listed, packs(docs, shared, raw), raw
+    return listed, materialize(packs(docs, shared, raw), "packs"), raw
 
 
 def media_features(docs: DataFrame) -> DataFrame:

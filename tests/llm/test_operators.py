@@ -417,8 +417,10 @@ def test_media(spark, docs, texts):
         spread = (sum((b - mean) ** 2 for b in payload) / len(payload)) ** 0.5
         assert r.feature == f"chunks={len(parts)};mean={mean:.4f};std={spread:.4f};bins={shares}"
     assert all(len(v) == 1 for v in same.values())
-    blobs = [c.digest for r in stored.collect() for c in r.chunks if c.blob is not None]
-    assert len(blobs) == len(set(blobs))
+    digests = {bytes(r.payload): [bytes(d) for d in r.digests] for r in listed.collect()}
+    kept = [d for r in stored.collect() for d, b in zip(dict.fromkeys(digests[bytes(r.payload)]), r.blobs, strict=True) if b is not None]
+    assert len(kept) == len(set(kept)) and {d for ds in digests.values() for d in ds} == set(kept)
+    assert any(r.order for r in stored.collect())
 
 
 def test_shared_chunks_are_stored_once(spark):
@@ -427,9 +429,9 @@ def test_shared_chunks_are_stored_once(spark):
     docs = spark.createDataFrame([(n, prose(r, 50 + 40 * n) + common + prose(r, 30)) for n in range(6)], "doc_id bigint, text string")
     listed, stored, raw = payload_chunks.store_media(docs)
     rows = stored.collect()
-    assert sum(not x.whole for x in rows) == 5
-    kept = sum(c.blob is not None for x in rows for c in x.chunks)
-    assert kept < 0.5 * sum(len(x.chunks) for x in rows)
+    assert sum(len(x.foreign) > 0 for x in rows) == 5
+    kept = sum(b is not None for x in rows for b in x.blobs)
+    assert kept < 0.5 * sum(len(x.blobs) for x in rows)
     assert payload_chunks.read_back(stored, raw).count() == 6
 
 
@@ -440,9 +442,9 @@ def test_a_passage_of_two_texts_shares_chunks(spark):
     docs = spark.createDataFrame([(n, prose(r, 120) + " " + passage + " " + prose(r, 90)) for n in range(5)], "doc_id bigint, text string")
     listed, stored, raw = payload_chunks.store_media(docs)
     rows = stored.collect()
-    assert sum(not x.whole for x in rows) == 4 and sum(c.lent for x in rows for c in x.chunks) > 0
-    kept = sum(c.blob is not None for x in rows for c in x.chunks)
-    assert kept < 0.8 * sum(len(x.chunks) for x in rows)
+    assert sum(len(x.foreign) > 0 for x in rows) == 4 and sum(len(x.lent) > 0 for x in rows) == 1
+    kept = sum(b is not None for x in rows for b in x.blobs)
+    assert kept < 0.8 * sum(len(x.blobs) for x in rows)
     assert payload_chunks.read_back(stored, raw).count() == 5
 
 
