@@ -176,7 +176,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * both >= 80 * (len(a) + len(b) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    short_batches(pairs.sparkSession, 500)
+    short_batches(pairs.sparkSession)
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
     return pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(run, "u bigint, v bigint")

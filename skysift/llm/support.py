@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skysift.stored import materialize, shared_dir  # noqa: F401
 
-#: Rows of one Arrow batch handed to Python; long texts make large rows, so batches stay short.
-BATCH_ROWS = 1000
+#: Rows and bytes of one Arrow batch handed to Python at most. Long texts make large rows, so the bytes bound it.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
-def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the memory of a Python task: at most `rows` rows and 16 MB of input a batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+def short_batches(spark: SparkSession) -> None:
+    """Bound the memory of Python tasks. The settings are the session's and stay: each operator sets the same ones,
+    as a plan that is returned runs under what the session has then."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -62,7 +62,7 @@ def cut(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
                         names=["doc_id", "hash", "n_bytes", "chunk", "last", "text"],
                     )
 
-    short_batches(docs.sparkSession, 64)
+    short_batches(docs.sparkSession)
     return docs.select("doc_id", "hash", "n_bytes", "text").mapInArrow(run, "doc_id bigint, hash bigint, n_bytes bigint, chunk int, last boolean, text string")
 
 
@@ -96,7 +96,7 @@ def encode_chunks(chunks: DataFrame, tokenizer_path: str, overlap: int) -> DataF
                 names=["doc_id", "hash", "n_bytes", "chunk", "last", "n_tokens", "head", "tail"],
             )
 
-    short_batches(chunks.sparkSession, 64)
+    short_batches(chunks.sparkSession)
     return chunks.mapInArrow(run, _ENCODED)
 
 
