@@ -32,8 +32,6 @@ CAPACITY = 2048
 BLOCKS = 128
 #: Parts that the pieces of one length are dealt out to for ranking: at least so many, and one for so many pieces.
 SALTS, SALT_ROWS = 256, 1_000_000
-#: Rows of a plan that are broadcast (40 bytes each: 20 MB). A plan has some 128 rows a length, whatever the data's size.
-PLAN_ROWS = 500_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -124,7 +122,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, blocks: int = BLOCKS) -> Da
     block = lambda c: F.expr(f"{c} div width")
     runs = runs.select("length", "first_rank", "last", "first_sequence", "offset", F.explode(F.sequence(block("first_rank"), block("last"))).alias("block"))
     short = ranked.where(F.col("length") < capacity).join(widths, "length").withColumn("block", block("rank"))
-    short = short.join(F.broadcast(runs) if len(plan) <= PLAN_ROWS else runs, ["length", "block"]).where("rank between first_rank and last")
+    short = short.join(runs, ["length", "block"]).where("rank between first_rank and last")
     short = short.withColumn("sequence_id", F.col("first_sequence") + F.col("rank") - F.col("first_rank"))
     full = ranked.where(F.col("length") == capacity).select("*", (F.lit(made) + F.col("rank")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     keep = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

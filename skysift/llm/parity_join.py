@@ -9,15 +9,16 @@ principle, for one order of blocks that all sets share, two similar sets have an
 first |A| / 4 + 1 of either. The order puts blocks of rare shingles first and full ones before sparse
 ones, so that passages that many texts share seldom make candidates; which shingles count as frequent is
 read off a bounded sample and steers nothing but that order. Blocks are so many that a set has that
-many of them: in the two lowest bands each shingle is a block of its own, and above them a set that falls
+many of them: in the lowest bands each shingle is a block of its own, and above them a set that falls
 short has odds below 1e-15, so no key is there that unrelated sets would share.
 
-A set near the lower edge of its band is also registered in the band below, as its partners may be there.
+A set near the lower edge of its band is also registered in the band below, as its partners may be there;
+so sets that share a block differ in size by a factor of 2.5 at most.
 
 Candidates that share a block are first compared with one hub of the block (linear work, three rounds
-with other hubs each), links merge into components, and only members of different components and of
-sizes that can link then meet in pairs, past a second parity sketch of 512 bits whose Hamming distance
-must stay within the bound. What passes is verified on whole sets. No link between different texts is lost, for pairs that
+with other hubs each), links merge into components, and only members of different components then
+meet in pairs, past a second parity sketch of 512 bits whose Hamming distance must stay within the
+bound. What passes is verified on whole sets. No link between different texts is lost, for pairs that
 are skipped are in one component already.
 
 Defined results: a null text, an empty one and one without words have no shingles and no links; equal
@@ -41,11 +42,9 @@ from skysift.llm.components import components
 from skysift.llm.shingles import mix, shingles
 from skysift.llm.support import materialize, short_batches, text_rows
 
-#: Bands are powers of 4. Shingles a block holds on average in a set at the upper edge of its band (a quarter
+#: Bands are powers of 2. Shingles a block holds on average in a set at the upper edge of its band (a quarter
 #: more in sets registered from the band above), blocks at least, and the highest band of one shingle a block.
-LOAD, LEAST_BLOCKS, SINGLE = 2.0, 64, 1
-#: Sizes fall into steps of this ratio for the last round: sizes that can link are in one step or in neighbours.
-STEP = 1.26
+LOAD, LEAST_BLOCKS, SINGLE = 2.5, 64, 4
 WORDS = 8
 #: Documents sampled for frequent shingles, hits that make one frequent, and how many are kept.
 SAMPLE_DOCS, SAMPLE_HITS, FREQUENT = 4000, 5, 200_000
@@ -57,13 +56,13 @@ _KEYS = "doc_id bigint, n bigint, k1 bigint, k2 bigint, " + ", ".join(f"{p} bigi
 
 def bands(size: int) -> list[int]:
     """The band of a size, and the one below where partners may be in it."""
-    band = (size.bit_length() - 1) // 2
-    return [band, band - 1] if band and 4 * size < 5 * 4**band else [band]
+    band = size.bit_length() - 1
+    return [band, band - 1] if band and 4 * size < 5 * 2**band else [band]
 
 
 def blocks_of(found: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Parities and shingle counts of the blocks of a sorted set that aren't empty."""
-    count = max(LEAST_BLOCKS, int(np.ceil(4 ** (band + 1) / LOAD))) if band > SINGLE else 1 << 32
+    count = max(LEAST_BLOCKS, int(np.ceil(2 ** (band + 1) / LOAD))) if band > SINGLE else 1 << 32
     at = ((found >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
     starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     parity = np.bitwise_xor.reduceat(mix(found + np.uint64(band)), starts)
@@ -214,17 +213,9 @@ def _hub_pairs(members: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
 
 
 def _close_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of one block whose components differ and whose sizes and sketches allow a link.
-
-    Sizes of a link lie in one step or in two neighbours, so steps are part of the key: a block that texts of all
-    lengths share falls into as many keys. The larger set of a pair is dealt to its own step and to the one below.
-    """
-    step = F.floor(F.ln("n") / F.ln(F.lit(STEP))).cast("int")
-    a = members.withColumn("step", step).alias("a")
-    b = members.withColumn("step", F.explode(F.array(step, step - 1))).alias("b")
-    larger = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
-    same = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.step") == F.col("b.step"))
-    met = a.join(b, same & larger & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b"))
+    """Pairs of one block whose components differ and whose sizes and sketches allow a link."""
+    a, b = members.alias("a"), members.alias("b")
+    met = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b"))
     return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
 
