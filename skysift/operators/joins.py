@@ -52,7 +52,9 @@ def backward(left: DataFrame, right: DataFrame, x: str, y: str, carry: list[str]
     filled = merged.withColumn("__here", F.last("__r", ignorenulls=True).over(inside))
     ends = merged.where("__r is not null").groupBy("__p").agg(F.max(F.struct("__t", "__o", "__r")).alias("e"))
     ends = ends.select(F.col("__p").alias("__q"), F.col("e.__r").alias("__end"))
-    last = merged.select("__p").distinct().join(ends, F.col("__q") < F.col("__p"), "left").groupBy("__p").agg(F.max_by("__end", "__q").alias("__before"))
+    # one row a partition, in one window: their number is set by the session, not by the data
+    before = F.last("__end", ignorenulls=True).over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    last = merged.select("__p").distinct().join(ends, F.col("__q") == F.col("__p"), "left").select("__p", before.alias("__before"))
     out = filled.where("__l is not null").join(F.broadcast(last), "__p", "left")
     return out.select("__l.*", F.coalesce("__here", "__before").alias("found")).select(*left.columns, F.col("found.at").alias(y), *[F.col(f"found.{c}").alias(c) for c in carry])
 
@@ -64,12 +66,42 @@ def separation(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:
     return F.degrees(2 * F.asin(F.sqrt(F.least(F.lit(1.0), h))))
 
 
+def _ra_cells(band: Column, radius: float) -> Column:
+    """Cells of right ascension in a declination band: each as wide at least as a cone about a point of the band; one at the poles."""
+    r = radius * (1 + 1e-9)
+    edge = F.greatest(F.abs(band * radius), F.abs((band + 1) * radius))
+    wide = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(r))) / F.cos(F.radians(edge)))))
+    return F.when(edge + r >= 90, F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(360 / wide))).cast("bigint")
+
+
 def cone(points: DataFrame, catalog: DataFrame, radius: float) -> DataFrame:
-    """Catalog rows (c_ra, c_dec) within radius of points (ra, dec), with `sep`; met by declination bands."""
-    spread = catalog.withColumn("__b", F.explode(F.array(*[F.floor(F.col("c_dec") / radius).cast("bigint") + k for k in (-1, 0, 1)])))
+    """Catalog rows (c_ra, c_dec) within radius of points (ra, dec), with `sep`.
+
+    They meet in cells: bands of declination as high as the radius, cut into cells of right ascension that widen with
+    1 / cos(dec) and wrap at 360 degrees. A catalog row is dealt to nine cells at most; a radius below 90 degrees.
+    """
+    cell = lambda ra, count: F.least(F.floor(F.pmod(ra, F.lit(360.0)) / 360 * count), count - 1).cast("bigint")
+    bands = catalog.withColumn("__b", F.explode(F.array(*[F.floor(F.col("c_dec") / radius).cast("bigint") + k for k in (-1, 0, 1)]))).withColumn("__m", _ra_cells(F.col("__b"), radius))
+    at = F.array_distinct(F.transform(F.array(*[F.lit(k) for k in (-1, 0, 1)]), lambda k: F.pmod(cell(F.col("c_ra"), F.col("__m")) + k, F.col("__m"))))
+    spread = bands.withColumn("__d", F.explode(at))
     keyed = points.withColumn("__a", F.floor(F.col("dec") / radius).cast("bigint"))
-    both = keyed.join(spread, (F.col("__a") == F.col("__b")) & (F.abs(F.col("dec") - F.col("c_dec")) <= radius))
-    return both.withColumn("sep", separation(F.col("ra"), F.col("dec"), F.col("c_ra"), F.col("c_dec"))).where(F.col("sep") < radius).drop("__a", "__b")
+    keyed = keyed.withColumn("__n", _ra_cells(F.col("__a"), radius)).withColumn("__c", cell(F.col("ra"), F.col("__n")))
+    both = keyed.join(spread, (F.col("__a") == F.col("__b")) & (F.col("__c") == F.col("__d")) & (F.abs(F.col("dec") - F.col("c_dec")) <= radius))
+    return both.withColumn("sep", separation(F.col("ra"), F.col("dec"), F.col("c_ra"), F.col("c_dec"))).where(F.col("sep") < radius).drop("__a", "__b", "__c", "__d", "__m", "__n")
+
+
+def nearest_on_sky(points: DataFrame, catalog: DataFrame, key: str, order: list[Column], radii: list[float]) -> DataFrame:
+    """Of the catalog, the row nearest each point within the last of the radii, by `order`. Only points without a row within a
+    radius are sought in the next, so that few catalog rows meet each."""
+    out, left = None, points
+    for n, radius in enumerate(radii):
+        near = cone(left, catalog, radius)
+        best = near.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__n = 1").drop("__n")
+        best = materialize(best, "nearest")
+        out = best if out is None else out.unionByName(best)
+        if n + 1 < len(radii):
+            left = left.join(best.select(key), key, "left_anti")
+    return out
 
 
 def strip(points: DataFrame, catalog: DataFrame, half: float) -> DataFrame:

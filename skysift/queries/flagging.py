@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skysift.operators import filters, gridding
-from skysift.queries.registry import CUBE, EV, SQL, cube, events, query, r6, r9, table
+from skysift.queries.registry import CUBE, EV, cube, events, query, r6, r9, table
 
 
 def _visibilities(spark, sf_dir):
@@ -121,12 +121,6 @@ def complex_calibrate(spark, sf_dir):
     return out.groupBy("l_linenumber").agg(r5("q.re").alias("re"), r5("q.im").alias("im"), r5("p.re").alias("pre"), r5("p.im").alias("pim"))
 
 
-@query("SELECT a.s_suppkey AS ant1, b.s_suppkey AS ant2, round(b.s_acctbal - a.s_acctbal, 6) + 0 AS x FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey WHERE a.s_suppkey <= 40 AND b.s_suppkey <= 40")
-def antenna_pairs(spark, sf_dir):
-    a = table(spark, sf_dir, "supplier").where("s_suppkey <= 40").select(F.col("s_suppkey").alias("idx"), F.col("s_acctbal").alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
-    return gridding.baselines(a).select("ant1", "ant2", r6("x").alias("x"))
-
-
 _ANT = "ant AS (SELECT s_suppkey % 32 AS idx, sum(s_acctbal) AS x, CAST(sum(s_suppkey) AS DOUBLE) AS y, CAST(sum(s_nationkey) AS BIGINT) AS n FROM supplier GROUP BY 1)"
 
 
@@ -137,23 +131,12 @@ def _antennas(spark, sf_dir):
 
 
 @query(f"WITH {_ANT} SELECT a.idx AS ant1, b.idx AS ant2, round(b.x - a.x, 6) + 0 AS x FROM ant a JOIN ant b ON a.idx < b.idx")
-def antenna_pairs_all(spark, sf_dir):
+def antenna_pairs(spark, sf_dir):
     return gridding.baselines(_antennas(spark, sf_dir)).select("ant1", "ant2", r6("x").alias("x"))
 
 
-@query("""WITH b AS (SELECT a.s_suppkey || '-' || b.s_suppkey AS bname FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey WHERE a.s_suppkey <= 20 AND b.s_suppkey <= 20)
-SELECT bname, x.s_nationkey AS n1, y.s_nationkey AS n2 FROM b JOIN supplier x ON x.s_suppkey = CAST(split_part(bname, '-', 1) AS BIGINT) JOIN supplier y ON y.s_suppkey = CAST(split_part(bname, '-', 2) AS BIGINT)""")
-def name_split_join(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier")
-    a = s.where("s_suppkey <= 20").select(F.col("s_suppkey").alias("idx"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
-    names = gridding.baselines(a).select(F.concat_ws("-", "ant1", "ant2").alias("bname"))
-    ends = names.withColumns({"k1": F.split("bname", "-")[0].cast("bigint"), "k2": F.split("bname", "-")[1].cast("bigint")})
-    nation = lambda k, n: s.select(F.col("s_suppkey").alias(k), F.col("s_nationkey").alias(n))
-    return ends.join(nation("k1", "n1"), "k1").join(nation("k2", "n2"), "k2").select("bname", "n1", "n2")
-
-
 @query(f"WITH {_ANT} SELECT a.idx || '-' || b.idx AS bname, a.n AS n1, b.n AS n2 FROM ant a JOIN ant b ON a.idx < b.idx")
-def name_split_join_all(spark, sf_dir):
+def name_split_join(spark, sf_dir):
     """The antennas' sums of nation keys, joined by the two halves of a baseline's name."""
     s = _antennas(spark, sf_dir)
     names = gridding.baselines(s).select(F.concat_ws("-", "ant1", "ant2").alias("bname"))
@@ -161,33 +144,20 @@ def name_split_join_all(spark, sf_dir):
     return ends.join(s.select(F.col("idx").alias("k1"), F.col("n").alias("n1")), "k1").join(s.select(F.col("idx").alias("k2"), F.col("n").alias("n2")), "k2").select("bname", "n1", "n2")
 
 
-@query("""SELECT a.s_suppkey AS ant1, b.s_suppkey AS ant2,
-round(sin(CAST(0.3 AS DOUBLE)) * (b.s_acctbal - a.s_acctbal) + cos(CAST(0.3 AS DOUBLE)) * (b.s_suppkey - a.s_suppkey), 6) + 0 AS u, round(-sin(CAST(0.7 AS DOUBLE)) * cos(CAST(0.3 AS DOUBLE)) * (b.s_acctbal - a.s_acctbal) + sin(CAST(0.7 AS DOUBLE)) * sin(CAST(0.3 AS DOUBLE)) * (b.s_suppkey - a.s_suppkey), 6) + 0 AS v, round(cos(CAST(0.7 AS DOUBLE)) * cos(CAST(0.3 AS DOUBLE)) * (b.s_acctbal - a.s_acctbal) - cos(CAST(0.7 AS DOUBLE)) * sin(CAST(0.3 AS DOUBLE)) * (b.s_suppkey - a.s_suppkey), 6) + 0 AS w
-FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey WHERE a.s_suppkey <= 30 AND b.s_suppkey <= 30""")
-def baseline_uvw(spark, sf_dir):
-    a = table(spark, sf_dir, "supplier").where("s_suppkey <= 30").select(F.col("s_suppkey").alias("idx"), F.col("s_acctbal").alias("x"), F.col("s_suppkey").cast("double").alias("y"), F.lit(0.0).alias("z"))
-    return gridding.uvw(gridding.baselines(a), 0.3, 0.7).select("ant1", "ant2", r6("u").alias("u"), r6("v").alias("v"), r6("w").alias("w"))
-
-
 @query(f"""WITH {_ANT} SELECT a.idx AS ant1, b.idx AS ant2,
 round(sin(CAST(0.3 AS DOUBLE)) * (b.x - a.x) + cos(CAST(0.3 AS DOUBLE)) * (b.y - a.y), 6) + 0 AS u, round(-sin(CAST(0.7 AS DOUBLE)) * cos(CAST(0.3 AS DOUBLE)) * (b.x - a.x) + sin(CAST(0.7 AS DOUBLE)) * sin(CAST(0.3 AS DOUBLE)) * (b.y - a.y), 6) + 0 AS v, round(cos(CAST(0.7 AS DOUBLE)) * cos(CAST(0.3 AS DOUBLE)) * (b.x - a.x) - cos(CAST(0.7 AS DOUBLE)) * sin(CAST(0.3 AS DOUBLE)) * (b.y - a.y), 6) + 0 AS w
 FROM ant a JOIN ant b ON a.idx < b.idx""")
-def baseline_uvw_all(spark, sf_dir):
+def baseline_uvw(spark, sf_dir):
     return gridding.uvw(gridding.baselines(_antennas(spark, sf_dir)), 0.3, 0.7).select("ant1", "ant2", r6("u").alias("u"), r6("v").alias("v"), r6("w").alias("w"))
 
 
-@query(f"WITH {_V}, m AS (SELECT l_linenumber, i, j, CAST(l_linenumber % 3 AS INTEGER) AS off, avg(re) AS v FROM vis WHERE l_linenumber <= 3 GROUP BY ALL) SELECT CAST(i - off AS INTEGER) AS i, j, round(avg(v), 9) + 0 AS value FROM m WHERE i - off >= 0 AND i - off < 32 - 2 GROUP BY 1, 2")
-def stack_images(spark, sf_dir, rows="l_linenumber <= 3"):
+@query(f"WITH {_V}, m AS (SELECT l_linenumber, i, j, CAST(l_linenumber % 3 AS INTEGER) AS off, avg(re) AS v FROM vis GROUP BY ALL) SELECT CAST(i - off AS INTEGER) AS i, j, round(avg(v), 9) + 0 AS value FROM m WHERE i - off >= 0 AND i - off < 32 - 2 GROUP BY 1, 2")
+def stack_images(spark, sf_dir):
     """Images with offsets 0 to 2 stacked over their common columns."""
-    images = _visibilities(spark, sf_dir).where(rows).groupBy(F.col("l_linenumber").alias("image"), "i", "j", (F.col("l_linenumber") % 3).alias("offset")).agg(F.avg("re").alias("value"))
+    images = _visibilities(spark, sf_dir).groupBy(F.col("l_linenumber").alias("image"), "i", "j", (F.col("l_linenumber") % 3).alias("offset")).agg(F.avg("re").alias("value"))
     return gridding.stack(images, 32).select(F.col("i").cast("int").alias("i"), "j", r9("value").alias("value"))
 
 
-@query(SQL["stack_images"].replace(" WHERE l_linenumber <= 3", ""))
-def stack_images_all(spark, sf_dir):
-    return stack_images(spark, sf_dir, "true")
-
-
 @query(f"WITH {CUBE} SELECT chan, round(stddev_pop(value), 6) + 0 AS re, round(max(abs(value)), 6) + 0 AS top FROM cube GROUP BY chan")
 def channel_noise(spark, sf_dir):
     return cube(spark, sf_dir).groupBy("chan").agg(r6(F.stddev_pop("value")).alias("re"), r6(F.max(F.abs("value"))).alias("top"))

@@ -6,86 +6,55 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skysift.operators import candidates, joins
-from skysift.queries.registry import EV, SQL, events, micros, query, r6, table
+from skysift.queries.registry import EV, events, micros, query, r6, table
 
 _T = "t AS (SELECT event_id, event_type, (epoch_us(ts) - 1704067200000000) / CAST(1000000 AS DOUBLE) AS x FROM events)"
-_O = "o AS (SELECT o_orderkey AS file, CAST((o_orderkey * 7919) % 2592000 AS DOUBLE) AS y FROM orders WHERE o_orderkey % 10 = 0)"
-_ALL = "o AS (SELECT o_orderkey AS file, CAST((o_orderkey * 7919) % 2592000 AS DOUBLE) AS y FROM orders)"
+_O = "o AS (SELECT o_orderkey AS file, CAST((o_orderkey * 7919) % 2592000 AS DOUBLE) AS y FROM orders)"
 
 
 def _times(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", "event_type", (micros("ts") / 1e6).alias("x"))
 
 
-def _all_files(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("file"), ((F.col("o_orderkey") * 7919) % 2592000).cast("double").alias("y"))
-
-
 def _files(spark, sf_dir):
-    """The tenth of the files that the SQL of the queries without `_all` reads."""
-    return _all_files(spark, sf_dir).where("file % 10 = 0")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("file"), ((F.col("o_orderkey") * 7919) % 2592000).cast("double").alias("y"))
 
 
 @query(f"WITH {_T}, {_O} SELECT event_id, file, round(x - y, 6) + 0 AS diff FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY abs(x - y), file) AS n FROM t JOIN o ON abs(x - y) <= 600) WHERE n = 1")
-def asof_nearest_tol(spark, sf_dir, files=_files):
-    best = joins.nearest(_times(spark, sf_dir), files(spark, sf_dir), "x", "y", 600.0, "event_id", ["file"])
+def asof_nearest_tol(spark, sf_dir):
+    best = joins.nearest(_times(spark, sf_dir), _files(spark, sf_dir), "x", "y", 600.0, "event_id", ["file"])
     return best.select("event_id", "file", r6(F.col("x") - F.col("y")).alias("diff"))
 
 
-@query(SQL["asof_nearest_tol"].replace(_O, _ALL))
-def asof_nearest_tol_all(spark, sf_dir):
-    return asof_nearest_tol(spark, sf_dir, _all_files)
-
-
 @query(f"WITH {_T}, {_O}, l AS (SELECT event_id, max(y) AS y FROM t LEFT JOIN o ON o.y < t.x GROUP BY event_id) SELECT event_id, y FROM l")
-def asof_backward(spark, sf_dir, files=_files):
-    return joins.backward(_times(spark, sf_dir), files(spark, sf_dir).groupBy("y").agg(F.min("file").alias("file")), "x", "y", ["file"]).select("event_id", "y")
-
-
-@query(SQL["asof_backward"].replace(_O, _ALL))
-def asof_backward_all(spark, sf_dir):
-    return asof_backward(spark, sf_dir, _all_files)
+def asof_backward(spark, sf_dir):
+    return joins.backward(_times(spark, sf_dir), _files(spark, sf_dir).groupBy("y").agg(F.min("file").alias("file")), "x", "y", ["file"]).select("event_id", "y")
 
 
 @query(f"WITH {_T}, {_O} SELECT event_type, count(*) AS n FROM t WHERE EXISTS (SELECT 1 FROM o WHERE t.x - o.y >= -60 AND t.x - o.y <= 300) GROUP BY event_type")
-def interval_exists(spark, sf_dir, files=_files):
+def interval_exists(spark, sf_dir):
     """Events with a file from 60 s after to 300 s before them: a semi-join on an interval."""
-    hit = joins.within(_times(spark, sf_dir), files(spark, sf_dir), "x", "y", 60.0, 300.0, "left_semi")
+    hit = joins.within(_times(spark, sf_dir), _files(spark, sf_dir), "x", "y", 60.0, 300.0, "left_semi")
     return hit.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query(SQL["interval_exists"].replace(_O, _ALL))
-def interval_exists_all(spark, sf_dir):
-    return interval_exists(spark, sf_dir, _all_files)
-
-
 @query(f"WITH {_T}, {_O} SELECT event_id, min(file) AS file, CAST(floor((any_value(x) - arg_min(y, file)) / CAST(25 AS DOUBLE)) AS INTEGER) AS sample FROM t JOIN o ON x - y >= 0 AND x - y <= 302 GROUP BY event_id")
-def file_range_offset(spark, sf_dir, files=_files):
+def file_range_offset(spark, sf_dir):
     """The first file that covers each event, and the sample in it."""
-    hit = joins.within(_times(spark, sf_dir), files(spark, sf_dir), "x", "y", 0.0, 302.0)
+    hit = joins.within(_times(spark, sf_dir), _files(spark, sf_dir), "x", "y", 0.0, 302.0)
     first = hit.groupBy("event_id").agg(F.min(F.struct("file", "y", "x")).alias("m"))
     return first.select("event_id", F.col("m.file").alias("file"), F.floor((F.col("m.x") - F.col("m.y")) / 25).cast("int").alias("sample"))
 
 
-@query(SQL["file_range_offset"].replace(_O, _ALL))
-def file_range_offset_all(spark, sf_dir):
-    return file_range_offset(spark, sf_dir, _all_files)
-
-
 @query(f"WITH {_T}, {_O}, a AS (SELECT event_id, CAST(floor(x / 60) AS BIGINT) AS k FROM t), b AS (SELECT DISTINCT CAST(floor(y / 60) AS BIGINT) AS k FROM o) SELECT event_id, bool_or(a.k - b.k = 1) AS postinjection FROM a JOIN b ON b.k = a.k OR b.k = a.k - 1 GROUP BY event_id")
-def previous_gulp_match(spark, sf_dir, files=_files):
+def previous_gulp_match(spark, sf_dir):
     """Events in a file's minute or the minute after; the flag says that one of the latter kind was found."""
     gulp = _times(spark, sf_dir).select("event_id", F.floor(F.col("x") / 60).cast("bigint").alias("k"))
-    minutes = files(spark, sf_dir).select(F.floor(F.col("y") / 60).cast("bigint").alias("b")).distinct()
+    minutes = _files(spark, sf_dir).select(F.floor(F.col("y") / 60).cast("bigint").alias("b")).distinct()
     spread = minutes.select("b", F.explode(F.array(F.col("b"), F.col("b") + 1)).alias("k"))
     return gulp.join(spread, "k").groupBy("event_id").agg(F.bool_or(F.col("k") - F.col("b") == 1).alias("postinjection"))
 
 
-@query(SQL["previous_gulp_match"].replace(_O, _ALL))
-def previous_gulp_match_all(spark, sf_dir):
-    return previous_gulp_match(spark, sf_dir, _all_files)
-
-
 _SKY = "p AS (SELECT c_custkey, CAST((c_custkey * 37) % 360 AS DOUBLE) AS ra, CAST((c_custkey * 53) % 120 - 40 AS DOUBLE) AS dec FROM customer), c AS (SELECT s_suppkey, CAST((s_suppkey * 71) % 360 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS c_ra, CAST((s_suppkey * 29) % 120 - 40 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS c_dec, s_acctbal AS flux FROM supplier)"
 _SEP = "degrees(2 * asin(sqrt(least(CAST(1 AS DOUBLE), pow(sin((radians(c_dec) - radians(dec)) / 2), 2) + cos(radians(dec)) * cos(radians(c_dec)) * pow(sin(radians(c_ra - ra) / 2), 2)))))"
 
@@ -115,8 +84,8 @@ def dec_strip(spark, sf_dir):
 def nearest_match(spark, sf_dir):
     """The nearest catalog source within 30 degrees."""
     p, c = _sky(spark, sf_dir)
-    found = joins.cone(p, c, 30.0).withColumn("o", F.round("sep", 9))
-    return candidates.best_per(found, ["c_custkey"], 1, [F.col("o"), F.col("s_suppkey")]).select("c_custkey", "s_suppkey", r6("sep").alias("sep"))
+    best = joins.nearest_on_sky(p, c, "c_custkey", [F.round("sep", 9), F.col("s_suppkey")], [1.0, 3.0, 10.0, 30.0])
+    return best.select("c_custkey", "s_suppkey", r6("sep").alias("sep"))
 
 
 @query(f"WITH {_SKY} SELECT c_custkey, s_suppkey FROM (SELECT c_custkey, s_suppkey, row_number() OVER (PARTITION BY c_custkey ORDER BY abs(dec - c_dec), s_suppkey) AS n FROM p, c WHERE abs(dec - c_dec) <= 1.5) WHERE n = 1")
@@ -222,33 +191,23 @@ def skip_take(spark, sf_dir):
     return candidates.best_per(table(spark, sf_dir, "orders"), ["o_custkey"], 3, [F.desc("o_totalprice"), F.col("o_orderkey")], skip=2).select("o_custkey", "o_orderkey")
 
 
-@query("SELECT o_orderkey, 'cand' || lpad(CAST(100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS VARCHAR), 6, '0') AS candname FROM orders WHERE o_orderkey % 20 = 0")
-def next_names(spark, sf_dir, rows="o_orderkey % 20 = 0"):
+@query("SELECT o_orderkey, printf('cand%06d', 100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey)) AS candname FROM orders")
+def next_names(spark, sf_dir):
     """Names that go on from the last one, counted by day."""
-    orders = table(spark, sf_dir, "orders").where(rows).withColumn("day", F.to_date("o_orderdate"))
+    orders = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     return candidates.next_names(orders, [F.col("o_orderdate"), F.col("o_orderkey")], 100, "day").select("o_orderkey", "candname")
 
 
-@query("SELECT o_orderkey, printf('cand%06d', 100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey)) AS candname FROM orders")
-def next_names_all(spark, sf_dir):
-    return next_names(spark, sf_dir, "true")
-
-
 @query(f"""WITH {_C}, px AS (SELECT CAST(l_suppkey % 64 AS INTEGER) AS y, CAST(l_partkey % 64 AS INTEGER) AS x, avg(l_discount) AS v FROM lineitem GROUP BY ALL),
-k AS (SELECT cand, least(greatest(dec_idx - 2, 0), 59) AS y0, least(greatest(ra_idx - 2, 0), 59) AS x0 FROM c WHERE gulp = 7)
+k AS (SELECT cand, least(greatest(dec_idx - 2, 0), 59) AS y0, least(greatest(ra_idx - 2, 0), 59) AS x0 FROM c)
 SELECT cand, count(*) AS pixels, round(sum(v), 6) + 0 AS total FROM k JOIN px ON y BETWEEN y0 AND y0 + 4 AND x BETWEEN x0 AND x0 + 4 GROUP BY cand""")
-def cutout_sums(spark, sf_dir, rows="gulp = 7"):
+def cutout_sums(spark, sf_dir):
     """5 x 5 cut-outs, moved inward at the edges."""
     pixels = table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 64).cast("int").alias("y"), (F.col("l_partkey") % 64).cast("int").alias("x")).agg(F.avg("l_discount").alias("v"))
-    cut = candidates.cutouts(_cands(spark, sf_dir).where(rows), pixels, [], 2, 64)
+    cut = candidates.cutouts(_cands(spark, sf_dir), pixels, [], 2, 64)
     return cut.groupBy("cand").agg(F.count("*").alias("pixels"), r6(F.sum("v")).alias("total"))
 
 
-@query(SQL["cutout_sums"].replace(" WHERE gulp = 7", ""))
-def cutout_sums_all(spark, sf_dir):
-    return cutout_sums(spark, sf_dir, "true")
-
-
 @query(f"WITH {EV}, p AS (SELECT pix, avg(value) AS v FROM ev GROUP BY pix) SELECT e.chan, arg_min(p.pix, abs(p.v - e.m) * 1000000 + p.pix) AS pix FROM (SELECT chan, avg(value) AS m FROM ev GROUP BY chan) e, p GROUP BY e.chan")
 def nearest_pixel(spark, sf_dir):
     """The position whose level is nearest each channel's (eight positions against five channels)."""

@@ -119,30 +119,19 @@ def galactic_grid(spark, sf_dir):
 
 
 @query()
-def transit_times(spark, sf_dir, rows="s_suppkey <= 10"):
-    """When each of the first suppliers' proxy positions is highest: hours, minutes, seconds."""
-    s = table(spark, sf_dir, "supplier").where(rows).select("s_suppkey", ((F.col("s_suppkey") * 71) % 360).cast("double").alias("ra"), ((F.col("s_suppkey") * 29) % 120 - 40).cast("double").alias("dec"))
+def transit_times(spark, sf_dir):
+    """When each supplier's proxy position is highest: hours, minutes, seconds."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", ((F.col("s_suppkey") * 71) % 360).cast("double").alias("ra"), ((F.col("s_suppkey") * 29) % 120 - 40).cast("double").alias("dec"))
     return planning.transits(s, "s_suppkey", 60310.0).select("s_suppkey", r6("mjd").alias("mjd"), r6("alt").alias("alt"))
 
 
-@query()
-def transit_times_all(spark, sf_dir):
-    """The same for every supplier."""
-    return transit_times(spark, sf_dir, "true")
-
-
-@query("SELECT trigname, '{\"mjds\":' || mjds || ',\"snr\":' || snr || '}' AS record FROM (SELECT 't' || o_orderkey AS trigname, CAST(60310 + o_orderkey % 7 AS INTEGER) AS mjds, CAST(o_orderkey % 50 AS INTEGER) AS snr FROM orders WHERE o_orderkey % 50 = 0)")
-def trigger_records(spark, sf_dir, rows="o_orderkey % 50 = 0"):
-    o = table(spark, sf_dir, "orders").where(rows)
+@query("SELECT trigname, '{\"mjds\":' || mjds || ',\"snr\":' || snr || '}' AS record FROM (SELECT 't' || o_orderkey AS trigname, CAST(60310 + o_orderkey % 7 AS INTEGER) AS mjds, CAST(o_orderkey % 50 AS INTEGER) AS snr FROM orders)")
+def trigger_records(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
     mjd, snr = (60310 + F.col("o_orderkey") % 7).cast("int"), (F.col("o_orderkey") % 50).cast("int")
     return o.select(F.concat(F.lit("t"), F.col("o_orderkey")).alias("trigname"), F.to_json(F.struct(mjd.alias("mjds"), snr.alias("snr"))).alias("record"))
 
 
-@query("SELECT trigname, '{\"mjds\":' || mjds || ',\"snr\":' || snr || '}' AS record FROM (SELECT 't' || o_orderkey AS trigname, CAST(60310 + o_orderkey % 7 AS INTEGER) AS mjds, CAST(o_orderkey % 50 AS INTEGER) AS snr FROM orders)")
-def trigger_records_all(spark, sf_dir):
-    return trigger_records(spark, sf_dir, "true")
-
-
 @query("SELECT vec_id, round(list_sum(list_transform(embedding[1:4], lambda x: CAST(x AS DOUBLE) * x)), 6) + 0 AS power, CAST(len(embedding) AS INTEGER) AS n, round(CAST(embedding[64] AS DOUBLE), 6) + 0 AS last FROM embeddings")
 def array_steps(spark, sf_dir):
     """Slices, transforms and sums of arrays."""

@@ -46,15 +46,10 @@ def bitflags(spark, sf_dir):
     return rows.groupBy("status").agg(F.count("*").alias("n"), F.max(changed).alias("changed"))
 
 
-@query("SELECT p_partkey, lower(hex(p_name)) AS coded, p_name AS decoded FROM part WHERE p_partkey % 10 = 0")
-def hex_roundtrip(spark, sf_dir, rows="p_partkey % 10 = 0"):
-    p = table(spark, sf_dir, "part").where(rows).withColumn("coded", F.lower(F.hex("p_name")))
-    return p.select("p_partkey", "coded", F.decode(F.unhex("coded"), "UTF-8").alias("decoded"))
-
-
 @query("SELECT p_partkey, lower(hex(p_name)) AS coded, p_name AS decoded FROM part")
-def hex_roundtrip_all(spark, sf_dir):
-    return hex_roundtrip(spark, sf_dir, "true")
+def hex_roundtrip(spark, sf_dir):
+    p = table(spark, sf_dir, "part").withColumn("coded", F.lower(F.hex("p_name")))
+    return p.select("p_partkey", "coded", F.decode(F.unhex("coded"), "UTF-8").alias("decoded"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, '{\"id\":' || event_id || ',\"kind\":\"' || event_type || '\"}' AS record FROM events")

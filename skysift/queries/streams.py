@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skysift.queries.registry import query, r6
+from skysift.queries.registry import micros, query, r6, table
 from skysift.streaming import runs
 
 
@@ -35,13 +35,42 @@ def stream_throttle(spark, sf_dir):
     return runs.throttle(runs.replay(strong, "append"), "event_type", 7200.0)
 
 
-@query()
-def stream_assemble_timeout(spark, sf_dir):
-    """Hours assembled from their five kinds, or given up with a mask."""
+_HOUR, _WAIT = 3_600_000_000, 6 * 3_600_000_000
+_ARRIVALS = """e AS (SELECT event_id, CAST(floor(epoch_us(ts) / CAST(3600000000 AS DOUBLE)) AS BIGINT) AS slot, value,
+CASE event_type WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 WHEN 'view' THEN 4 ELSE 0 END AS part,
+epoch_us(ts) + (event_id % 5) * 420000000 + CASE WHEN event_id % 40 = 0 THEN 108000000000 ELSE 0 END AS us FROM events)"""
+
+
+def _arrivals(spark, sf_dir):
+    """Events as parts of their hour. They arrive some minutes after they happen, and every fortieth thirty hours after."""
     kinds = ["click", "error", "purchase", "signup", "view"]
     part = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(n)) for n, k in enumerate(kinds)], F.lit(0)).cast("int")
-    stream = runs.event_stream(spark, sf_dir).select(F.floor(F.unix_micros("at") / 3_600_000_000).cast("bigint").alias("slot"), part.alias("part"), "value", "at")
-    return runs.replay(runs.assemble(stream, 5, "31 days"), "append")
+    us = micros("ts") + 1_704_067_200_000_000
+    delay = (F.col("event_id") % 5) * 420_000_000 + F.when(F.col("event_id") % 40 == 0, 108_000_000_000).otherwise(0)
+    return table(spark, sf_dir, "events").select(F.floor(us / _HOUR).cast("bigint").alias("slot"), part.alias("part"), "value", F.col("event_id").alias("id"), F.timestamp_micros(us + delay).alias("arrived"))
+
+
+def _by_week(count: int = 5):
+    """Conditions that part arrivals into weeks, in order; the last one has all that is left."""
+    week = F.floor((F.unix_micros("arrived") - 1_704_067_200_000_000) / (7 * 24 * _HOUR))
+    return [*[F.greatest(week, F.lit(0)) == k for k in range(count - 1)], week >= count - 1]
+
+
+@query(f"""WITH {_ARRIVALS}, firsts AS (SELECT slot, part, arg_min(value, us::HUGEINT * 1000000000 + event_id) AS v, min(us) AS us FROM e WHERE us < (slot + 1) * 3600000000 + 21600000000 GROUP BY slot, part),
+g AS (SELECT slot, count(*) AS n, sum(v) AS total, max(us) AS done, sum(1 << part) AS mask, (slot + 1) * 3600000000 + 21600000000 AS closes FROM firsts GROUP BY slot)
+SELECT slot, CAST(CASE WHEN n = 5 THEN 0 ELSE 31 - mask END AS INTEGER) AS missing, round(total, 6) + 0 AS total, CASE WHEN n = 5 THEN done ELSE closes END AS fired FROM g
+WHERE n = 5 OR closes // 1000 < (SELECT max(us) // 1000 FROM e)""")
+def stream_assemble_timeout(spark, sf_dir):
+    """Hours assembled from their five kinds, or given up six hours after their end with a mask of what is missing."""
+    out = runs.feed(_arrivals(spark, sf_dir), _by_week(), lambda s: runs.assemble(s, 5, _HOUR, _WAIT))
+    return out.select("slot", "missing", r6("total").alias("total"), "fired")
+
+
+@query(f"WITH {_ARRIVALS} SELECT slot, CAST(part AS INTEGER) AS part, event_id AS id, us - ((slot + 1) * 3600000000 + 21600000000) AS late_by FROM e WHERE us >= (slot + 1) * 3600000000 + 21600000000")
+def stream_late_rows(spark, sf_dir):
+    """The rows that came after their hour had closed."""
+    out = runs.feed(_arrivals(spark, sf_dir), _by_week(), lambda s: runs.late_rows(s, _HOUR, _WAIT))
+    return out.select("slot", "part", "id", "late_by")
 
 
 @query("SELECT t.event_id AS trigger_id, s.event_id AS sample_id FROM events t JOIN events s ON s.ts <= t.ts AND s.ts >= t.ts - INTERVAL 10 MINUTE WHERE t.event_type = 'purchase' AND t.value > 60 AND s.event_type = 'view'")

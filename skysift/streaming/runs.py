@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from skysift.stored import materialize
+from skysift.stored import materialize, shared_dir
 
 _EPOCH = 1704067200000000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or an own one where it is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="skysift-")).rstrip("/")
-
-
 def event_stream(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     """The events table as a stream; `at` is the moment (without zone in the file: taken as UTC)."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -29,23 +24,42 @@ def event_stream(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     return raw.withColumn("at", F.timestamp_micros(us))
 
 
-def replay(stream: DataFrame, mode: str) -> DataFrame:
-    """Run the stream over what is there now. Each micro-batch writes a folder of its own, named by its
-    number, so one that is run again replaces its output; in complete mode the last one is the result."""
-    spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
-    schema = stream.schema
+def _run(stream: DataFrame, mode: str, base: str) -> bool:
+    """Run the stream over what is there now, from its checkpoint on. Each micro-batch writes a folder of its own, named by
+    its number, so one that is run again replaces its output; in complete mode the last one is the result."""
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out/batch={number if mode != 'complete' else 0}")
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
     query.awaitTermination()
-    if query.lastProgress is None:
+    return query.lastProgress is not None
+
+
+def _result(spark: SparkSession, schema: T.StructType, base: str, written: bool) -> DataFrame:
+    if not written:
         return spark.createDataFrame([], schema)
     return spark.read.option("basePath", f"{base}/out").schema(schema).parquet(f"{base}/out").select(*schema.names)
 
 
+def replay(stream: DataFrame, mode: str) -> DataFrame:
+    """The result table of a stream over what is there now."""
+    base = f"{shared_dir(stream.sparkSession)}/streams/{uuid.uuid4().hex}"
+    return _result(stream.sparkSession, stream.schema, base, _run(stream, mode, base))
+
+
+def feed(rows: DataFrame, slices: list[Column], build: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
+    """The result table of build(stream) when the rows land slice by slice: after each landing the stream goes on from its
+    checkpoint, as a scheduled job would. slices: a few conditions that part the rows, in order of arrival."""
+    spark = rows.sparkSession
+    base, written = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}", False
+    for landed in slices:
+        rows.where(landed).write.mode("append").parquet(f"{base}/in")
+        stream = build(spark.readStream.schema(rows.schema).parquet(f"{base}/in"))
+        written = _run(stream, mode, base) or written
+    return _result(spark, stream.schema, base, written)
+
+
 def tumbling(stream: DataFrame, size: str, late: str, keys: list[str], slide: str | None = None) -> DataFrame:
     """Counts and sums of windows of a size; with a slide the windows overlap. Rows later than `late` are left out."""
     window = F.window("at", size, slide) if slide else F.window("at", size)
@@ -90,29 +104,46 @@ def throttle(rows: DataFrame, key: str, seconds: float) -> DataFrame:
     return passed.join(times, ["key", "us"]).select(F.col("key").alias(key), "event_id", "us")
 
 
-def assemble(stream: DataFrame, parts: int, wait: str) -> DataFrame:
-    """Groups (slot, part, value) that fire when all parts are there, or when the watermark passes their
-    end plus `wait`: then with a mask of the missing parts, whose values are null. What comes after that is late and dropped.
+def _closes(width: int, wait: int) -> Column:
+    return (F.col("slot") + 1) * width + wait
+
+
+def assemble(stream: DataFrame, parts: int, width: int, wait: int, late: str = "0 seconds") -> DataFrame:
+    """Groups (slot, missing, total, fired) of rows (slot, part, value, id, arrived) that fire when all parts are there, or
+    when the clock of arrivals passes their close: then with a mask of the missing parts.
+
+    A slot is `width` long and closes `wait` after its end (microseconds). Of a part that comes more than once the first
+    arrival counts (the least id at ties). What arrives at the close or after it is late: see late_rows(). State: a mask and
+    a sum for each slot that hasn't closed.
     """
 
     def step(name: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        mask, total, done = state.get if state.exists else (0, 0.0, False)
+        mask, total = state.get if state.exists else (0, 0.0)
+        full = (1 << parts) - 1
+        closes = int(name[0] + 1) * width + wait
+        out = []
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame([(name[0], (1 << parts) - 1 - mask, total)] if not done else [], columns=["slot", "missing", "total"])
-            return
-        for rows in batches:
-            for part, value in zip(rows["part"].tolist(), rows["value"].tolist(), strict=True):
-                if not mask >> part & 1 and not done:
+            out = [(name[0], full - mask, total, closes)] if mask < full else []
+        else:
+            rows = pd.concat(list(batches)).sort_values(["arrived", "id"])  # a slot has few rows a part
+            for part, value, at in zip(rows["part"].tolist(), rows["value"].tolist(), rows["us"].tolist(), strict=True):
+                if not mask >> part & 1:
                     mask, total = mask | 1 << part, total + value
-        full = mask == (1 << parts) - 1
-        fire = full and not done
-        state.update((mask, total, done or full))
-        state.setTimeoutTimestamp(int(name[0] + 1) * 3_600_000 + 1)
-        yield pd.DataFrame([(name[0], 0, total)] if fire else [], columns=["slot", "missing", "total"])
-
-    keyed = stream.withWatermark("at", wait)
-    return keyed.groupBy("slot").applyInPandasWithState(step, "slot bigint, missing int, total double", "mask int, total double, done boolean", "append", GroupStateTimeout.EventTimeTimeout)
+                    if mask == full:
+                        out.append((name[0], 0, total, at))
+            state.update((mask, total))
+            state.setTimeoutTimestamp(closes // 1000)
+        yield pd.DataFrame(out, columns=["slot", "missing", "total", "fired"])
+
+    in_time = stream.withWatermark("arrived", late).withColumn("us", F.unix_micros("arrived")).where(F.col("us") < _closes(width, wait))
+    return in_time.groupBy("slot").applyInPandasWithState(step, "slot bigint, missing int, total double, fired bigint", "mask int, total double", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def late_rows(stream: DataFrame, width: int, wait: int) -> DataFrame:
+    """The side table of assemble(): rows that arrive when their slot has closed. No state."""
+    us = F.unix_micros("arrived")
+    return stream.where(us >= _closes(width, wait)).withColumn("late_by", us - _closes(width, wait))
 
 
 def dumps(triggers: DataFrame, samples: DataFrame, seconds: int, late: str) -> DataFrame:
