@@ -27,11 +27,12 @@ def grid(df: DataFrame, i: str, j: str, size: int, keys: list[str], weight: Colu
 def briggs(df: DataFrame, i: str, j: str, robust: float) -> DataFrame:
     """df with a robust weight for each row, normalised to a sum of 1. The sum of squares runs over cells."""
     cells = df.groupBy(i, j).agg(F.count("*").cast("double").alias("w"))
-    total = cells.agg(F.sum(F.col("w") * F.col("w")).alias("ww"), F.sum("w").alias("n")).first()
-    f2 = (5 * 10**-robust) ** 2 / ((total.ww or 1) / (total.n or 1))
-    raw = cells.withColumn("__raw", 1 / (1 + F.col("w") * f2))
-    norm = raw.agg(F.sum(F.col("__raw") * F.col("w"))).first()[0] or 1.0
-    return df.join(raw.select(i, j, (F.col("__raw") / norm).alias("weight")), [i, j])
+    total = cells.agg(F.sum(F.col("w") * F.col("w")).alias("__ww"), F.sum("w").alias("__n"))  # one row
+    f2 = (5 * 10**-robust) ** 2 / (F.col("__ww") / F.col("__n"))
+    raw = cells.join(F.broadcast(total)).withColumn("__raw", 1 / (1 + F.col("w") * f2))
+    norm = raw.agg(F.sum(F.col("__raw") * F.col("w")).alias("__norm"))  # one row
+    weights = raw.join(F.broadcast(norm)).select(i, j, (F.col("__raw") / F.col("__norm")).alias("weight"))
+    return df.join(weights, [i, j])
 
 
 def direct_transform(df: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:

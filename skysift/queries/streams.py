@@ -73,6 +73,47 @@ def stream_late_rows(spark, sf_dir):
     return out.select("slot", "part", "id", "late_by")
 
 
+def _moments(spark, sf_dir):
+    us = micros("ts") + 1_704_067_200_000_000
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), "event_id", "value", F.floor(us / _HOUR).cast("bigint").alias("gulp"), F.timestamp_micros(us).alias("at"))
+
+
+def _in_time(count: int = 4):
+    """Conditions that part moments into spans of nine days, in order."""
+    span = F.floor((F.unix_micros("at") - 1_704_067_200_000_000) / (9 * 24 * _HOUR))
+    return [*[F.greatest(span, F.lit(0)) == k for k in range(count - 1)], span >= count - 1]
+
+
+@query("""WITH w AS (SELECT CAST(floor(epoch_us(ts) / CAST(18000000000 AS DOUBLE)) AS BIGINT) * 18000000000 AS start, avg(value) AS mean, count(DISTINCT floor(epoch_us(ts) / CAST(3600000000 AS DOUBLE))) AS gulps FROM events GROUP BY 1)
+SELECT start, round(mean, 6) + 0 AS mean FROM w WHERE gulps = 5 AND (start + 18000000000) // 1000 <= (SELECT max(epoch_us(ts)) // 1000 FROM events)""")
+def stream_slow_windows(spark, sf_dir):
+    """Means over five gulps of an hour, where all five came."""
+    out = runs.feed(_moments(spark, sf_dir), _in_time(), lambda s: runs.gulp_windows(s, "1 hour", 5, "0 seconds", []))
+    return out.select("start", r6("mean").alias("mean"))
+
+
+@query("""WITH w AS (SELECT CAST(floor(epoch_us(ts) / CAST(3600000000 AS DOUBLE)) AS BIGINT) * 3600000000 AS start, min(CASE event_type WHEN 'signup' THEN 1 WHEN 'error' THEN 2 WHEN 'click' THEN 3 END) AS r, count(*) AS n FROM events WHERE event_type IN ('signup', 'error', 'click') GROUP BY 1)
+SELECT start, CASE r WHEN 1 THEN 'signup' WHEN 2 THEN 'error' ELSE 'click' END AS kind, n - 1 AS given_up FROM w WHERE (start + 3600000000) // 1000 <= (SELECT max(epoch_us(ts)) // 1000 FROM events WHERE event_type IN ('signup', 'error', 'click'))""")
+def stream_forfeit(spark, sf_dir):
+    """The search of each hour by priority; requests alone move the clock."""
+    return runs.feed(_moments(spark, sf_dir), _in_time(), lambda s: runs.forfeit(s, "1 hour", "0 seconds", ["signup", "error", "click"]))
+
+
+@query("""WITH w AS (SELECT floor(epoch_us(ts) / CAST(86400000000 AS DOUBLE)) AS day, event_id % 10 AS key, count(DISTINCT event_type) AS n, max(epoch_us(ts)) AS done FROM events GROUP BY ALL)
+SELECT CAST(day AS BIGINT) * 10 + key AS key, done FROM w WHERE n = 5 AND CAST(day + 1 AS BIGINT) * 86400000 <= (SELECT max(epoch_us(ts)) // 1000 FROM events)""")
+def stream_handshake(spark, sf_dir):
+    """Ten messages a day that all five kinds acknowledged."""
+    acks = _moments(spark, sf_dir).select((F.floor(F.col("gulp") / 24) * 10 + F.col("event_id") % 10).cast("bigint").alias("key"), F.col("kind").alias("node"), "at")
+    return runs.feed(acks, _in_time(), lambda s: runs.acknowledged(s, "1 day", "0 seconds", 5))
+
+
+@query("SELECT event_type AS kind, count(*) AS n, round(avg(value), 6) + 0 AS noise FROM events GROUP BY 1")
+def stream_noise_state(spark, sf_dir):
+    """The running mean of each kind, merged batch by batch."""
+    out = runs.running_noise(_moments(spark, sf_dir).withColumn("x", F.col("value")), _in_time(), ["kind"])
+    return out.select("kind", "n", r6("noise").alias("noise"))
+
+
 @query("SELECT t.event_id AS trigger_id, s.event_id AS sample_id FROM events t JOIN events s ON s.ts <= t.ts AND s.ts >= t.ts - INTERVAL 10 MINUTE WHERE t.event_type = 'purchase' AND t.value > 60 AND s.event_type = 'view'")
 def stream_dump_interval(spark, sf_dir):
     """Views of the ten minutes before a strong purchase."""

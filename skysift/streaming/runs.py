@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from skysift.operators import noise
 from skysift.stored import materialize, shared_dir
 
 _EPOCH = 1704067200000000
@@ -146,6 +147,79 @@ def late_rows(stream: DataFrame, width: int, wait: int) -> DataFrame:
     return stream.where(us >= _closes(width, wait)).withColumn("late_by", us - _closes(width, wait))
 
 
+def gulp_windows(stream: DataFrame, gulp: str, gulps: int, late: str, keys: list[str]) -> DataFrame:
+    """Slow windows of so many gulps (rows: keys, at, gulp number, value) that have all of them: (start, *keys, mean). They are
+    given out when the watermark passes their end; one that lacks a gulp by then is dropped."""
+    length = f"{gulps * int(pd.Timedelta(gulp).total_seconds())} seconds"
+    held = stream.withWatermark("at", late).groupBy(F.window("at", length), *keys).agg(F.avg("value").alias("mean"), F.size(F.collect_set("gulp")).alias("gulps"))  # at most `gulps` numbers
+    return held.where(F.col("gulps") == gulps).select(F.unix_micros("window.start").alias("start"), *keys, "mean")
+
+
+def forfeit(stream: DataFrame, tick: str, late: str, ranked: list[str]) -> DataFrame:
+    """One search a tick (rows: kind, at): the kind that stands first in `ranked` goes, the other requests are given up. The
+    choice is made when the watermark passes the tick's end."""
+    order = F.array(*[F.lit(k) for k in ranked])
+    rank = F.array_position(order, F.col("kind"))
+    best = stream.withWatermark("at", late).where(rank > 0).groupBy(F.window("at", tick)).agg(F.min(rank).alias("rank"), F.count("*").alias("asked"))
+    return best.select(F.unix_micros("window.start").alias("start"), F.element_at(order, F.col("rank").cast("int")).alias("kind"), (F.col("asked") - 1).alias("given_up"))
+
+
+def acknowledged(stream: DataFrame, tick: str, late: str, nodes: int) -> DataFrame:
+    """Messages (rows: key, node, at) that all nodes acknowledged within their tick, and when the last one did; given out at
+    its end. The set kept for a message has `nodes` members at most."""
+    held = stream.withWatermark("at", late).groupBy(F.window("at", tick), "key").agg(F.size(F.collect_set("node")).alias("n"), F.max(F.unix_micros("at")).alias("done"))
+    return held.where(F.col("n") == nodes).select("key", "done")
+
+
+def running_noise(rows: DataFrame, slices: list[Column], keys: list[str]) -> DataFrame:
+    """(keys, n, noise) state after all slices of rows (keys, x) have landed: each micro-batch merges its means into the
+    version before and writes the next. A version is named by its batch, so a batch that is run again replaces its own."""
+    spark = rows.sparkSession
+    base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    state = rows.select(*keys, F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("noise")).schema
+    last = -1
+
+    def put(batch: DataFrame, number: int) -> None:
+        nonlocal last
+        before = spark.read.schema(state).parquet(f"{base}/version={number - 1}") if number else spark.createDataFrame([], state)
+        noise.merge(before, batch, keys).write.mode("overwrite").parquet(f"{base}/version={number}")
+        last = number
+
+    for landed in slices:
+        rows.where(landed).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(state).parquet(f"{base}/version={last}") if last >= 0 else spark.createDataFrame([], state)
+
+
+def publish(stream: DataFrame, key: str, send: Callable[[dict], int], folder: str, tries: int = 3):
+    """A started query that sends each row once and keeps a ledger (key, status, tries) in the folder. send() gives a status
+    of bits, 0 when all is well; what fails is tried again, `tries` times in all. Keys in the ledger of earlier batches aren't
+    sent again, and a batch that is run again replaces its own part of it."""
+    spark = stream.sparkSession
+    kind = stream.schema[key].dataType.simpleString()
+    ledger = f"{key} {kind}, status int, tries int"
+
+    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out = []
+            for record in rows.to_dict("records"):
+                for turn in range(1, tries + 1):
+                    if not (status := send(record)):
+                        break
+                out.append((record[key], status, turn))
+            yield pd.DataFrame(out, columns=[key, "status", "tries"])
+
+    def put(batch: DataFrame, number: int) -> None:
+        new = batch.dropDuplicates([key])
+        if number:
+            known = spark.read.schema(f"{ledger}, batch int").option("basePath", f"{folder}/ledger").parquet(f"{folder}/ledger").where(F.col("batch") < number)
+            new = new.join(known.select(key), key, "left_anti")
+        new.mapInPandas(sent, ledger).write.mode("overwrite").parquet(f"{folder}/ledger/batch={number}")
+
+    return stream.writeStream.option("checkpointLocation", f"{folder}/state").foreachBatch(put).trigger(availableNow=True).start()
+
+
 def dumps(triggers: DataFrame, samples: DataFrame, seconds: int, late: str) -> DataFrame:
     """Samples (sample_id, s_at) of up to `seconds` before a trigger (trigger_id, t_at): an interval join of two streams.
 

@@ -99,6 +99,24 @@ def test_assembly_times_out_and_keeps_late_rows(spark):
     assert sorted((r.slot, r.id, r.late_by) for r in late) == [(1, 7, 5 * 60_000_000), (2, 8, 160 * 60_000_000)]
 
 
+def test_triggers_are_published_once(spark, tmp_path):
+    """Failures are tried again, what is in the ledger isn't sent again, and a lasting failure keeps its status."""
+    log = tmp_path / "sent"
+
+    def send(record):
+        with open(log, "a") as out:
+            out.write(f"{record['name']}\n")
+        return 4 if record["name"] == "b" or (record["name"] == "c" and log.read_text().count("c") < 2) else 0
+
+    for names in (["a", "b", "a"], ["a", "c"]):
+        spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("name string").parquet(f"{tmp_path}/in")
+        runs.publish(stream, "name", send, f"file://{tmp_path}/out").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out/ledger").collect()
+    assert sorted((r.name, r.status, r.tries) for r in rows) == [("a", 0, 1), ("b", 4, 3), ("c", 0, 2)]
+    assert sorted(log.read_text().split()) == ["a", "b", "b", "b", "c", "c"]
+
+
 def test_cones_equal_all_pairs(spark):
     """Points over the whole sky, at the poles and at the wrap, and the nearest of each."""
     rng = np.random.default_rng(7)
