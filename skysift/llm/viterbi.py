@@ -256,7 +256,12 @@ class Encoder:
         for words in (v for k, v in groups.items() if k <= LONG):
             for k in range(0, len(words), 20_000):
                 self.memo.update(zip(words[k : k + 20_000], search(self.pieces, words[k : k + 20_000]), strict=True))
-        return [b"".join(found[w] if len(w) > LONG else self.memo[w] for w in c) for c in cut]
+        self.memo |= found  # for this batch only: ids of long segments would fill the memo
+        get = self.memo.__getitem__
+        out = [b"".join(map(get, c)) for c in cut]
+        for w in found:
+            del self.memo[w]
+        return out
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.pieces.raw.__getitem__, np.frombuffer(ids, "<i4").tolist()))
