@@ -20,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
         jvm = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jvm.get() if jvm.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         found = "file://" + tempfile.mkdtemp(prefix="skysift-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
