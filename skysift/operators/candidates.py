@@ -54,3 +54,12 @@ def next_names(df: DataFrame, order: list[Column], last: int, batch: str) -> Dat
     base = sizes.select(batch, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__base"))
     ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(batch).orderBy(*order)))
     return ranked.join(F.broadcast(base), batch).withColumn("candname", F.format_string("cand%06d", F.col("__base") + F.col("__n") + last)).drop("__n", "__base")
+
+
+def merge_results(df: DataFrame, key: str, results: list[DataFrame]) -> DataFrame:
+    """df with the columns that later steps found, one row a key in each: the last step that has a value for a column wins."""
+    for r in results:
+        new = [c for c in r.columns if c != key]
+        joined = df.join(r.select(key, *[F.col(c).alias(f"__new_{c}") for c in new]), key, "left")
+        df = joined.withColumns({c: F.coalesce(f"__new_{c}", c) if c in df.columns else F.col(f"__new_{c}") for c in new}).drop(*[f"__new_{c}" for c in new])
+    return df

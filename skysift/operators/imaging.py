@@ -40,6 +40,17 @@ def to_cells(image: DataFrame, keys: list[str], size: int) -> DataFrame:
     return image.groupBy(*keys).applyInPandas(run, schema)
 
 
+def long_rows(df: DataFrame, keys: list[str], values: str, shape: list[int], names: list[str]) -> DataFrame:
+    """One row a value of an array in row-major order, with its index on each axis; what is past the shape is left out."""
+    each = df.select(*keys, F.posexplode(values).alias("__at", "value"))
+    step, index = int(np.prod(shape)), {}
+    each = each.where(F.col("__at") < step)
+    for name, length in zip(names, shape, strict=True):
+        step //= length
+        index[name] = (F.floor(F.col("__at") / step) % length).cast("int")
+    return each.select(*keys, *[c.alias(n) for n, c in index.items()], "value")
+
+
 def w_layer(w: Column, l: Column, m: Column) -> Column:  # noqa: E741
     """The phase factor of a w layer at direction cosines: exp(2 pi i w (sqrt(1 - l^2 - m^2) - 1))."""
     angle = 2 * np.pi * w * (F.sqrt(1 - l * l - m * m) - 1)

@@ -90,12 +90,54 @@ def convolve(x: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray
     return np.einsum(f"nz{letters}{inner},kz{inner}->nk{letters}", view, weights) + bias.reshape(1, -1, *[1] * len(axes))
 
 
-def score(cubes: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], head: tuple[np.ndarray, float]) -> np.ndarray:
-    """Probabilities of cut-outs: convolutions with rectifiers, a mean over space, a linear head, a sigmoid."""
+def features(cubes: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Cut-outs through convolutions with rectifiers and a mean over space: one row of numbers each."""
     x = (cubes - cubes.mean(axis=tuple(range(1, cubes.ndim)), keepdims=True)) / (cubes.std(axis=tuple(range(1, cubes.ndim)), keepdims=True) + 1e-9)
     for weights, bias in layers:
         x = np.maximum(convolve(x, weights, bias), 0)
-    return 1 / (1 + np.exp(-(x.mean(axis=tuple(range(2, x.ndim))) @ head[0] + head[1])))
+    return x.mean(axis=tuple(range(2, x.ndim)))
+
+
+def score(cubes: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], head: tuple[np.ndarray, float]) -> np.ndarray:
+    """Probabilities of cut-outs: their features, a linear head, a sigmoid."""
+    return 1 / (1 + np.exp(-(features(cubes, layers) @ head[0] + head[1])))
+
+
+def fit_head(cutouts: DataFrame, shape: tuple[int, ...], layers: list, rounds: int = 12, ridge: float = 1.0) -> tuple[np.ndarray, float]:
+    """The head of a network by logistic regression on labelled cut-outs (pixels, label 0 or 1): Newton steps, each a sum over
+    all rows of matrices as wide as the last layer, one a task. Rows without a label are left out; (0, 0) where there are none."""
+    width = len(layers[-1][1]) + 1
+    shared = cutouts.sparkSession.sparkContext.broadcast(layers)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                cubes = np.nan_to_num(np.stack([np.asarray(p, float).reshape(shape) for p in rows["pixels"]]))
+                yield pd.DataFrame({"x": list(features(cubes, shared.value)), "label": rows["label"].astype(float)})
+
+    known = materialize(cutouts.where("label is not null and pixels is not null").select("pixels", "label").mapInPandas(measure, "x array<double>, label double"), "features")
+    beta = np.zeros(width)
+    for _ in range(rounds):
+
+        def sums(batches: Iterator[pd.DataFrame], beta: np.ndarray = beta) -> Iterator[pd.DataFrame]:
+            slope, curve = np.zeros(width), np.zeros((width, width))
+            for rows in batches:
+                if len(rows):
+                    x = np.column_stack([np.stack(rows["x"]), np.ones(len(rows))])
+                    p = 1 / (1 + np.exp(-x @ beta))
+                    slope += x.T @ (rows["label"].to_numpy() - p)
+                    curve += (x * (p * (1 - p))[:, None]).T @ x
+            yield pd.DataFrame({"at": np.arange(width * (width + 1)), "v": np.concatenate([slope, curve.ravel()])})
+
+        total = {r["at"]: r["v"] for r in known.mapInPandas(sums, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()}  # width * (width + 1) rows
+        if not total:
+            break
+        flat = np.array([total[k] for k in range(width * (width + 1))])
+        step = np.linalg.solve(flat[width:].reshape(width, width) + ridge * np.eye(width), flat[:width] - ridge * beta)
+        beta = beta + step
+        if np.abs(step).max() < 1e-8:
+            break
+    return beta[:-1], float(beta[-1])
 
 
 def classify(cutouts: DataFrame, shape: tuple[int, ...], layers: list, head: tuple, cut: float = 0.5) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skysift import schemas
@@ -27,6 +28,20 @@ def trigger_json(df: DataFrame, start_mjd: float, sample_s: float) -> DataFrame:
     return df.select("trigname", F.to_json(F.struct(*[known.get(f, F.col(f)).alias(f) for f in fields])).alias("record"))
 
 
+def packed_baselines(df: DataFrame) -> DataFrame:
+    """(name, block, content): u, v, w and length as little-endian doubles and the antenna numbers as bytes, in the order of
+    (ant1, ant2). A block has 4096 baselines, so a file is its blocks of one name strung together in order."""
+    order = Window.orderBy("ant1", "ant2")  # pairs of a few hundred antennas
+    numbered = df.withColumn("length", F.hypot("u", "v")).withColumn("__n", F.row_number().over(order) - 1)
+    formats = {"u": "<f8", "v": "<f8", "w": "<f8", "length": "<f8", "ant1": "u1", "ant2": "u1"}
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("__n")
+        return pd.DataFrame({"name": list(formats), "block": int(rows["__n"].iloc[0]) // 4096, "content": [rows[c].to_numpy().astype(f).tobytes() for c, f in formats.items()]})
+
+    return numbered.select("__n", *formats).groupBy(F.floor(F.col("__n") / 4096)).applyInPandas(pack, "name string, block int, content binary")
+
+
 def append_ledger(df: DataFrame, path: str, schema: str) -> None:
     names = [f.split()[0] for f in schema.split(", ")]
     df.select(*names).write.mode("append").parquet(path)

@@ -87,21 +87,31 @@ class VisibilitySource(DataSource):
         return VisibilityReader(dict(self.options))
 
 
-def read_blocks(spark: SparkSession, path: str, nsamps: int, nbase: int, nchan: int, npol: int) -> DataFrame:
-    """The same rows through Spark's own file access; a file is one record of at most 2 GB."""
-    shape = (nsamps, nbase, nchan, npol)
+def _unpacked(files: DataFrame, shape: tuple[int, ...]) -> DataFrame:
+    """Long rows of files (path, content)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 raw = content.as_buffer()
-                head = struct.unpack(HEADER, raw[: HEADER_BYTES].to_pybytes())
-                body = np.frombuffer(raw[HEADER_BYTES :], "<c8")
+                head = struct.unpack(HEADER, raw[:HEADER_BYTES].to_pybytes())
+                body = np.frombuffer(raw[HEADER_BYTES:], "<c8")
                 size = int(np.prod(shape))
                 for gulp in range(len(body) // size):
                     yield rows_of(file, head, gulp, body[gulp * size : (gulp + 1) * size].reshape(shape))
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, VISIBILITY)
+    return files.select("path", "content").mapInArrow(run, VISIBILITY)
+
+
+def read_blocks(spark: SparkSession, path: str, nsamps: int, nbase: int, nchan: int, npol: int) -> DataFrame:
+    """The same rows through Spark's own file access; a file is one record of at most 2 GB."""
+    return _unpacked(spark.read.format("binaryFile").load(path), (nsamps, nbase, nchan, npol))
+
+
+def stream_blocks(spark: SparkSession, path: str, nsamps: int, nbase: int, nchan: int, npol: int, files: int = 16) -> DataFrame:
+    """The stream of rows of files as they land, so many files a micro-batch; which were read is kept in the query's checkpoint."""
+    landed = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("maxFilesPerTrigger", files).load(path)
+    return _unpacked(landed, (nsamps, nbase, nchan, npol))
 
 
 def complete_files(headers: DataFrame, parts: int) -> DataFrame:

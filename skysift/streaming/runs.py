@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -192,6 +193,29 @@ def running_noise(rows: DataFrame, slices: list[Column], keys: list[str]) -> Dat
     return spark.read.schema(state).parquet(f"{base}/version={last}") if last >= 0 else spark.createDataFrame([], state)
 
 
+def batch_metrics(rows: DataFrame, slices: list[Column], metrics: list[Column]) -> DataFrame:
+    """(batch, *metrics) of each micro-batch of rows that land slice by slice, as they are observed while it is written: aggregates
+    without a pass of their own. A batch that is run again replaces its row."""
+    spark = rows.sparkSession
+    base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    shape = rows.agg(*metrics).schema
+
+    def put(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        batch.observe(seen, *metrics).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+        spark.createDataFrame([tuple(seen.get[c] for c in shape.names)], shape).coalesce(1).write.mode("overwrite").parquet(f"{base}/metrics/batch={number}")
+
+    for landed in slices:
+        rows.where(landed).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
+    known = T.StructType([*shape.fields, T.StructField("batch", T.IntegerType())])
+    try:
+        return spark.read.schema(known).parquet(f"{base}/metrics")
+    except AnalysisException:  # no batch came
+        return spark.createDataFrame([], known)
+
+
 def publish(stream: DataFrame, key: str, send: Callable[[dict], int], folder: str, tries: int = 3):
     """A started query that sends each row once and keeps a ledger (key, status, tries) in the folder. send() gives a status
     of bits, 0 when all is well; what fails is tried again, `tries` times in all. Keys in the ledger of earlier batches aren't
