@@ -5,12 +5,14 @@ after it, so a cut before white space that follows another character is stable:
 they do within the text. Words recur, so their ids are kept in a bounded memo. Words that aren't in it
 are strung together (each cut is stable) and encoded at once by tiktoken with the vocabulary of the
 tokenizers file, which gives the same ids four times as fast; whatever holds a special string, or
-ends in white space, goes to the tokenizers library itself.
+ends in white space, goes to the tokenizers library itself. A file with other settings than these (see
+is_plain) has no such cuts that are known; its texts go to the library whole.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from collections.abc import Callable
@@ -43,6 +45,22 @@ def tokenizer(path: str):
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+@functools.lru_cache(maxsize=4)
+def is_plain(path: str) -> bool:
+    """Whether the file is a byte-level BPE with the pattern above and nothing else that could touch a text."""
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, before = file.get("model") or {}, file.get("pre_tokenizer") or {}
+    if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True) or file.get("normalizer"):
+        return False
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if model.get("type") != "BPE" or any(model.get(k) for k in odd):
+        return False
+    return not any(t.get(k) for t in file.get("added_tokens") or [] for k in ("single_word", "lstrip", "rstrip"))
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a vocabulary: itself where it prints, else the next free one from 256 on."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -81,6 +99,8 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text what keep() made of its segments, in order."""
+        if not is_plain(self.path):
+            return [[self.keep(np.asarray(tokenizer(self.path).encode(t, add_special_tokens=False).ids, "<u4"))] for t in texts]
         cut = [self.segments(t) for t in texts]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()

@@ -7,7 +7,8 @@ the last MARGIN bytes of the left chunk, so that nothing cut off at its end (a s
 it. Where neighbours share no such boundary, the text is encoded anew with chunks and overlaps four
 times as wide, at last as one chunk.
 
-Other texts go word by word (see stable_bpe), without a shuffle.
+Other texts go word by word (see stable_bpe), without a shuffle. With a tokenizer whose settings aren't those
+of stable_bpe no boundary is proven stable, and every text is encoded whole.
 
 Defined results: a null text counts as empty, an empty text has 0 tokens; rows that repeat are counted
 once each; an empty table gives an empty result; only id and text are read.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skysift.llm.stable_bpe import fast_coder, tokenizer, word_encoder
+from skysift.llm.stable_bpe import fast_coder, is_plain, tokenizer, word_encoder
 from skysift.llm.support import materialize, short_batches, text_rows
 
 #: Characters from which on a text is huge (and the step from chunk to chunk), and of an overlap.
@@ -151,6 +152,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT, chunk
     """doc_id, n_bytes, n_tokens and over_limit of every row."""
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     body = body.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
+    if not is_plain(tokenizer_path):
+        return count_small(body, tokenizer_path).withColumn("over_limit", F.col("n_tokens") > limit)
     # a text of few bytes has few characters; the bytes decide, which every chunk still reaches
     huge = count_huge(body.where(F.col("n_bytes") > chunk).withColumn("hash", F.xxhash64("text")), tokenizer_path, chunk, overlap)
     small = count_small(body.where(F.col("n_bytes") <= chunk), tokenizer_path)  # last: it runs with the result, in full batches

@@ -619,3 +619,30 @@ def test_materialize(spark):
     spark.conf.set(support._CLEANUP, "false")
     df = support.materialize(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count(), "t")
     assert df.count() == 3 and spark.conf.get(support._CLEANUP) == "false"
+
+
+def test_other_tokenizer_settings(spark, tmp_path):
+    """A file whose settings leave no known cuts is used whole, for counts and for ids, on short and on huge texts."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    from skysift.llm import stable_bpe
+
+    with open(tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
+        file = json.load(f)
+    assert stable_bpe.is_plain(tokenizer_file("byte_bpe_50k.json"))
+    file["pre_tokenizer"]["add_prefix_space"] = True
+    file["normalizer"] = {"type": "Lowercase"}
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(file, f)
+    assert not stable_bpe.is_plain(path)
+    coder = Tokenizer.from_file(path)
+    texts = ["Hello THERE  World", "", None, "A b\n\nC " * 300, " x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, path, chunk=200, overlap=64).collect()}
+    assert found == {n: len(coder.encode(t or "", add_special_tokens=False).ids) for n, t in enumerate(texts)}
+    for r in packing.pack_documents(docs, path).collect():
+        ids = np.array(coder.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [0], "<u4")
+        assert zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32
