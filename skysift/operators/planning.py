@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skysift.functions import sky
+from skysift.stored import materialize
 
 
 def plane_grid(spark: SparkSession, step: float, latitudes: list[float]) -> DataFrame:
@@ -39,9 +40,20 @@ def transits(targets: DataFrame, key: str, start_mjd: float, steps: tuple[int, .
 
 
 def lock_to_grid(df: DataFrame, time: str, value: str, step: float) -> DataFrame:
-    """Values at each multiple of `step` between two rows in time, interpolated linearly."""
-    order = Window.orderBy(time)  # a plan has a row a pointing
-    pair = df.select(F.col(time).alias("t0"), F.col(value).alias("v0"), F.lead(time).over(order).alias("t1"), F.lead(value).over(order).alias("v1"))
+    """Values at each multiple of `step` between two rows in time, interpolated linearly.
+
+    Rows lie in stored range partitions by time; the last of each meets the first of the next partition that has rows,
+    from a table with one row a partition. Rows without a time are left out; of rows of one time, that with the
+    greatest value begins the next stretch and that with the least ends the one before.
+    """
+    row = F.struct(F.col(time).alias("t"), F.col(value).alias("v"))
+    rows = materialize(df.where(F.col(time).isNotNull()).select(time, value).repartitionByRange(time).withColumn("__p", F.spark_partition_id()), "plan")
+    firsts = rows.groupBy("__p").agg(F.min(row).alias("__first"))
+    # one row a partition, in one window: their number is set by the session, not by the data
+    after = firsts.select("__p", F.lead("__first").over(Window.orderBy("__p")).alias("__after"))
+    following = F.coalesce(F.lead(row).over(Window.partitionBy("__p").orderBy(time, value)), F.col("__after"))
+    pair = rows.join(F.broadcast(after), "__p").select(F.col(time).alias("t0"), F.col(value).alias("v0"), following.alias("n"))
+    pair = pair.select("t0", "v0", F.col("n.t").alias("t1"), F.col("n.v").alias("v1"))
     inside = pair.where((F.col("t1") > F.col("t0")) & (F.floor(F.col("t1") / step) >= F.ceil(F.col("t0") / step)))
     at = inside.select("*", F.explode(F.sequence(F.ceil(F.col("t0") / step).cast("bigint"), F.floor(F.col("t1") / step).cast("bigint"))).alias("k"))
     t = F.col("k") * step

@@ -100,13 +100,10 @@ def handshake(spark, sf_dir):
     return planning.acknowledged(events(spark, sf_dir), "t", "pix", 8, "event_id")
 
 
-@query("""WITH p AS (SELECT CAST(row_number() OVER (ORDER BY s_suppkey) - 1 AS DOUBLE) * 7 + (s_suppkey % 3) AS t0, s_acctbal AS v0 FROM supplier), q AS (SELECT t0, v0, lead(t0) OVER (ORDER BY t0) AS t1, lead(v0) OVER (ORDER BY t0) AS v1 FROM p), g AS (SELECT CAST(k * 5 AS DOUBLE) AS t FROM range(20000) r(k))
+@query("""WITH p AS (SELECT CAST(s_suppkey * 7 + s_suppkey % 3 AS DOUBLE) AS t0, s_acctbal AS v0 FROM supplier), q AS (SELECT t0, v0, lead(t0) OVER (ORDER BY t0) AS t1, lead(v0) OVER (ORDER BY t0) AS v1 FROM p), g AS (SELECT CAST(unnest(range((SELECT CAST(max(t0) / 5 AS BIGINT) + 1 FROM p))) * 5 AS DOUBLE) AS t)
 SELECT t, round(v0 + (v1 - v0) * (t - t0) / (t1 - t0), 6) + 0 AS v FROM q JOIN g ON t >= t0 AND t < t1""")
 def lock_to_grid(spark, sf_dir):
-    from pyspark.sql import Window
-
-    s = table(spark, sf_dir, "supplier")
-    plan = s.select(((F.row_number().over(Window.orderBy("s_suppkey")) - 1) * 7 + F.col("s_suppkey") % 3).cast("double").alias("t"), F.col("s_acctbal").alias("v"))
+    plan = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 7 + F.col("s_suppkey") % 3).cast("double").alias("t"), F.col("s_acctbal").alias("v"))
     return planning.lock_to_grid(plan, "t", "v", 5.0).select("t", r6("v").alias("v"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from skysift.operators import joins, learned
+from skysift.operators import joins, learned, planning
 from skysift.streaming import runs
 
 FOLDER = os.environ.get("SKYSIFT_TEST_DATA", "/root/testdata/sf0.001")
@@ -167,3 +167,14 @@ def test_clusters_without_a_task_a_gulp(spark):
         want |= {(g, i): c for i, c in zip(part["id"], learned.density_labels(part[["p", "q"]].to_numpy(), 0.1, 4), strict=True)}
     assert len(set(want.values())) > 4
     assert {(r.g, r.id): r.cluster for r in frame.collect()} == want
+
+
+def test_lock_to_grid_across_partitions(spark):
+    r = np.random.default_rng(3)
+    t = np.unique(r.integers(0, 200_000, 5000)).astype(float) / 4
+    v = r.normal(size=len(t))
+    frame = spark.createDataFrame(pd.DataFrame({"t": t, "v": v}).sample(frac=1, random_state=1)).unionByName(spark.sql("SELECT CAST(NULL AS DOUBLE) AS t, 1.0D AS v"))
+    out = planning.lock_to_grid(frame, "t", "v", 5.0).orderBy("t").toPandas()
+    grid = np.arange(np.ceil(t[0] / 5) * 5, t[-1], 5.0)
+    assert np.array_equal(out["t"], grid) and np.allclose(out["v"], np.interp(grid, t, v))
+    assert planning.lock_to_grid(frame.limit(0), "t", "v", 5.0).count() == 0
