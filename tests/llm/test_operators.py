@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skysift import stored
 from skysift.llm import boosting, compression_classifier, components, packing, parity_join, payload_chunks, pii, quality_rules, shingles, slots, support, token_counts, url_rules
 from skysift.llm.queries import URL_RULES, tokenizer_file
 
@@ -616,9 +617,9 @@ def test_classifier(spark):
 
 
 def test_materialize(spark):
-    spark.conf.set(support._CLEANUP, "false")
+    spark.conf.set(stored._CLEANUP, "false")
     df = support.materialize(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count(), "t")
-    assert df.count() == 3 and spark.conf.get(support._CLEANUP) == "false"
+    assert df.count() == 3 and spark.conf.get(stored._CLEANUP) == "false"
 
 
 def test_other_tokenizer_settings(spark, tmp_path):
