@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skysift.llm import compression_classifier, packing, parity_join, payload_chunks, pii, quality_rules, slots, token_counts, url_rules, viterbi
+from skysift.llm import ball_tree, compression_classifier, divergence, packing, parity_join, payload_chunks, pii, quality_rules, slots, spelling, token_counts, url_rules, viterbi
 from skysift.llm.support import documents
 
 #: The rules that op6 judges by, as (action, host, path).
@@ -97,9 +97,67 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 100 = 0")
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.e, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), each AS (
+  SELECT r, lang, source, term, count(*) AS n
+  FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM each GROUP BY ALL HAVING count(*) >= 30
+), counts AS (
+  SELECT lang, source, term, CAST(sum(each.n) AS HUGEINT) AS n FROM each JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (SELECT DISTINCT lang, source FROM d),
+langs AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(n) AS HUGEINT) AS total FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (t.total + 5 * l.v) AS p, 1 + (1000000000 * (k.n + 5)) // (l.total + 5 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) JOIN totals t USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op3_sentencepiece, op4_token_counts, op5_pii, op6_url_filters, op7_media_chunks, op8_quality_rules, op9_sharding, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_jaccard_join, op3_sentencepiece, op4_token_counts, op5_pii, op6_url_filters, op7_media_chunks, op8_quality_rules, op9_sharding, op10_quality_classifier, op11_exact_top_k, op12_spelling_variants, op13_source_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": OP6_SQL}
+    return {"op6_url_filters": OP6_SQL, "op11_exact_top_k": OP11_SQL, "op13_source_divergence": OP13_SQL}
