@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skysift.queries.registry import micros, query, r6, table
-from skysift.streaming import runs
+from skysift import trials
+from skysift.queries.registry import HOURS, SQL, cube, micros, query, r6, table
+from skysift.stored import materialize
+from skysift.streaming import carry, runs
 
 
 @query("SELECT CAST(floor(epoch_us(ts) / CAST(21600000000 AS DOUBLE)) * 21600000000 AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 6) + 0 AS total FROM events GROUP BY 1, 2")
@@ -120,3 +122,14 @@ def stream_dump_interval(spark, sf_dir):
     triggers = runs.event_stream(spark, sf_dir).where("event_type = 'purchase' and value > 60").select(F.col("event_id").alias("trigger_id"), F.col("at").alias("t_at"))
     samples = runs.event_stream(spark, sf_dir).where("event_type = 'view'").select(F.col("event_id").alias("sample_id"), F.col("at").alias("s_at"))
     return runs.replay(runs.dumps(triggers, samples, 600, "31 days"), "append")
+
+
+@query(SQL["dedisperse_linear"])
+def stream_dedisperse(spark, sf_dir):
+    """The linear de-dispersion of gulps of a day that land six at a time, with the samples that later ones need in state."""
+    samples = materialize(cube(spark, sf_dir), "samples")
+    delays = trials.linear_delays(spark, 8, 5, -0.75)
+    landings = [F.floor(F.col("t") / 144) == k for k in range(HOURS // 144)]
+    with carry.keyed_state(spark):
+        out = runs.feed(samples, landings, lambda s: carry.dedisperse(s, delays, "pix", 5, 24, 86400.0, "0 seconds"))
+    return out.select("pix", "dm_idx", F.col("t").cast("int").alias("t"), r6("value").alias("value"))
