@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skysift import trials
+from skysift.queries import searching  # noqa: F401  (its SQL is used below)
 from skysift.queries.registry import HOURS, SQL, cube, micros, query, r6, table
 from skysift.stored import materialize
 from skysift.streaming import carry, runs
