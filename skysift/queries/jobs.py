@@ -6,9 +6,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from skysift import trials
-from skysift.operators import candidates, density, folding, imaging, learned
+from skysift.operators import candidates, density, folding, hierarchy, imaging, learned
 from skysift.plans import offline
-from skysift.queries.registry import query, r6, table
+from skysift.queries.registry import query, r6, r9, table
 from skysift.queries.streams import _arrivals, _by_week
 from skysift.streaming import runs
 
@@ -166,3 +166,43 @@ def stream_metrics(spark, sf_dir):
     hour = 3_600_000_000
     wait = F.unix_micros("arrived") - (F.col("slot") + 1) * hour
     return runs.batch_metrics(_arrivals(spark, sf_dir), _by_week(), [F.count("*").alias("n"), F.count_if(wait >= 6 * hour).alias("dropped"), F.max(wait).alias("longest")]).select("batch", "n", "dropped", "longest")
+
+
+def _axes(spark, sf_dir, count: int):
+    axes = [f"a{k}" for k in range(count)]
+    return axes, table(spark, sf_dir, "embeddings").select("vec_id", "label", *[F.col("embedding")[k].cast("double").alias(a) for k, a in enumerate(axes)])
+
+
+@query()
+def cluster_hierarchy(spark, sf_dir):
+    """Embeddings' first four axes, clustered within each label by the stability of their whole density hierarchy."""
+    axes, points = _axes(spark, sf_dir, 4)
+    return hierarchy.clusters(points, "label", axes, "vec_id", 5)
+
+
+@query()
+def cluster_hierarchy_rounds(spark, sf_dir):
+    """The same on two axes, and again on what is noise with smaller clusters."""
+    axes, points = _axes(spark, sf_dir, 2)
+    return hierarchy.rounds(points, "label", axes, "vec_id", 12, 3)
+
+
+@query()
+def cluster_hierarchy_psf(spark, sf_dir):
+    """The same on two axes under the distance weighted by a point-spread function that grows with the offset."""
+    axes, points = _axes(spark, sf_dir, 2)
+
+    def weighted(p: np.ndarray, others: np.ndarray) -> np.ndarray:
+        d = hierarchy.euclid(p, others)
+        return d * (1 + d * d)
+
+    return hierarchy.clusters(points, "label", axes, "vec_id", 5, metric=weighted)
+
+
+@query("""WITH p AS (SELECT label, vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+d AS (SELECT a.label, a.vec_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM p a JOIN p b ON a.label = b.label AND a.vec_id <> b.vec_id)
+SELECT label, vec_id, round(d, 9) + 0 AS core FROM d QUALIFY row_number() OVER (PARTITION BY label, vec_id ORDER BY d.d) = 2""")
+def core_distances(spark, sf_dir):
+    """The distance of each point to its second neighbour within the label."""
+    axes, points = _axes(spark, sf_dir, 2)
+    return hierarchy.core_of_points(points, "label", axes, "vec_id", 2).select("label", "vec_id", r9("core").alias("core"))

@@ -121,7 +121,7 @@ class _Carry(StatefulProcessor):
             value, count = sums.series(history, block)
             trial, t = np.nonzero(count)
             if len(trial):
-                out.append(pd.DataFrame({self.key: key[0], "dm_idx": np.array(sums.trials)[trial], "t": t + gulp * sums.nsamps, "value": value[trial, t]}))
+                out.append((np.array(sums.trials)[trial], t + gulp * sums.nsamps, value[trial, t]))
             history = sums.carried(history, block)
             if gulp in known:
                 self.open.removeKey((gulp,))
@@ -132,7 +132,8 @@ class _Carry(StatefulProcessor):
                 gulp = min((g for g in known if g >= gulp), default=upto + 1)
         self.head.update((upto + 1, history.ravel().tolist()))
         if out:
-            yield pd.concat(out)
+            dm_idx, t, value = (np.concatenate(x) for x in zip(*out, strict=True))
+            yield pd.DataFrame({self.key: pd.Series([key[0]] * len(t), dtype=object), "dm_idx": dm_idx, "t": t, "value": value})
 
     def close(self) -> None:
         pass
