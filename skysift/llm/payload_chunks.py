@@ -163,8 +163,13 @@ def packs(docs: DataFrame, shared: DataFrame, raw: bytes) -> DataFrame:
     pressed = docs.select("text").mapInArrow(run, "payload binary, blobs array<binary>, order array<int>").dropDuplicates(["payload"])
     none = F.array().cast(_SHARED)
     known = pressed.join(shared, "payload", "left").select("payload", "blobs", "order", F.coalesce("foreign", none).alias("foreign"), F.coalesce("lent", none).alias("lent"))
-    elsewhere = F.transform("foreign", lambda c: c["at"])
-    own = F.when(F.size("foreign") == 0, F.col("blobs")).otherwise(F.transform("blobs", lambda b, k: F.when(~F.array_contains(elsewhere, k), b)))
+    # which places are foreign, as one byte a place up to the last: made from the gaps between them, and looked up at once; the
+    # variable of the outer transform holds it, so it is made once a row
+    known = known.withColumn("foreign", F.array_sort("foreign"))
+    gap = lambda c, k: c["at"] - F.coalesce(F.get("foreign", k - 1)["at"], F.lit(-1)) - 1
+    marks = F.array_join(F.transform("foreign", lambda c, k: F.concat(F.repeat(F.lit("0"), gap(c, k)), F.lit("1"))), "").cast("binary")
+    left = F.transform(F.array(marks), lambda m: F.transform("blobs", lambda b, k: F.when(F.substring(m, k + 1, F.lit(1)) == F.lit(b"1"), None).otherwise(b)))
+    own = F.when(F.size("foreign") == 0, F.col("blobs")).otherwise(F.get(left, F.lit(0)))
     return known.select("payload", own.alias("blobs"), "order", "foreign", "lent")
 
 
@@ -180,16 +185,19 @@ def read_back(stored: DataFrame, raw: bytes) -> DataFrame:
     lent = stored.select("blobs", F.explode("lent").alias("c")).select("c.digest", F.get("blobs", "c.at").alias("fetched")).dropDuplicates(["digest"])
     parted = stored.where(F.size("foreign") > 0)
     needs = parted.select("payload", F.explode("foreign").alias("c")).select("payload", "c.at", "c.digest")
-    fetched = needs.join(lent, "digest").groupBy("payload").agg(F.map_from_entries(F.collect_list(F.struct("at", "fetched"))).alias("got"))
-    filled = parted.join(fetched, "payload").select("payload", F.transform("blobs", lambda b, k: F.coalesce(b, F.element_at("got", k))).alias("blobs"), "order")
-    complete = stored.where(F.size("foreign") == 0).select("payload", "blobs", "order").unionByName(filled)
+    fetched = needs.join(lent, "digest").groupBy("payload").agg(F.collect_list(F.struct("at", "fetched")).alias("got"))
+    none = F.array().cast("array<struct<at:int,fetched:binary>>")
+    filled = parted.join(fetched, "payload").select("payload", "blobs", "order", "got")
+    complete = stored.where(F.size("foreign") == 0).select("payload", "blobs", "order", none.alias("got")).unionByName(filled)
     held = stored.sparkSession.sparkContext.broadcast(raw)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = _open(held.value)
         for batch in batches:
             cols: tuple[list, ...] = ([], [], [], [], [], [])
-            for name, blobs, order in zip(*(batch.column(c).to_pylist() for c in ("payload", "blobs", "order")), strict=True):
+            for name, blobs, order, got in zip(*(batch.column(c).to_pylist() for c in ("payload", "blobs", "order", "got")), strict=True):
+                for chunk in got:
+                    blobs[chunk["at"]] = chunk["fetched"]
                 blobs = [blobs[k] for k in order] if order else blobs
                 samples = b"".join(map(open_, blobs))
                 if digest(samples) != name:

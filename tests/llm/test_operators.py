@@ -367,6 +367,38 @@ def test_long_runs_take_linear_time(unit):
     assert time.process_time() - between < 80 * (between - began) + 3
 
 
+def test_choice_of_spans_takes_linear_time():
+    """Tens of thousands of tokens that all count: ten times as many take some ten times as long; none overlap."""
+    import time
+
+    class Trees:
+        def predict(self, x):
+            return 0.6 + x[:, 1] / 1000
+
+    model = pii.PiiModel(Trees(), (0.5,) * len(pii.KINDS))
+    r = random.Random(2)
+    tokens = ["".join(r.choice("0123456789abcdef") for _ in range(32)) for _ in range(40_000)]
+    took = []
+    for count in (4000, 40_000):
+        text = " ".join(tokens[:count])
+        began = time.process_time()
+        spans = sorted(model.extra(text, [(3, 10, 20)]), key=lambda s: s[1])
+        took.append(time.process_time() - began)
+        assert len(spans) == count - 1 and all(a[2] <= b[1] for a, b in itertools.pairwise(spans))
+    assert took[1] < 25 * took[0] + 1
+
+
+def test_ties_of_spans_go_to_the_first():
+    class Trees:
+        def predict(self, x):
+            return np.full(len(x), 0.9)
+
+    model = pii.PiiModel(Trees(), (0.5,) * len(pii.KINDS))
+    text = "password: abcdefghij0123456789abcdefgh and key 0123456789abcdef0123456789abcdef"
+    spans = model.extra(text, [])
+    assert spans == model.extra(text, []) and len({(a, b) for _, a, b in spans}) == len(spans) and spans == sorted(spans, key=lambda s: s[1])
+
+
 # url filters
 
 
