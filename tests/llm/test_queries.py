@@ -45,13 +45,14 @@ def folder(spark, texts, tmp_path_factory):
     spark.createDataFrame([*labels, (None, 1, 0), (3, None, None)], "doc_id bigint, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
     urls = [None, "", "no scheme", "https://a.ORG/x", "http://example.org/es/1", "http://x.com/de/9", "http://x.com/de/9"]
     spark.createDataFrame([(n, u, None) for n, u in enumerate(urls)], "page_id bigint, url string, html string").write.parquet(f"{at}/pages.parquet")
+    spark.createDataFrame([(0, [1.0, 0.5], 1), (1, [0.5, 2.0], 0)], "vec_id bigint, embedding array<float>, label int").write.parquet(f"{at}/embeddings.parquet")
     return str(at)
 
 
 @pytest.fixture(scope="module")
 def empty(spark, folder, tmp_path_factory):
     at = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "labels", "pages"):
+    for name in ("documents", "labels", "pages", "embeddings"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{at}/{name}.parquet")
     return str(at)
 
