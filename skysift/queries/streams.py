@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from skysift import trials
 from skysift.queries import searching  # noqa: F401  (its SQL is used below)
-from skysift.queries.registry import HOURS, SQL, cube, micros, query, r6, table
+from skysift.queries.registry import CUBE, HOURS, SQL, cube, micros, query, r6, table
+from skysift.sources import pages
 from skysift.stored import materialize
 from skysift.streaming import carry, runs
 
@@ -134,3 +135,22 @@ def stream_dedisperse(spark, sf_dir):
     with carry.keyed_state(spark):
         out = runs.feed(samples, landings, lambda s: carry.dedisperse(s, delays, "pix", 5, 24, 86400.0, "0 seconds"))
     return out.select("pix", "dm_idx", F.col("t").cast("int").alias("t"), r6("value").alias("value"))
+
+
+@query(f"WITH {CUBE} SELECT CAST(t // 24 AS BIGINT) AS page, pix, chan, t, round(value, 6) + 0 AS value FROM cube")
+def stream_page_buffer(spark, sf_dir):
+    """A day's samples as one image message: written page by page to a buffer by one stream, and read from it by another."""
+    shape = (24, 8, 5)
+    place = F.col("t") * 40 + F.col("pix") * 5 + F.col("chan")
+    every = spark.range(HOURS * 40).join(cube(spark, sf_dir).select(place.cast("bigint").alias("id"), "value"), "id", "left")
+    days = every.groupBy(F.floor(F.col("id") / 960).cast("int").alias("day")).agg(F.array_sort(F.collect_list(F.struct("id", "value"))).alias("v"))  # 960 values, whatever the table
+    rows = days.select(
+        "day", F.lit(1).alias("node"), (F.lit(60310.0) + F.col("day")).alias("mjd"), F.lit(1.0).alias("uv_diag"), F.lit(0.5).alias("dec"), F.lit(8080).alias("port"),
+        F.array(*[F.lit(n) for n in shape]).alias("shape"), F.col("v.value").alias("values"), (F.col("day") == HOURS // 24 - 1).alias("last"),
+    )
+    buffered = runs.through_pages(materialize(rows, "days"), [F.floor(F.col("day") / 10) == k for k in range(3)], "day", 8 * (pages.MESSAGE + 24 * 40))
+    place = pages.images(buffered).where("status = 0").select("mjd", F.posexplode("values").alias("at", "value")).where("value is not null")
+    day = (F.col("mjd") - 60310.0).cast("int")
+    return place.select(
+        day.cast("bigint").alias("page"), (F.floor(F.col("at") / 5) % 8).cast("int").alias("pix"), (F.col("at") % 5).alias("chan"), (day * 24 + F.floor(F.col("at") / 40)).cast("int").alias("t"), r6("value").alias("value")
+    )

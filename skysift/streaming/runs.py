@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from skysift.operators import noise
+from skysift.sources import pages
 from skysift.stored import materialize, shared_dir
 
 _EPOCH = 1704067200000000
@@ -62,6 +63,22 @@ def feed(rows: DataFrame, slices: list[Column], build: Callable[[DataFrame], Dat
     return _result(spark, stream.schema, base, written)
 
 
+def through_pages(rows: DataFrame, slices: list[Column], order: str, page_bytes: int) -> DataFrame:
+    """Pages (pages.SCHEMA) of image messages that land slice by slice: one stream appends them to a buffer, in the order of a column
+    within a micro-batch, and another reads the buffer after each landing. Both go on from their checkpoints."""
+    spark = rows.sparkSession
+    spark.dataSource.register(pages.PageSource)
+    base, written = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}", False
+    for landed in slices:
+        rows.where(landed).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        sink = pages.image_pages(stream.repartition(4, order)).writeStream.format("pages").option("path", f"{base}/buffer").option("page_bytes", page_bytes)
+        sink.option("checkpointLocation", f"{base}/sink").trigger(availableNow=True).start().awaitTermination()
+        source = spark.readStream.format("pages").option("path", f"{base}/buffer").load()
+        written = _run(source, "append", base) or written
+    return _result(spark, source.schema, base, written)
+
+
 def tumbling(stream: DataFrame, size: str, late: str, keys: list[str], slide: str | None = None) -> DataFrame:
     """Counts and sums of windows of a size; with a slide the windows overlap. Rows later than `late` are left out."""
     window = F.window("at", size, slide) if slide else F.window("at", size)
