@@ -9,7 +9,7 @@ from skysift.queries import searching  # noqa: F401  (its SQL is used below)
 from skysift.queries.registry import CUBE, HOURS, SQL, cube, micros, query, r6, table
 from skysift.sources import pages
 from skysift.stored import materialize
-from skysift.streaming import carry, runs
+from skysift.streaming import carry, runs, windows
 
 
 @query("SELECT CAST(floor(epoch_us(ts) / CAST(21600000000 AS DOUBLE)) * 21600000000 AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 6) + 0 AS total FROM events GROUP BY 1, 2")
@@ -154,3 +154,22 @@ def stream_page_buffer(spark, sf_dir):
     return place.select(
         day.cast("bigint").alias("page"), (F.floor(F.col("at") / 5) % 8).cast("int").alias("pix"), (F.col("at") % 5).alias("chan"), (day * 24 + F.floor(F.col("at") / 40)).cast("int").alias("t"), r6("value").alias("value")
     )
+
+
+_GULPS = """g AS (SELECT event_type || '/' || (user_id % 8) AS kind, CAST(floor(epoch_us(ts) / CAST(3600000000 AS DOUBLE)) AS BIGINT) AS id, min(epoch_us(ts)) AS us, avg(value) AS value FROM events GROUP BY ALL)"""
+
+
+@query(f"""WITH RECURSIVE {_GULPS}, o AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY us, id) AS k FROM g),
+r AS (SELECT kind, k, us AS anchor, true AS fresh FROM o WHERE k = 1
+UNION ALL SELECT o.kind, o.k, CASE WHEN o.us - r.anchor >= 5400000000 THEN o.us ELSE r.anchor END, o.us - r.anchor >= 5400000000 FROM r JOIN o ON o.kind = r.kind AND o.k = r.k + 1),
+m AS (SELECT a.kind, a.anchor, (o.us - a.anchor + 1800000000) // 3600000000 AS place, arg_min(o.value, o.k) AS value, min(o.us) AS us FROM r a JOIN o ON o.kind = a.kind AND o.k >= a.k AND o.us < a.anchor + 16200000000 WHERE a.fresh GROUP BY ALL),
+w AS (SELECT kind, anchor AS start, CAST(31 - sum(1 << CAST(place AS INTEGER)) AS INTEGER) AS missing, avg(value) AS mean FROM m GROUP BY ALL)
+SELECT kind, start, missing, round(mean, 6) + 0 AS mean FROM w WHERE missing = 0 OR (start + 16200000000 + 999) // 1000 <= (SELECT max(us) // 1000 FROM g)""")
+def stream_nearest_windows(spark, sf_dir):
+    """Five gulps each, a new window every two; a gulp is an hour of a kind and place, at the time of its first event."""
+    us = micros("ts") + 1_704_067_200_000_000
+    kind = F.concat_ws("/", "event_type", (F.col("user_id") % 8).cast("string"))
+    gulps = table(spark, sf_dir, "events").groupBy(kind.alias("kind"), F.floor(us / _HOUR).cast("bigint").alias("id")).agg(F.timestamp_micros(F.min(us)).alias("at"), F.avg("value").alias("value"))
+    with carry.keyed_state(spark):
+        out = runs.feed(materialize(gulps, "gulps"), _in_time(), lambda s: windows.nearest_windows(s, "kind", 3600.0, 5, 2, "0 seconds"))
+    return out.select("kind", "start", "missing", r6("mean").alias("mean"))

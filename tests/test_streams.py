@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skysift import trials
 from skysift.operators import search
-from skysift.streaming import carry, runs
+from skysift.streaming import carry, runs, windows
 
 SAMPLES = "pix int, chan int, t int, value double"
 
@@ -56,3 +56,56 @@ def test_trials_of_later_samples_are_refused():
     value, count = sums.series(history, np.array([[1.0, 2, 3, 4], [10, 20, np.nan, 40]]))
     assert value.tolist() == [[1, 2, 3, 14]] and count.tolist() == [[1, 1, 1, 2]]
     assert sums.carried(history, np.arange(8.0).reshape(2, 4)).tolist() == [[1, 2, 3], [5, 6, 7]]
+
+
+# windows by nearest time
+
+
+def plain_windows(rows, gulp, gulps, stride, end):
+    """Gulps of one key in the order of time: (anchor, missing, mean) of windows that are full or end by `end`."""
+    anchors, out = [], []
+    for us, _, _ in sorted(rows):
+        if not anchors or us >= anchors[-1] + (stride - 0.5) * gulp:
+            anchors.append(us)
+    for a in anchors:
+        places = {}
+        for us, _, value in sorted(rows):
+            if a <= us < a + (gulps - 0.5) * gulp:
+                places.setdefault(int((us - a + gulp / 2) // gulp), value)
+        missing = sum(1 << n for n in range(gulps) if n not in places)
+        if not missing or a + (gulps - 0.5) * gulp <= end:
+            out.append((a, missing, pytest.approx(sum(places.values()) / len(places))))
+    return out
+
+
+@pytest.mark.parametrize("stride", [1, 2, 5])
+def test_window_rules(stride):
+    r = random.Random(stride)
+    for _ in range(60):
+        rows = [(1_000_000 * n + r.randrange(-300_000, 300_000), n, r.random()) for n in range(60) if r.random() < 0.8]
+        rows += [(us + r.randrange(2000), 100 + n, 9.0) for us, n, _ in r.sample(rows, 5)]
+        w, got = windows.Windows(1_000_000, 5, stride), []
+        for us, _, value in sorted(rows):
+            got += w.take(us, value)
+            assert len(w.open) <= 5 // stride + 2
+        last = max(rows)[0]
+        got = [(a, sum(1 << n for n, v in enumerate(p) if v is None), np.mean([v for v in p if v is not None])) for a, p in [*got, *w.close(last)]]
+        assert sorted(got) == plain_windows(rows, 1_000_000, 5, stride, last)
+
+
+def test_nearest_windows_in_a_stream(spark):
+    """Gulps out of order within the wait, doubles, gaps, late ones, and restarts: as the plain replay of what came in time."""
+    r = random.Random(4)
+    base, hour = 1_704_067_200_000_000, 3_600_000_000
+    rows = [(k, base + n * hour + r.randrange(-10**9, 10**9), n, r.random()) for k in ("a", "b") for n in range(1, 60) if r.random() < 0.85 and not 30 < n < 38]
+    rows += [(k, us + 5, 900 + n, 7.0) for k, us, n, _ in rows[::9]]
+    landed = [(*x, min(max(0, (x[1] - base + r.choice([0, 0, 2]) * hour) // (20 * hour)), 2)) for x in rows]
+    late = ("a", base + 3 * hour, 999, 50.0, 3)
+    df = spark.createDataFrame([*landed, late], "k string, us bigint, id bigint, value double, batch bigint").withColumn("at", F.timestamp_micros("us"))
+    with carry.keyed_state(spark):
+        out = runs.feed(df, [F.col("batch") == n for n in range(4)], lambda s: windows.nearest_windows(s, "k", 3600.0, 5, 2, "3 hours"))
+        got = out.collect()
+    clock = max(x[1] for x in rows) - 3 * hour
+    for k in ("a", "b"):
+        passed = [x[1:] for x in rows if x[0] == k and x[1] // 1000 <= clock // 1000]
+        assert sorted((x.start, x.missing, x.mean) for x in got if x.k == k) == plain_windows(passed, hour, 5, 2, clock)
