@@ -1,5 +1,6 @@
 """Sources, sinks, imaging and record operators."""
 
+import struct
 import json
 
 import numpy as np
@@ -10,7 +11,7 @@ from skysift import sinks
 from skysift.operators import candidates, gridding, imaging, joins, learned
 from skysift.plans import search as plans
 from skysift.plans import simulate
-from skysift.sources import packets, tables, visibility
+from skysift.sources import fits, packets, tables, visibility
 
 
 def test_visibility_source(spark, tmp_path):
@@ -132,3 +133,84 @@ def test_joins_at_the_edges(spark):
     c = spark.createDataFrame([(1, 5.0, 3, 4), (1, 7.0, 5, 4)], "g int, snr double, ra_idx int, dec_idx int")
     m = candidates.centroids(c, ["g"], ["ra_idx", "dec_idx"]).first()
     assert m.ra_idx_mean == pytest.approx(50 / 12) and m.ra_idx_peak == 5
+
+
+# predicates pushed into the visibility source, and raw files written by tasks
+
+
+def test_scan_leaves_out_what_headers_rule_out(spark, tmp_path):
+    x = (np.arange(48) + 1j).astype("<c8").reshape(12, 2, 2, 1)
+    for day in range(3):
+        for sb in range(4):
+            (tmp_path / f"{day}_{sb}.vis").write_bytes(visibility.encode(60000.5 + day, sb, 16.25, x))
+    rows = visibility.scan(spark, f"{tmp_path}/*.vis", 3, 2, 2, 1)
+    assert rows.rdd.getNumPartitions() == 48
+    cases = {
+        "mjd >= 60001.5": 32, "sb in (1, 2)": 24, "gulp = 2": 12, "gulp > 1 and sb = 3 and mjd < 60002": 4, "t between 4 and 5": 12, "t < 3 and dec = 16.25": 12,
+        "t = 7 and mjd = 60000.5": 4, "dec > 20": 1, "sb + 1 = 2": 48, "sb = 1 or t = 2": 48, "re > 5": 48, "sb is not null": 48, "mjd <= 60000.5 and re > 5": 16,
+    }
+    every = spark.createDataFrame(rows.collect(), rows.schema)
+    for where, partitions in cases.items():
+        found = rows.where(where)
+        assert found.rdd.getNumPartitions() == partitions, where
+        assert sorted(found.collect()) == sorted(every.where(where).collect()), where
+    heads = visibility.scan(spark, f"{tmp_path}/*.vis", 3, 2, 2, 1, header=True).where("sb = 1 and mjd > 60001")
+    assert heads.rdd.getNumPartitions() == 2 and [r.gulps for r in heads.collect()] == [4, 4]
+    assert visibility.scan(spark, f"{tmp_path}/none*.vis", 3, 2, 2, 1).count() == 0
+
+
+def test_raw_files_written_by_tasks(spark, tmp_path):
+    """Missing samples and a missing gulp are NaN in the file and null when read; a file written twice is there once."""
+    rows = [(60000.0 + m, s, 1.5, t, b, 0, 0, float(t), float(b)) for m in range(2) for s in range(2) for t in (0, 1, 3, 9, 10) for b in range(2) if (t, b) != (3, 1)]
+    df = spark.createDataFrame(rows, "mjd double, sb int, dec double, t int, bl int, chan int, pol int, re double, im double").repartition(5)
+    for _ in range(2):
+        files = visibility.write(df, str(tmp_path), 4, 2, 1, 1).collect()
+    assert len(files) == 4 and {r.gulps for r in files} == {3} and len(list(tmp_path.iterdir())) == 4
+    back = visibility.scan(spark, f"{tmp_path}/*.vis", 4, 2, 1, 1)
+    assert back.count() == 4 * 24
+    assert sorted(tuple(r) for r in back.where("re is not null").select("mjd", "sb", "dec", "t", "bl", "chan", "pol", "re", "im").collect()) == sorted(rows)
+
+
+# FITS tables
+
+
+def fits_file(path, columns, rows, extra=b""):
+    """A file with an image of one block, and a table whose rows are given as bytes."""
+    image = fits.header([("SIMPLE", True), ("BITPIX", -32), ("NAXIS", 2), ("NAXIS1", 3), ("NAXIS2", 2)]) + struct.pack(">6f", *range(6)).ljust(2880, b"\0")
+    cards = [("XTENSION", "BINTABLE"), ("BITPIX", 8), ("NAXIS", 2), ("NAXIS1", len(rows[0])), ("NAXIS2", len(rows)), ("PCOUNT", 0), ("GCOUNT", 1), ("TFIELDS", len(columns))]
+    for n, c in enumerate(columns, 1):
+        cards += [(f"{k}{n}", v) for k, v in c.items()]
+    data = b"".join(rows)
+    path.write_bytes(image + fits.header(cards) + data.ljust(fits._padded(len(data)), b"\0") + extra)
+
+
+def test_fits_columns(spark, tmp_path):
+    columns = [
+        {"TTYPE": "name", "TFORM": "6A"}, {"TTYPE": "skip", "TFORM": "0J"}, {"TTYPE": "flux", "TFORM": "E"}, {"TTYPE": "n", "TFORM": "1I", "TNULL": -9}, {"TTYPE": "pos", "TFORM": "2D"},
+        {"TTYPE": "scaled", "TFORM": "J", "TSCAL": 0.5, "TZERO": 10}, {"TTYPE": "ok", "TFORM": "L"}, {"TTYPE": "b", "TFORM": "B"}, {"TTYPE": "SCode", "TFORM": "A"}, {"TTYPE": "big", "TFORM": "K"},
+    ]
+    rows = [struct.pack(">6sfh2di1sB1sq", f"s{k}".encode() + b" \0x", k / 4 if k % 3 else float("nan"), -9 if k == 5 else k, k, -k, k, b"TF\0"[k % 3 : k % 3 + 1], k % 200, b"SM"[k % 2 : k % 2 + 1], k << 40) for k in range(25_000)]
+    for n in range(2):
+        fits_file(tmp_path / f"{n}.fits", columns, rows)
+    df = fits.scan(spark, f"{tmp_path}/*.fits", rows_per_task=10_000)
+    assert df.rdd.getNumPartitions() == 6 and df.count() == 50_000
+    assert df.dtypes == [("name", "string"), ("flux", "float"), ("n", "smallint"), ("pos", "array<double>"), ("scaled", "double"), ("ok", "boolean"), ("b", "smallint"), ("SCode", "string"), ("big", "bigint")]
+    got = {r.big >> 40: r for r in df.collect()}
+    assert tuple(got[4]) == ("s4", 1.0, 4, [4.0, -4.0], 12.0, False, 4, "S", 4 << 40) and got[3].flux is None and got[5].n is None and got[2].ok is None and got[24_999].SCode == "M"
+    few = fits.scan(spark, f"{tmp_path}/*.fits", ["SCode", "flux"])
+    assert few.columns == ["SCode", "flux"] and few.where("SCode = 'S'").count() == 25_000
+
+
+def test_fits_written_and_read(spark, tmp_path):
+    rows = [(n, None if n % 5 == 0 else n / 3, "it's é" if n % 2 else None, n % 2 == 0 if n % 3 else None, None if n % 7 == 0 else n) for n in range(1000)]
+    df = spark.createDataFrame(rows, "id bigint, x double, name string, flag boolean, k int").repartition(3)
+    assert sum(r.rows for r in fits.write(df, str(tmp_path), {"name": 8}).collect()) == 1000
+    back = fits.scan(spark, f"{tmp_path}/*.fits", rows_per_task=100)
+    assert back.schema == df.schema and sorted(map(tuple, back.collect()), key=lambda r: r[0]) == [(a, b, c or "", d, e) for a, b, c, d, e in rows]
+    with pytest.raises(Exception, match="longer than"):
+        fits.write(df, str(tmp_path / "other"), {"name": 3}).collect()
+
+
+def test_fits_headers():
+    assert fits.parse_cards(fits.header([("A", 1), ("B", "it's"), ("C", True), ("D", -1.5), ("A", 2)])) == {"A": 1, "B": "it's", "C": True, "D": -1.5}
+    assert fits.parse_cards(b"X       = 1.5D3 / comment".ljust(80) + b"COMMENT x".ljust(80) + b"Y       = 'a / b'  / text".ljust(80) + b"END".ljust(80)) == {"X": 1500.0, "Y": "a / b"}
