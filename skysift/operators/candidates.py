@@ -6,24 +6,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def neighbours(cands: DataFrame, psf: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of candidates of one gulp (keys) whose offset (d_dec, d_ra) lies in the point-spread mask, with its value.
+def around(cands: DataFrame, psf: DataFrame, keys: list[str], group: list[str]) -> DataFrame:
+    """For each place (keys, c_dec, c_ra) and group the candidates whose offset from it (d_dec, d_ra) lies in the point-spread mask:
+    members, and the sums snr, psf and weighted (psf * snr).
 
-    The mask is small and fixed; each candidate is dealt to the cells it may be seen from, so the pairs
-    meet by equality of cells and none are made only to be thrown away.
+    Candidates of a cell are summed first; then a cell's sums, not its candidates, are dealt to the places that see it, as many as
+    the mask has. So work grows with the cells and their mask, whatever a cell holds.
     """
-    centre = cands.select(*keys, F.col("cand").alias("centre"), F.col("dec_idx").alias("c_dec"), F.col("ra_idx").alias("c_ra"))
-    dealt = cands.join(F.broadcast(psf)).withColumns({"c_dec": F.col("dec_idx") - F.col("d_dec"), "c_ra": F.col("ra_idx") - F.col("d_ra")})
-    return dealt.join(centre, [*keys, "c_dec", "c_ra"])
+    cells = cands.groupBy(*keys, *group, "dec_idx", "ra_idx").agg(F.sum("snr").alias("snr"), F.count("*").alias("n"))
+    dealt = cells.join(F.broadcast(psf)).withColumns({"c_dec": F.col("dec_idx") - F.col("d_dec"), "c_ra": F.col("ra_idx") - F.col("d_ra")})
+    weighted = F.sum(F.col("psf") * F.col("snr")).alias("weighted")
+    return dealt.groupBy(*keys, "c_dec", "c_ra", *group).agg(F.sum("n").alias("members"), F.sum("snr").alias("snr"), F.sum(F.col("psf") * F.col("n")).alias("psf"), weighted)
 
 
-def reduce_by_psf(pairs: DataFrame, group: list[str]) -> DataFrame:
-    """Weighted S/N around each centre for each trial: sum(psf * snr) / sum(psf)."""
-    return pairs.groupBy("centre", *group).agg((F.sum(F.col("psf") * F.col("snr")) / F.sum("psf")).alias("score"), F.count("*").alias("members"))
+def centres(cands: DataFrame, sums: DataFrame, keys: list[str], group: list[str]) -> DataFrame:
+    """The sums of around() for each candidate as `centre` and each group; those of rows that repeat an id are added up."""
+    each = cands.select(*keys, F.col("cand").alias("centre"), F.col("dec_idx").alias("c_dec"), F.col("ra_idx").alias("c_ra")).join(sums, [*keys, "c_dec", "c_ra"])
+    return each.groupBy("centre", *group).agg(*[F.sum(c).alias(c) for c in ("members", "snr", "psf", "weighted")])
 
 
-def cluster_sums(pairs: DataFrame, group: list[str]) -> DataFrame:
-    return pairs.groupBy("centre", *group).agg(F.sum("snr").alias("snr"), F.count("*").alias("members"))
+def best_centres(cands: DataFrame, sums: DataFrame, keys: list[str], group: list[str], places: int = 9) -> DataFrame:
+    """The best centre of each group by sum(psf * snr) / sum(psf) (rounded to so many places), the least one at ties, and its score."""
+    scored = centres(cands, sums, keys, group).withColumn("score", F.round(F.col("weighted") / F.col("psf"), places))
+    return scored.groupBy(*group).agg(F.min(F.struct((-F.col("score")).alias("s"), "centre")).alias("b")).select(*group, F.col("b.centre").alias("centre"), (-F.col("b.s")).alias("score"))
 
 
 def centroids(df: DataFrame, cluster: list[str], axes: list[str], weight: str = "snr") -> DataFrame:

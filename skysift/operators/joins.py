@@ -24,39 +24,82 @@ def within(left: DataFrame, right: DataFrame, x: str, y: str, before: float, aft
     return out.drop("__a", "__b")
 
 
-def nearest(left: DataFrame, right: DataFrame, x: str, y: str, tolerance: float, id_col: str, ties: list[str], how: str = "inner") -> DataFrame:
-    """Of right, the row nearest in y within the tolerance for each left row; ties by the columns named."""
-    both = within(left, right, x, y, tolerance, tolerance)
-    order = Window.partitionBy(id_col).orderBy(F.abs(F.col(x) - F.col(y)), *ties)
-    best = both.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
-    if how == "inner":
-        return best
-    return left.join(best.select(id_col, *[c for c in best.columns if c not in left.columns]), id_col, "left")
+def _merged(left: DataFrame, right: DataFrame, x: str, y: str, carry: list[str], after: bool) -> DataFrame:
+    """Both sides in one order of time, stored: (__t, __o, __r, __l, __p), of each row one side is null and __p is its partition.
+
+    At one time right rows come before left ones, or after them. The order is range-partitioned and stored with the
+    partitions' numbers: each plan that read it anew would number them in its own way.
+    """
+    tag = F.struct(F.col(y).alias("at"), *[F.col(c) for c in carry])
+    a = left.select(F.col(x).cast("double").alias("__t"), F.lit(0 if after else 1).alias("__o"), F.lit(None).cast(right.select(tag.alias("s")).schema["s"].dataType).alias("__r"), F.struct(*left.columns).alias("__l"))
+    b = right.select(F.col(y).cast("double").alias("__t"), F.lit(1 if after else 0).alias("__o"), tag.alias("__r"), F.lit(None).cast(a.schema["__l"].dataType).alias("__l"))
+    return materialize(a.unionByName(b).repartitionByRange("__t", "__o").withColumn("__p", F.spark_partition_id()), "merged")
+
+
+def _carried(merged: DataFrame, forward: bool) -> tuple[Column, DataFrame]:
+    """The last right row up to each row (forward: the first from it on): a column within the partition, and a table (__p, __beyond)
+    of what comes from the partitions before (behind), one row a partition."""
+    # a frame to the end is made anew for each row; the same rows in falling order are a running one
+    turn = F.desc if forward else F.asc
+    here = F.last("__r", ignorenulls=True).over(Window.partitionBy("__p").orderBy(turn("__t"), turn("__o")).rowsBetween(Window.unboundedPreceding, 0))
+    edge = (F.min if forward else F.max)(F.struct("__t", "__o", "__r"))
+    ends = merged.where("__r is not null").groupBy("__p").agg(edge.alias("e")).select(F.col("__p").alias("__q"), F.col("e.__r").alias("__end"))
+    # one row a partition, in one window: their number is set by the session, not by the data
+    beyond = F.last("__end", ignorenulls=True).over(Window.orderBy(turn("__p")).rowsBetween(Window.unboundedPreceding, -1))
+    return here, merged.select("__p").distinct().join(ends, F.col("__q") == F.col("__p"), "left").select("__p", beyond.alias("__beyond"))
 
 
 def backward(left: DataFrame, right: DataFrame, x: str, y: str, carry: list[str], strict: bool = True) -> DataFrame:
     """The latest right row before each left row (strictly, or at the same time too).
 
-    Both sides are merged by time in one range-partitioned order, stored with the partitions' numbers: each plan
-    that read it anew would number them in its own way. Within a partition the last right row carries forward;
-    the last one of each partition before carries across, from a table with one row a partition.
+    Within a partition of the common order the last right row carries forward; the last one of each partition before
+    carries across, from a table with one row a partition.
     """
-    tag = F.struct(F.col(y).alias("at"), *[F.col(c) for c in carry])
-    late = 1 if strict else 0
-    a = left.select(F.col(x).cast("double").alias("__t"), F.lit(1 - late).alias("__o"), F.lit(None).cast(right.select(tag.alias("s")).schema["s"].dataType).alias("__r"), F.struct(*left.columns).alias("__l"))
-    b = right.select(F.col(y).cast("double").alias("__t"), F.lit(late if strict else 0).alias("__o"), tag.alias("__r"), F.lit(None).cast(a.schema["__l"].dataType).alias("__l"))
-    if not strict:
-        a = a.withColumn("__o", F.lit(1))
-    merged = materialize(a.unionByName(b).repartitionByRange("__t", "__o").withColumn("__p", F.spark_partition_id()), "merged")
-    inside = Window.partitionBy("__p").orderBy("__t", "__o").rowsBetween(Window.unboundedPreceding, 0)
-    filled = merged.withColumn("__here", F.last("__r", ignorenulls=True).over(inside))
-    ends = merged.where("__r is not null").groupBy("__p").agg(F.max(F.struct("__t", "__o", "__r")).alias("e"))
-    ends = ends.select(F.col("__p").alias("__q"), F.col("e.__r").alias("__end"))
-    # one row a partition, in one window: their number is set by the session, not by the data
-    before = F.last("__end", ignorenulls=True).over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
-    last = merged.select("__p").distinct().join(ends, F.col("__q") == F.col("__p"), "left").select("__p", before.alias("__before"))
-    out = filled.where("__l is not null").join(F.broadcast(last), "__p", "left")
-    return out.select("__l.*", F.coalesce("__here", "__before").alias("found")).select(*left.columns, F.col("found.at").alias(y), *[F.col(f"found.{c}").alias(c) for c in carry])
+    merged = _merged(left, right, x, y, carry, strict)
+    here, last = _carried(merged, False)
+    out = merged.withColumn("__here", here).where("__l is not null").join(F.broadcast(last), "__p", "left")
+    return out.select("__l.*", F.coalesce("__here", "__beyond").alias("found")).select(*left.columns, F.col("found.at").alias(y), *[F.col(f"found.{c}").alias(c) for c in carry])
+
+
+def nearest(left: DataFrame, right: DataFrame, x: str, y: str, tolerance: float, id_col: str, ties: list[str], how: str = "inner") -> DataFrame:
+    """Of right, the row nearest in y within the tolerance for each left row; ties by the columns named.
+
+    The last right row up to each left row and the first one behind it are carried to it, and the nearer counts, so no
+    row meets more than two. Of right rows at one time the first by `ties` stands for all. Column names of the sides differ.
+    """
+    rest = [c for c in right.columns if c != y and c not in ties]
+    best = right.where(F.col(y).isNotNull() & ~F.isnan(F.col(y).cast("double"))).groupBy(y).agg(F.min(F.struct(*ties, F.struct(*rest) if rest else F.lit(0).alias("none"))).alias("b"))
+    fields = best.schema["b"].dataType.names
+    one = best.select(y, *[F.col(f"b.{t}").alias(t) for t in ties], *([F.col(f"b.{fields[-1]}.{c}").alias(c) for c in rest] if rest else []))
+    carry = [*ties, *rest]
+    merged = _merged(left.where(F.col(x).isNotNull()), one, x, y, carry, False)
+    (up, before), (down, behind) = _carried(merged, False), _carried(merged, True)
+    both = merged.withColumn("__up", up).withColumn("__down", down).where("__l is not null")
+    both = both.join(F.broadcast(before.withColumnRenamed("__beyond", "__far")), "__p", "left").join(F.broadcast(behind), "__p", "left")
+    each = [F.coalesce("__up", "__far"), F.coalesce("__down", "__beyond")]
+    away = [F.abs(F.col("__t") - r["at"].cast("double")) for r in each]
+    found = F.array_min(F.filter(F.array(*[F.struct(d.alias("d"), F.struct(*[r[t].alias(t) for t in ties]).alias("ties"), r.alias("r")) for d, r in zip(away, each, strict=True)]), lambda s: s["d"] <= tolerance))
+    out = both.select("__l.*", found.alias("__f")).where("__f is not null")
+    out = out.select(*left.columns, *[F.col(f"__f.r.{'at' if c == y else c}").alias(c) for c in right.columns])
+    if how == "inner":
+        return out
+    return left.join(out.select(id_col, *[c for c in out.columns if c not in left.columns]), id_col, "left")
+
+
+def least_within(left: DataFrame, right: DataFrame, x: str, y: str, before: float, id_col: str, value: Column) -> DataFrame:
+    """id_col and `least`, the least value of right rows with 0 <= x - y <= before, where there are any; ids are unique.
+
+    In buckets as long as the range, a range is the end of one bucket and the start of the next: a running minimum from
+    either side answers both, so the work is linear in the rows however many meet a range.
+    """
+    bucket = lambda t: F.floor(t / before).cast("bigint")
+    kind = right.select(value.alias("v")).schema["v"].dataType
+    there = lambda o: right.where(F.col(y).isNotNull()).select(bucket(F.col(y)).alias("b"), F.col(y).cast("double").alias("t"), F.lit(o).alias("o"), F.lit(None).cast(left.schema[id_col].dataType).alias("id"), value.alias("v"))
+    asked = lambda t, b, o: left.where(F.col(x).isNotNull()).select(b.alias("b"), t.cast("double").alias("t"), F.lit(o).alias("o"), F.col(id_col).alias("id"), F.lit(None).cast(kind).alias("v"))
+    so_far = lambda *order: F.min("v").over(Window.partitionBy("b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    start = there(0).unionByName(asked(F.col(x), bucket(F.col(x)), 1)).withColumn("m", so_far("t", "o"))
+    end = there(1).unionByName(asked(F.col(x) - before, bucket(F.col(x)) - 1, 0)).withColumn("m", so_far(F.desc("t"), F.desc("o")))
+    return start.unionByName(end).where("id is not null and m is not null").groupBy(F.col("id").alias(id_col)).agg(F.min("m").alias("least"))
 
 
 def separation(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:

@@ -2,23 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def reject_and_fold(df: DataFrame, keys: list[str], order: str, value: str, limit: float | None = 3.0) -> DataFrame:
     """(count, mean) after folding each key's values in order; one over limit times a mean that isn't 0 is left out.
 
-    Each mean depends on the one before, so a key's values (one a gulp) are folded in one array.
+    Each mean depends on the one before, so a key's values pass one task; it sees them in order, batch by batch, and holds the
+    last mean, however many there are. Equal orders fold by value.
     """
-    listed = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("x")))).alias("xs"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("noise"))
-
-    def step(s, e):
-        out = F.lit(False) if limit is None else (s["n"] > 0) & (s["noise"] != 0) & (e["x"] > limit * s["noise"])
-        return F.struct(F.when(out, s["n"]).otherwise(s["n"] + 1).alias("n"), F.when(out, s["noise"]).otherwise((s["noise"] * s["n"] + e["x"]) / (s["n"] + 1)).alias("noise"))
-
-    return listed.select(*keys, F.aggregate("xs", zero, step).alias("s")).select(*keys, "s.n", "s.noise")
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(order).alias("__o"), F.col(value).cast("double").alias("__x"))
+    schema = T.StructType([*rows.select(*keys).schema.fields, T.StructField("n", T.LongType()), T.StructField("noise", T.DoubleType())])
+
+    out = to_arrow_schema(schema)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: tuple | None = None
+        n, noise = 0, 0.0
+        done: list[tuple] = []
+        for batch in batches:
+            for *key, x in zip(*(batch.column(c).to_pylist() for c in (*keys, "__x")), strict=True):
+                if known != tuple(key):
+                    if known is not None:
+                        done.append((*known, n, noise))
+                    known, n, noise = tuple(key), 0, 0.0
+                if limit is None or not (n and noise and x > limit * noise):
+                    noise, n = (noise * n + x) / (n + 1), n + 1
+            if done:
+                yield _batch(done)
+                done = []
+        if known is not None:
+            yield _batch([(*known, n, noise)])
+
+    def _batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(out)], schema=out)
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "__o", "__x").mapInArrow(fold, schema)
 
 
 def merge(state: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

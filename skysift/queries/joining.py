@@ -41,9 +41,9 @@ def interval_exists(spark, sf_dir):
 @query(f"WITH {_T}, {_O} SELECT event_id, min(file) AS file, CAST(floor((any_value(x) - arg_min(y, file)) / CAST(25 AS DOUBLE)) AS INTEGER) AS sample FROM t JOIN o ON x - y >= 0 AND x - y <= 302 GROUP BY event_id")
 def file_range_offset(spark, sf_dir):
     """The first file that covers each event, and the sample in it."""
-    hit = joins.within(_times(spark, sf_dir), _files(spark, sf_dir), "x", "y", 0.0, 302.0)
-    first = hit.groupBy("event_id").agg(F.min(F.struct("file", "y", "x")).alias("m"))
-    return first.select("event_id", F.col("m.file").alias("file"), F.floor((F.col("m.x") - F.col("m.y")) / 25).cast("int").alias("sample"))
+    times = _times(spark, sf_dir)
+    first = joins.least_within(times, _files(spark, sf_dir), "x", "y", 302.0, "event_id", F.struct("file", "y"))
+    return first.join(times, "event_id").select("event_id", F.col("least.file").alias("file"), F.floor((F.col("x") - F.col("least.y")) / 25).cast("int").alias("sample"))
 
 
 @query(f"WITH {_T}, {_O}, a AS (SELECT event_id, CAST(floor(x / 60) AS BIGINT) AS k FROM t), b AS (SELECT DISTINCT CAST(floor(y / 60) AS BIGINT) AS k FROM o) SELECT event_id, bool_or(a.k - b.k = 1) AS postinjection FROM a JOIN b ON b.k = a.k OR b.k = a.k - 1 GROUP BY event_id")
@@ -146,26 +146,30 @@ def _cands(spark, sf_dir):
     )
 
 
-def _pairs(spark, sf_dir):
+def _around(spark, sf_dir, group):
+    """Candidates, and the sums over the point-spread mask around each place."""
     psf = spark.createDataFrame([(a, b, round(1 / (1 + a * a + b * b), 6)) for a in (-1, 0, 1) for b in (-1, 0, 1)], "d_dec int, d_ra int, psf double")
-    return candidates.neighbours(_cands(spark, sf_dir), psf, ["gulp"])
+    cands = _cands(spark, sf_dir)
+    return cands, candidates.around(cands, psf, ["gulp"], group)
 
 
 @query(f"WITH {_PAIRS} SELECT centre, count(*) AS members, round(sum(psf), 6) + 0 AS psf FROM pairs GROUP BY centre")
 def psf_neighbours(spark, sf_dir):
-    return _pairs(spark, sf_dir).groupBy("centre").agg(F.count("*").alias("members"), r6(F.sum("psf")).alias("psf"))
+    cands, sums = _around(spark, sf_dir, [])
+    return candidates.centres(cands, sums, ["gulp"], []).select("centre", "members", r6("psf").alias("psf"))
 
 
 @query(f"WITH {_PAIRS} SELECT centre, dm_idx, round(sum(snr), 6) + 0 AS snr, count(*) AS members FROM pairs GROUP BY ALL")
 def psf_cluster_sum(spark, sf_dir):
-    return candidates.cluster_sums(_pairs(spark, sf_dir), ["dm_idx"]).select("centre", "dm_idx", r6("snr").alias("snr"), "members")
+    cands, sums = _around(spark, sf_dir, ["dm_idx"])
+    return candidates.centres(cands, sums, ["gulp"], ["dm_idx"]).select("centre", "dm_idx", r6("snr").alias("snr"), "members")
 
 
 @query(f"WITH {_PAIRS}, s AS (SELECT centre, dm_idx, round(sum(psf * snr) / sum(psf), 9) AS score FROM pairs GROUP BY ALL) SELECT centre, dm_idx, round(score, 6) + 0 AS score FROM (SELECT *, row_number() OVER (PARTITION BY dm_idx ORDER BY score DESC, centre) AS n FROM s) WHERE n = 1")
 def psf_reduce(spark, sf_dir):
     """The best weighted centre of each trial."""
-    scored = candidates.reduce_by_psf(_pairs(spark, sf_dir), ["dm_idx"]).withColumn("score", F.round("score", 9))
-    return candidates.best_per(scored, ["dm_idx"], 1, [F.desc("score"), F.col("centre")]).select("centre", "dm_idx", r6("score").alias("score"))
+    cands, sums = _around(spark, sf_dir, ["dm_idx"])
+    return candidates.best_centres(cands, sums, ["gulp"], ["dm_idx"]).select("centre", "dm_idx", r6("score").alias("score"))
 
 
 @query(f"WITH {_C} SELECT gulp, count(*) AS members, round(sum(ra_idx * snr) / sum(snr), 6) + 0 AS ra_idx_mean, round(sum(dec_idx * snr) / sum(snr), 6) + 0 AS dec_idx_mean, max(snr) AS peak, arg_max(ra_idx, snr * 1000000 - ra_idx * 1000 - dec_idx) AS ra_idx_peak FROM c GROUP BY gulp")

@@ -14,19 +14,24 @@ from skysift.streaming import carry, runs, windows
 
 @query("SELECT CAST(floor(epoch_us(ts) / CAST(21600000000 AS DOUBLE)) * 21600000000 AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 6) + 0 AS total FROM events GROUP BY 1, 2")
 def stream_tumble(spark, sf_dir):
-    out = runs.replay(runs.tumbling(runs.event_stream(spark, sf_dir), "6 hours", "31 days", ["event_type"]), "complete")
+    """Windows of six hours in update mode: each landing hands on the windows it touched, and those that the watermark has passed leave the state."""
+    build = lambda s: runs.tumbling(s.withColumnRenamed("kind", "event_type"), "6 hours", "0 seconds", ["event_type"])
+    out = runs.feed(_moments(spark, sf_dir), _in_time(2), build, "update", ["start", "event_type"])
     return out.select("start", "event_type", "n", r6("total").alias("total"))
 
 
 @query("SELECT CAST((floor(epoch_us(ts) / CAST(3600000000 AS DOUBLE)) - k.k) * 3600000000 AS BIGINT) AS start, count(*) AS n FROM events, range(2) k(k) GROUP BY 1")
 def stream_slide(spark, sf_dir):
-    return runs.replay(runs.tumbling(runs.event_stream(spark, sf_dir), "2 hours", "31 days", [], "1 hour"), "complete").select("start", "n")
+    return runs.feed(_moments(spark, sf_dir), _in_time(2), lambda s: runs.tumbling(s, "2 hours", "0 seconds", [], "1 hour"), "update", ["start"]).select("start", "n")
 
 
 @query("""WITH g AS (SELECT user_id, epoch_us(ts) AS us, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < 14400000000 THEN 0 ELSE 1 END AS fresh FROM events),
-s AS (SELECT user_id, us, sum(fresh) OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT min(us) AS start, user_id, count(*) AS n FROM s GROUP BY user_id, k""")
+s AS (SELECT user_id, us, sum(fresh) OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT min(us) AS start, user_id, count(*) AS n FROM s GROUP BY user_id, k HAVING (max(us) + 14400000000) // 1000 <= (SELECT max(epoch_us(ts)) // 1000 FROM events)""")
 def stream_session(spark, sf_dir):
-    return runs.replay(runs.sessions(runs.event_stream(spark, sf_dir), "4 hours", "31 days", ["user_id"]), "complete")
+    """Sessions that have ended: one is given out, and leaves the state, when the watermark passes the gap behind its last row."""
+    rows = _moments(spark, sf_dir, "user_id")
+    return runs.feed(rows, _in_time(2), lambda s: runs.sessions(s, "4 hours", "0 seconds", ["user_id"]))
 
 
 @query("""WITH RECURSIVE t AS (SELECT event_type, event_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events WHERE value > 60),
@@ -77,9 +82,9 @@ def stream_late_rows(spark, sf_dir):
     return out.select("slot", "part", "id", "late_by")
 
 
-def _moments(spark, sf_dir):
+def _moments(spark, sf_dir, *more):
     us = micros("ts") + 1_704_067_200_000_000
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), "event_id", "value", F.floor(us / _HOUR).cast("bigint").alias("gulp"), F.timestamp_micros(us).alias("at"))
+    return table(spark, sf_dir, "events").select(*more, F.col("event_type").alias("kind"), "event_id", "value", F.floor(us / _HOUR).cast("bigint").alias("gulp"), F.timestamp_micros(us).alias("at"))
 
 
 def _in_time(count: int = 4):

@@ -27,8 +27,8 @@ def event_stream(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     return raw.withColumn("at", F.timestamp_micros(us))
 
 
-def _run(stream: DataFrame, mode: str, base: str) -> bool:
-    """Run the stream over what is there now, from its checkpoint on. Each micro-batch writes a folder of its own, named by
+def _run(stream: DataFrame, mode: str, base: str):
+    """Run the stream over what is there now, from its checkpoint on; its last progress, None without any. Each micro-batch writes a folder of its own, named by
     its number, so one that is run again replaces its output; in complete mode the last one is the result."""
 
     def put(batch: DataFrame, number: int) -> None:
@@ -36,12 +36,17 @@ def _run(stream: DataFrame, mode: str, base: str) -> bool:
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
     query.awaitTermination()
-    return query.lastProgress is not None
+    return query.lastProgress
 
 
-def _result(spark: SparkSession, schema: T.StructType, base: str, written: bool) -> DataFrame:
+def _result(spark: SparkSession, schema: T.StructType, base: str, written: bool, keys: list[str] | None = None) -> DataFrame:
+    """All rows given out; with keys (of a stream in update mode) the last one of each."""
     if not written:
         return spark.createDataFrame([], schema)
+    if keys:
+        rest = [n for n in schema.names if n not in keys]
+        rows = spark.read.option("basePath", f"{base}/out").schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{base}/out")
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(*keys, "last.*").select(*schema.names)
     return spark.read.option("basePath", f"{base}/out").schema(schema).parquet(f"{base}/out").select(*schema.names)
 
 
@@ -51,16 +56,17 @@ def replay(stream: DataFrame, mode: str) -> DataFrame:
     return _result(stream.sparkSession, stream.schema, base, _run(stream, mode, base))
 
 
-def feed(rows: DataFrame, slices: list[Column], build: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
+def feed(rows: DataFrame, slices: list[Column], build: Callable[[DataFrame], DataFrame], mode: str = "append", keys: list[str] | None = None) -> DataFrame:
     """The result table of build(stream) when the rows land slice by slice: after each landing the stream goes on from its
-    checkpoint, as a scheduled job would. slices: a few conditions that part the rows, in order of arrival."""
+    checkpoint, as a scheduled job would. slices: a few conditions that part the rows, in order of arrival. In update mode the
+    last row of each of the keys counts: an aggregate's state goes when the watermark passes it, its row stays."""
     spark = rows.sparkSession
     base, written = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}", False
     for landed in slices:
         rows.where(landed).write.mode("append").parquet(f"{base}/in")
         stream = build(spark.readStream.schema(rows.schema).parquet(f"{base}/in"))
         written = _run(stream, mode, base) or written
-    return _result(spark, stream.schema, base, written)
+    return _result(spark, stream.schema, base, written, keys)
 
 
 def through_pages(rows: DataFrame, slices: list[Column], order: str, page_bytes: int) -> DataFrame:
@@ -86,7 +92,7 @@ def tumbling(stream: DataFrame, size: str, late: str, keys: list[str], slide: st
 
 
 def sessions(stream: DataFrame, gap: str, late: str, keys: list[str]) -> DataFrame:
-    """Runs of rows of a key without a gap as long as that."""
+    """Runs of rows of a key without a gap as long as that; given out in append mode when the watermark passes the last row's gap."""
     windowed = stream.withWatermark("at", late).groupBy(F.session_window("at", gap), *keys).agg(F.count("*").alias("n"))
     return windowed.select(F.unix_micros("session_window.start").alias("start"), *keys, "n")
 
@@ -145,12 +151,15 @@ def assemble(stream: DataFrame, parts: int, width: int, wait: int, late: str = "
             state.remove()
             out = [(name[0], full - mask, total, closes)] if mask < full else []
         else:
-            rows = pd.concat(list(batches)).sort_values(["arrived", "id"])  # a slot has few rows a part
-            for part, value, at in zip(rows["part"].tolist(), rows["value"].tolist(), rows["us"].tolist(), strict=True):
-                if not mask >> part & 1:
-                    mask, total = mask | 1 << part, total + value
-                    if mask == full:
-                        out.append((name[0], 0, total, at))
+            first: dict[int, tuple] = {}  # of each part that is missing, the first arrival of this micro-batch
+            for rows in batches:
+                for key in zip(rows["us"].tolist(), rows["id"].tolist(), rows["part"].tolist(), rows["value"].tolist(), strict=True):
+                    if not mask >> key[2] & 1 and (key[2] not in first or key[:2] < first[key[2]][:2]):
+                        first[key[2]] = key
+            for at, _, part, value in sorted(first.values()):
+                mask, total = mask | 1 << part, total + value
+                if mask == full:
+                    out.append((name[0], 0, total, at))
             state.update((mask, total))
             state.setTimeoutTimestamp(closes // 1000)
         yield pd.DataFrame(out, columns=["slot", "missing", "total", "fired"])

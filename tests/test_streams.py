@@ -109,3 +109,40 @@ def test_nearest_windows_in_a_stream(spark):
     for k in ("a", "b"):
         passed = [x[1:] for x in rows if x[0] == k and x[1] // 1000 <= clock // 1000]
         assert sorted((x.start, x.missing, x.mean) for x in got if x.k == k) == plain_windows(passed, hour, 5, 2, clock)
+
+
+# bounded state of aggregates, and assembly
+
+
+@pytest.mark.parametrize("mode", ["update", "append"])
+def test_state_of_windows_stays_small_while_input_grows(spark, tmp_path, mode):
+    """Ten landings of a day: the rows in state are those of one day at most, and the results are whole."""
+    rows = spark.range(10 * 24 * 6).select(F.timestamp_seconds(1_704_067_200 + F.col("id") * 600).alias("at"), (F.col("id") % 3).cast("string").alias("kind"), F.lit(1.0).alias("value"))
+    held = []
+    for day in range(10):
+        rows.where(F.dayofmonth("at") == day + 1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+        build = runs.tumbling(stream, "6 hours", "0 seconds", ["kind"]) if mode == "update" else runs.sessions(stream, "2 hours", "0 seconds", ["kind"])
+        held.append(runs._run(build, mode, str(tmp_path / "q"))["stateOperators"][0]["numRowsTotal"])
+    assert max(held) <= 15 and held[-1] <= held[1]
+    out = runs._result(spark, build.schema, str(tmp_path / "q"), True, ["start", "kind"] if mode == "update" else None)
+    if mode == "update":
+        assert out.count() == 10 * 4 * 3 and {r.n for r in out.collect()} == {12} and out.agg(F.sum("total")).first()[0] == 1440.0
+
+
+def test_assembly_holds_one_arrival_a_part(spark):
+    """Many rows of each part, in several micro-batches: of each the first arrival of the first micro-batch that has it counts."""
+    r = random.Random(8)
+    base, hour = 1_704_067_200_000_000, 3_600_000_000
+    rows = [(n // 400, r.randrange(3), r.random(), n, base + (n // 400) * hour + r.randrange(hour)) for n in range(2000)]
+    rows = [x for x in rows if x[:2] != (2, 1)]
+    slot0 = base // hour
+    df = spark.createDataFrame([(s + slot0, p, v, n, us) for s, p, v, n, us in rows], "slot bigint, part int, value double, id bigint, us bigint").withColumn("arrived", F.timestamp_micros("us")).drop("us")
+    landings = [F.floor((F.col("slot") - slot0) / 2) == k for k in range(3)]
+    got = {x.slot - slot0: (x.missing, x.total) for x in runs.feed(df, landings, lambda s: runs.assemble(s, 3, hour, 0)).collect()}
+    for slot in range(5):
+        first = {}
+        for _, p, v, n, us in sorted((x for x in rows if x[0] == slot), key=lambda x: (x[4], x[3])):
+            first.setdefault(p, v)
+        missing = sum(1 << p for p in range(3) if p not in first)
+        assert got.get(slot) == (missing, pytest.approx(sum(first.values())))
