@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from skysift import trials
-from skysift.operators import candidates, density, folding, hierarchy, imaging, learned
+from skysift.operators import candidates, density, folding, hierarchy, imaging, learned, training
 from skysift.plans import offline
 from skysift.queries.registry import query, r6, r9, table
 from skysift.queries.streams import _arrivals, _by_week
@@ -206,3 +206,25 @@ def core_distances(spark, sf_dir):
     """The distance of each point to its second neighbour within the label."""
     axes, points = _axes(spark, sf_dir, 2)
     return hierarchy.core_of_points(points, "label", axes, "vec_id", 2).select("label", "vec_id", r9("core").alias("core"))
+
+
+def _learned(spark, sf_dir, network: training.Network, rounds: int):
+    """A network trained on whether the upper half of a cut-out is the brighter; rows with crc32(vec_id) mod 5 = 0 are held out."""
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v.cast("double"))
+    label = (total(F.slice("embedding", 1, 32)) > total(F.slice("embedding", 33, 32))).cast("int")
+    held = F.crc32(F.col("vec_id").cast("string")) % 5 == 0
+    cut = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("cand_id"), F.col("embedding").alias("pixels"), label.alias("label"), held.alias("held_out"))
+    weights, _ = training.train(cut.where(~F.col("held_out")), network, rounds)
+    return training.classify(cut, network, weights).join(cut.select("cand_id", "label", "held_out"), "cand_id").select("cand_id", "label", "held_out", "prob", "predict")
+
+
+@query()
+def cnn_learned(spark, sf_dir):
+    """A 2-D network over 8 x 8 cut-outs, all its layers trained."""
+    return _learned(spark, sf_dir, training.Network((1, 8, 8), ((6, 3, 3),), 3), 30)
+
+
+@query()
+def cnn_learned_3d(spark, sf_dir):
+    """A 3-D network of two layers over 4 x 4 x 4 cut-outs, all its layers trained."""
+    return _learned(spark, sf_dir, training.Network((1, 4, 4, 4), ((4, 2, 2, 2), (4, 2, 1, 1)), 1), 30)
