@@ -86,6 +86,26 @@ def nearest(left: DataFrame, right: DataFrame, x: str, y: str, tolerance: float,
     return left.join(out.select(id_col, *[c for c in out.columns if c not in left.columns]), id_col, "left")
 
 
+def forward_by(left: DataFrame, right: DataFrame, by: str, x: str, y: str, carry: list[str]) -> DataFrame:
+    """left with `found`, the first right row of its group `by` at or after it: (by, y, carry); null without any.
+
+    One order of group and time is range-partitioned, so a group may be of any size and share a partition with others: the next
+    right row of the whole order is either of the same group, or there is none.
+    """
+    tag = F.struct(F.col(by).alias("g"), F.col(y).alias("at"), *[F.col(c) for c in carry])
+    a = left.select(F.col(by).alias("__g"), F.col(x).cast("double").alias("__t"), F.lit(0).alias("__o"), F.lit(None).cast(right.select(tag.alias("s")).schema["s"].dataType).alias("__r"), F.struct(*left.columns).alias("__l"))
+    b = right.select(F.col(by).alias("__g"), F.col(y).cast("double").alias("__t"), F.lit(1).alias("__o"), tag.alias("__r"), F.lit(None).cast(a.schema["__l"].dataType).alias("__l"))
+    merged = materialize(a.unionByName(b).repartitionByRange("__g", "__t", "__o").withColumn("__p", F.spark_partition_id()), "merged")
+    down = Window.partitionBy("__p").orderBy(F.desc("__g"), F.desc("__t"), F.desc("__o")).rowsBetween(Window.unboundedPreceding, 0)
+    ends = merged.where("__r is not null").groupBy("__p").agg(F.min(F.struct("__g", "__t", "__o", "__r")).alias("e")).select(F.col("__p").alias("__q"), F.col("e.__r").alias("__end"))
+    # one row a partition, in one window: their number is set by the session, not by the data
+    beyond = F.last("__end", ignorenulls=True).over(Window.orderBy(F.desc("__p")).rowsBetween(Window.unboundedPreceding, -1))
+    last = merged.select("__p").distinct().join(ends, F.col("__q") == F.col("__p"), "left").select("__p", beyond.alias("__beyond"))
+    out = merged.withColumn("__here", F.last("__r", ignorenulls=True).over(down)).where("__l is not null").join(F.broadcast(last), "__p", "left")
+    found = F.coalesce("__here", "__beyond")
+    return out.select("__g", "__l", found.alias("found")).select("__l.*", F.when(F.col("found.g") == F.col("__g"), F.col("found")).alias("found"))
+
+
 def least_within(left: DataFrame, right: DataFrame, x: str, y: str, before: float, id_col: str, value: Column) -> DataFrame:
     """id_col and `least`, the least value of right rows with 0 <= x - y <= before, where there are any; ids are unique.
 

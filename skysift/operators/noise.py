@@ -59,3 +59,11 @@ def initial(spark: SparkSession, trials: int, widths: list[int], slope: float =
     """State before any data: 0, or slope * visibility noise * sqrt(width)."""
     rows = [(d, w) for d in range(trials) for w in widths]
     return spark.createDataFrame(rows, "dm_idx int, width int").select("dm_idx", "width", F.lit(0).cast("bigint").alias("n"), (F.lit(slope * visibility_noise) * F.sqrt("width")).alias("noise"))
+
+
+def from_visibilities(visibilities: DataFrame, band: str, trials: int, widths: list[int], slope: float) -> DataFrame:
+    """State (dm_idx, width, n, noise) before any search: slope * the visibilities' noise * sqrt(width), where the noise is the mean over the
+    bands of the deviation of their samples (re; null ones are left out). Without samples it is 0."""
+    spread = visibilities.groupBy(band).agg(F.stddev_pop("re").alias("s")).agg(F.coalesce(F.avg("s"), F.lit(0.0)).alias("s"))  # one row
+    table = initial(visibilities.sparkSession, trials, widths).drop("noise")
+    return table.join(F.broadcast(spread)).select("dm_idx", "width", "n", (F.lit(slope) * F.col("s") * F.sqrt("width")).alias("noise"))

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skysift.functions import sky
+from skysift.operators import joins
 from skysift.stored import materialize
 
+#: Distinct elevations that visits may have.
+STRIPS = 2000
+
 
 def plane_grid(spark: SparkSession, step: float, latitudes: list[float]) -> DataFrame:
     """Galactic longitudes each `step` degrees at each latitude, with equatorial positions."""
@@ -77,3 +81,35 @@ def forfeit(requests: DataFrame, tick: str, kind: str, ranked: list[str]) -> Dat
 def acknowledged(acks: DataFrame, key: str, node: str, nodes: int, time: str) -> DataFrame:
     """Messages that every node has acknowledged, and when the last one did."""
     return acks.groupBy(key).agg(F.countDistinct(node).alias("n"), F.max(time).alias("at")).where(F.col("n") == nodes).drop("n")
+
+
+def next_visits(visits: DataFrame, rate: float) -> DataFrame:
+    """id and next_id of visits (id, start, length above 0, elevation): the one that can begin first once a visit is over and the dish has
+    slewed, at `rate` in elevation a unit of time, to where that one is; the least id at ties. Visits that none can follow have no row.
+
+    Elevations are strips of a survey, a fixed number (STRIPS at most): a visit asks each strip for its first visit in reach.
+    """
+    strips = materialize(visits.select(F.col("elevation").alias("strip")).distinct(), "strips")
+    if strips.count() > STRIPS:
+        raise ValueError(f"more than {STRIPS} distinct elevations")
+    known = visits.groupBy(F.col("elevation").alias("strip"), "start").agg(F.min("id").alias("first"))
+    ready = F.col("start") + F.col("length") + F.abs(F.col("strip") - F.col("elevation")) / rate
+    asks = visits.join(F.broadcast(strips)).select("id", "strip", ready.alias("ready"))  # STRIPS rows at most
+    found = joins.forward_by(asks, known, "strip", "ready", "start", ["first"]).where("found is not null")
+    return found.groupBy("id").agg(F.min(F.struct("found.at", "found.first")).alias("m")).select("id", F.col("m.first").alias("next_id"))
+
+
+def chains(starts: DataFrame, jumps: DataFrame, steps: int) -> DataFrame:
+    """(first, step, id): what each start (id) leads to by jumps (id, next_id), itself as step 0, up to `steps` visits in all.
+
+    Each round doubles the steps that are known and the jumps, over stored tables, so it takes the logarithm of the steps.
+    """
+    known = materialize(starts.select(F.col("id").alias("first"), F.lit(0).alias("step"), "id").distinct(), "chains")
+    jump, reach = materialize(jumps.select("id", F.col("next_id").alias("to")), "jumps"), 1
+    while reach < steps:
+        further = known.where(F.col("step") < steps - reach).join(jump, "id").select("first", (F.col("step") + reach).alias("step"), F.col("to").alias("id"))
+        known = materialize(known.unionByName(further), "chains")
+        reach *= 2
+        if reach < steps:
+            jump = materialize(jump.join(jump.select(F.col("id").alias("to"), F.col("to").alias("beyond")), "to").select("id", F.col("beyond").alias("to")), "jumps")
+    return known

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from skysift.operators import gridding, imaging, learned
+from skysift.operators import fitting, gridding, imaging, learned
 from skysift.queries.flagging import _visibilities
 from skysift.queries.registry import query, r6, r9, table
 
@@ -101,3 +101,28 @@ def cnn_two_stage(spark, sf_dir):
     cut = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("cand_id"), F.col("embedding").cast("array<double>").alias("pixels"))
     flat, deep = learned.classify(cut, (1, 8, 8), *_weights(1, (4, 1, 3, 3))), learned.classify(cut, (1, 4, 4, 4), *_weights(2, (3, 1, 2, 2, 2)))
     return learned.two_stage(flat, deep).select("cand_id", r9("prob").alias("prob"), "predict")
+
+
+_ELLIPSE = "e AS (SELECT s_suppkey, 2 + s_suppkey % 7 + CAST(0.5 AS DOUBLE) AS a, 1 + s_suppkey % 2 + CAST(0.25 AS DOUBLE) AS b, (s_suppkey % 11) * CAST(0.25 AS DOUBLE) AS t FROM supplier)"
+
+
+@query(f"""WITH {_ELLIPSE} SELECT s_suppkey, CAST(k.k AS INTEGER) AS k, round(a * b / sqrt(b * b * pow(cos(k.k * pi() / 8 - t), 2) + a * a * pow(sin(k.k * pi() / 8 - t), 2)), 6) + 0 AS radius,
+round(a * a * cos(t) * cos(t) + b * b * sin(t) * sin(t), 6) + 0 AS xx, round((a * a - b * b) * sin(t) * cos(t), 6) + 0 AS xy FROM e, range(16) k(k)""")
+def ellipse_edges(spark, sf_dir):
+    """Edges of ellipses in sixteen directions, and their covariances."""
+    n = F.col("s_suppkey")
+    e = table(spark, sf_dir, "supplier").select(n, (2.5 + n % 7).alias("a"), (1.25 + n % 2).alias("b"), ((n % 11) * 0.25).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("k"))
+    xx, _, xy = fitting.covariance(F.col("a"), F.col("b"), F.col("t"))
+    return e.select(n, "k", r6(fitting.ellipse_radius(F.col("k") * np.pi / 8, F.col("a"), F.col("b"), F.col("t"))).alias("radius"), r6(xx).alias("xx"), r6(xy).alias("xy"))
+
+
+@query()
+def ellipse_fits(spark, sf_dir):
+    """Elliptical Gaussians fitted to the two-dimensional histograms of neighbouring components of the embeddings."""
+    cell = lambda k: F.floor(F.get("embedding", k).cast("double") * 25).cast("int")
+    pair = F.explode(F.sequence(F.lit(0), F.lit(31))).alias("pair")
+    points = table(spark, sf_dir, "embeddings").select("embedding", pair).select("pair", cell(2 * F.col("pair")).alias("x"), cell(2 * F.col("pair") + 1).alias("y")).where("x between -15 and 15 and y between -15 and 15")
+    counts = points.groupBy("pair", "x", "y").agg(F.count("*").alias("n"))
+    axis = F.sequence(F.lit(-15), F.lit(15))
+    grid = points.select("pair").distinct().select("pair", F.explode(axis).alias("x")).select("pair", "x", F.explode(axis).alias("y"))
+    return fitting.fit_ellipses(grid.join(counts, ["pair", "x", "y"], "left").select("pair", "x", "y", F.coalesce("n", F.lit(0)).alias("value")), ["pair"])

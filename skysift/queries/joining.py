@@ -31,6 +31,13 @@ def asof_backward(spark, sf_dir):
     return joins.backward(_times(spark, sf_dir), _files(spark, sf_dir).groupBy("y").agg(F.min("file").alias("file")), "x", "y", ["file"]).select("event_id", "y")
 
 
+@query(f"WITH {_T}, {_O}, l AS (SELECT event_id, max(y) AS y FROM t LEFT JOIN o ON o.y <= floor(t.x) GROUP BY event_id) SELECT event_id, y FROM l")
+def asof_at_or_before(spark, sf_dir):
+    """The latest file that starts by the second of each event, that second included."""
+    times = _times(spark, sf_dir).withColumn("x", F.floor("x").cast("double"))
+    return joins.backward(times, _files(spark, sf_dir).groupBy("y").agg(F.min("file").alias("file")), "x", "y", ["file"], strict=False).select("event_id", "y")
+
+
 @query(f"WITH {_T}, {_O} SELECT event_type, count(*) AS n FROM t WHERE EXISTS (SELECT 1 FROM o WHERE t.x - o.y >= -60 AND t.x - o.y <= 300) GROUP BY event_type")
 def interval_exists(spark, sf_dir):
     """Events with a file from 60 s after to 300 s before them: a semi-join on an interval."""

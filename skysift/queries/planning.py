@@ -8,6 +8,7 @@ from skysift import sinks, trials
 from skysift.operators import planning, search
 from skysift.queries.joining import _cands
 from skysift.queries.registry import CUBE, EV, HOURS, cube, events, query, r6, r9, table
+from skysift.stored import materialize
 
 
 @query("SELECT l_orderkey * 10 + l_linenumber AS cand, round(CAST(-16 AS DOUBLE) + (l_partkey % 64) * CAST(32 AS DOUBLE) / 63, 6) + 0 AS ra, CAST(pow(2, l_linenumber % 3) AS INTEGER) AS width, CAST(l_suppkey % 64 + 10 AS INTEGER) AS dec_idx FROM lineitem WHERE l_quantity >= 45")
@@ -160,3 +161,20 @@ def cube_search(spark, sf_dir):
     noisy = simulate.image_cube(spark, 8, trials.SAMPLES, trials.CHANNELS, 1.0)
     found = plans.candidates(plans.search_gulp(simulate.with_burst(noisy, (3, 4), 21, 2, 213.722, 20.0)), 6.0, 200)
     return found.select("dec_idx", "ra_idx", "wid_idx", "dm_idx", F.col("toa").cast("int").alias("toa"), r6("snr").alias("snr"))
+
+
+@query("""WITH RECURSIVE v AS (SELECT o_orderkey AS id, CAST((o_orderkey * 7919) % 2592000 AS DOUBLE) AS start, CAST(600 + (o_custkey % 5) * 300 AS DOUBLE) AS len, CAST((o_custkey % 12) * 10 + 30 AS DOUBLE) AS elev FROM orders),
+known AS (SELECT elev AS strip, start, min(id) AS first FROM v GROUP BY ALL),
+asks AS (SELECT id, s.elev AS strip, start + len + abs(s.elev - v.elev) / CAST(0.05 AS DOUBLE) AS ready FROM v, (SELECT DISTINCT elev FROM v) s),
+line AS (SELECT id, strip, ready AS t, 0 AS o, CAST(NULL AS DOUBLE) AS s FROM asks UNION ALL SELECT CAST(NULL AS BIGINT), strip, start, 1, start FROM known),
+found AS (SELECT id, strip, min(s) OVER (PARTITION BY strip ORDER BY t DESC, o DESC ROWS UNBOUNDED PRECEDING) AS start FROM line),
+nxt AS (SELECT f.id, k.first AS next_id FROM found f JOIN known k USING (strip, start) WHERE f.id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY f.id ORDER BY start, k.first) = 1),
+c AS (SELECT id AS first, CAST(0 AS INTEGER) AS step, id FROM v UNION ALL SELECT c.first, c.step + 1, n.next_id FROM c JOIN nxt n ON c.id = n.id WHERE c.step < 5)
+SELECT first, step, id FROM c""")
+def survey_chain(spark, sf_dir):
+    """From each visit the next five that can be made, each as soon as the one before is over and the dish has slewed."""
+    visits = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), ((F.col("o_orderkey") * 7919) % 2592000).cast("double").alias("start"), (600 + (F.col("o_custkey") % 5) * 300).cast("double").alias("length"), ((F.col("o_custkey") % 12) * 10 + 30).cast("double").alias("elevation")
+    )
+    visits = materialize(visits, "visits")
+    return planning.chains(visits.select("id"), planning.next_visits(visits, 0.05), 6)

@@ -194,3 +194,12 @@ def cutoff_and_carry(spark, sf_dir):
     kept = series(spark, sf_dir).where("t >= 100")
     both = kept.unionByName(kept.where(F.col("t") >= HOURS - 20))
     return both.groupBy("pix").agg(F.countDistinct("t").alias("n"), (F.round(F.sum("value"), 4) + F.lit(0.0)).alias("total"))
+
+
+@query("SELECT CAST(d.d AS INTEGER) AS dm_idx, w.w AS width, CAST(0 AS BIGINT) AS n, round(CAST(1.5 AS DOUBLE) * v.s * sqrt(w.w), 6) + 0 AS noise FROM (SELECT avg(s) AS s FROM (SELECT l_linenumber, stddev_pop(l_quantity) AS s FROM lineitem GROUP BY 1)) v, range(16) d(d), (VALUES (CAST(1 AS INTEGER)), (2), (4), (8), (16)) w(w)")
+def noise_from_visibilities(spark, sf_dir):
+    """Noise state before any search, from the deviation of visibilities by sub-band."""
+    from skysift.operators.noise import from_visibilities
+
+    samples = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_linenumber").alias("sb"), F.col("l_quantity").cast("double").alias("re"))
+    return from_visibilities(samples, "sb", 16, WIDTHS, 1.5).select("dm_idx", "width", "n", r6("noise").alias("noise"))
