@@ -33,7 +33,8 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return viterbi.round_trip(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+    # the file is a BPE model: its pieces and scores, not its merges
+    return viterbi.round_trip(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"), as_unigram=True)
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

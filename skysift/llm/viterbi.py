@@ -14,7 +14,10 @@ every position, and the backpointers follow from the sums. Sums are counted from
 that they stay exact at any length; memory beyond five bytes a character doesn't grow with the text.
 
 The segmentation is the one of greatest total score, as the SentencePiece library gives it for a
-unigram model with these pieces and scores.
+unigram model with these pieces and scores. **For a file of another kind its ids are not the library's**: of a BPE
+model the library merges pieces by rank. Such a file is refused unless `as_unigram` is given. With the
+installed BPE file none of the 200 documents of sf0.001 gets the library's ids, and there are 14 % more
+(218,524 for 191,304); ids still decode to the text.
 
 Defined results: a null or empty text has no ids; white space is kept as it stands; U+2581 in a text
 decodes as a space; rows that repeat get equal ids; an empty table gives an empty result; only id and
@@ -112,6 +115,22 @@ def load(path: str) -> Pieces:
     return build([(n, model.id_to_piece(n), model.get_score(n)) for n in range(size) if not odd(n)], [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], size)
 
 
+def model_kind(path: str) -> str:
+    """unigram, bpe, word or char, as the file says."""
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto()
+    with open(path, "rb") as f:
+        model.ParseFromString(f.read())
+    return proto.TrainerSpec.ModelType.Name(model.trainer_spec.model_type).lower()
+
+
+def _checked(path: str, as_unigram: bool) -> str:
+    if not as_unigram and (kind := model_kind(path)) != "unigram":
+        raise ValueError(f"{path} is a {kind} model, whose ids a best-scoring segmentation does not give; pass as_unigram=True to use its pieces and scores so")
+    return path
+
+
 def _match(pieces: Pieces, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Score and id for each substring hash; -1 where no piece has it, with the score of an unknown character or -inf."""
     missing = pieces.unknown if length == 1 else -np.inf
@@ -126,7 +145,7 @@ def _match(pieces: Pieces, hashes: np.ndarray, length: int) -> tuple[np.ndarray,
 def search(pieces: Pieces, words: list[str]) -> list[bytes]:
     """Ids (little-endian 32-bit) of words of one length."""
     length = len(words[0])
-    codes = np.stack([_codes(w) for w in words])
+    codes = _codes("".join(words)).reshape(len(words), length)
     hashes = _hasher(codes)
     lengths = sorted({1} | {k for k in pieces.by_length if k <= length}, reverse=True)
     best = np.full((len(words), length + 1), -np.inf)
@@ -152,7 +171,18 @@ def search(pieces: Pieces, words: list[str]) -> list[bytes]:
     ends = np.stack([s[1] for s in reversed(steps)], axis=1)
     known = (ids != -1).all(axis=1)
     flat, keep = ids.astype("<i4"), ids > -2
-    return [flat[n][keep[n]].tobytes() if known[n] else _spelled(pieces, codes[n], flat[n][keep[n]], ends[n][keep[n]]) for n in range(len(words))]
+    return [flat[n][keep[n]].tobytes() if known[n] else _spelled_word(pieces, words[n], flat[n][keep[n]].tolist(), ends[n][keep[n]].tolist()) for n in range(len(words))]
+
+
+def _spelled_word(pieces: Pieces, word: str, ids: list[int], ends: list[int]) -> bytes:
+    """The same as _spelled for a short word, for which plain values cost less than arrays."""
+    out: list[int] = []
+    for n, end in zip(ids, ends, strict=True):
+        if n >= 0:
+            out.append(n)
+        else:
+            out += [pieces.byte_ids[b] for b in word[end - 1].encode("utf-8", "surrogatepass")]
+    return np.array(out, "<i4").tobytes()
 
 
 def _spelled(pieces: Pieces, codes: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> bytes:
@@ -273,8 +303,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(load(path))
 
 
-def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id and ids of each row; no shuffle."""
+def encode(docs: DataFrame, model_path: str, as_unigram: bool = False) -> DataFrame:
+    """doc_id and ids of each row; no shuffle. as_unigram: use a model of another kind by its pieces and scores."""
+    _checked(model_path, as_unigram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_rows(batches):
@@ -299,8 +330,9 @@ def decode(coded: DataFrame, model_path: str) -> DataFrame:
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
 
 
-def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str, as_unigram: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_crc32 (of little-endian 32-bit ids), and whether decoding gives the text back."""
+    _checked(model_path, as_unigram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model_path)

@@ -114,9 +114,27 @@ def test_equals_the_library_in_unigram_mode():
 def test_tables(spark):
     rows = [(1, "some words here"), (2, None), (3, ""), (None, "x"), (1, "some words here")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 as ids", "2 as n_tokens")
-    out = viterbi.round_trip(docs, str(PATH)).collect()
+    out = viterbi.round_trip(docs, str(PATH), as_unigram=True).collect()
     assert len(out) == 5 and all(r.round_trip for r in out)
     assert sorted(r.n_tokens for r in out)[:2] == [0, 0]
-    back = viterbi.decode(viterbi.encode(docs, str(PATH)), str(PATH)).collect()
+    back = viterbi.decode(viterbi.encode(docs, str(PATH), as_unigram=True), str(PATH)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in back) == sorted((a or 0, b or "") for a, b in rows)
-    assert viterbi.round_trip(docs.limit(0), str(PATH)).count() == 0
+    assert viterbi.round_trip(docs.limit(0), str(PATH), True).count() == 0
+
+
+def test_other_kinds_are_refused_unless_asked_for(spark):
+    assert viterbi.model_kind(str(PATH)) == "bpe"
+    docs = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    for call in (viterbi.encode, viterbi.round_trip):
+        with pytest.raises(ValueError, match="bpe"):
+            call(docs, str(PATH))
+
+
+def test_words_with_unknown_characters_by_both_ways():
+    """Short words are spelled by plain values, long ones by arrays."""
+    pieces = viterbi.load(str(PATH))
+    for word in ("ab\x00日é\U0001f600", "\x00", "tion"):
+        codes = viterbi._codes(word)
+        for ids in ([-1] * len(word), [5, *[-1] * (len(word) - 1)]):
+            ends = list(range(1, len(word) + 1))
+            assert viterbi._spelled_word(pieces, word, ids, ends) == viterbi._spelled(pieces, codes, np.array(ids), np.array(ends))
