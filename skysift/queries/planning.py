@@ -178,3 +178,23 @@ def survey_chain(spark, sf_dir):
     )
     visits = materialize(visits, "visits")
     return planning.chains(visits.select("id"), planning.next_visits(visits, 0.05), 6)
+
+
+_TRIALS = "delays(dm_idx, chan, shift, weight) AS (VALUES " + ", ".join(f"(CAST({r.dm_idx} AS INTEGER), CAST({r.chan} AS INTEGER), CAST({r.shift} AS INTEGER), CAST({r.weight!r} AS DOUBLE))" for r in trials.delay_rows(trials.dispersion_trials(), trials.frequencies()) if r.weight) + ")"
+
+
+@query(f"""WITH {EV}, {_TRIALS}, c AS (SELECT CAST(user_id % 8 AS INTEGER) AS dec_idx, CAST(user_id // 8 % 8 AS INTEGER) AS ra_idx, CAST((t * 5) // 144 AS INTEGER) AS t, CAST(event_id % 16 AS INTEGER) AS chan, avg(value) AS flux FROM ev WHERE t BETWEEN 0 AND 719 GROUP BY ALL),
+flat AS (SELECT dec_idx, ra_idx, t, chan, flux - median(flux) OVER (PARTITION BY dec_idx, ra_idx, chan) AS value FROM c),
+shifted AS (SELECT dec_idx, ra_idx, dm_idx, ((t - shift) % 25 + 25) % 25 AS t, sum(weight * value) AS value FROM flat JOIN delays USING (chan) GROUP BY ALL),
+boxes AS (SELECT dec_idx, ra_idx, dm_idx, wid_idx, ((t - 12 + k.k) % 25 + 25) % 25 AS t, sum(value) AS value FROM shifted, (VALUES {", ".join(f"(CAST({n} AS INTEGER), {w})" for n, w in enumerate(trials.WIDTHS))}) w(wid_idx, width), range(16) k(k) WHERE k.k < width GROUP BY 1, 2, 3, 4, 5),
+noise AS (SELECT wid_idx, median(s) AS noise FROM (SELECT wid_idx, ra_idx, median(s) AS s FROM (SELECT wid_idx, dec_idx, ra_idx, stddev_pop(value) AS s FROM boxes WHERE dm_idx = 0 GROUP BY ALL) GROUP BY ALL) GROUP BY wid_idx)
+SELECT dec_idx, ra_idx, wid_idx, dm_idx, round(abs(max(value) - median(value)) / nullif(any_value(noise), 0), 6) + 0 AS snr FROM boxes JOIN noise USING (wid_idx) GROUP BY ALL""")
+def event_cube_search(spark, sf_dir):
+    """The instrument's own search, with its trials and widths, over a cube of 8 x 8 places, 25 samples and 16 channels made of all events; cells
+    without one are missing samples."""
+    from skysift.plans import search as plans
+
+    e = events(spark, sf_dir).where(F.col("t").between(0, HOURS - 1))
+    place = [(F.col("user_id") % 8).cast("int").alias("dec_idx"), (F.floor(F.col("user_id") / 8) % 8).cast("int").alias("ra_idx"), F.floor(F.col("t") * 5 / 144).cast("int").alias("t"), (F.col("event_id") % 16).cast("int").alias("chan")]
+    cells = e.groupBy(*place).agg(F.avg("value").alias("flux"))
+    return plans.search_gulp(cells).select("dec_idx", "ra_idx", "wid_idx", "dm_idx", r6("snr").alias("snr"))
