@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from skysift import schemas, sinks
+from skysift.operators import candidates
 from skysift.queries.registry import CUBE, cube, events, query, r6, table
-from skysift.sources import fits, visibility
-from skysift.stored import materialize, shared_dir
+from skysift.sources import fits, tables, visibility
+from skysift.stored import materialize, new_folder
 
 
 def _folder(spark, name: str) -> str:
     """A new folder in the shared one, as a path that files are opened by."""
-    return f"{shared_dir(spark).removeprefix('file://').removeprefix('file:')}/{name}-{uuid.uuid4().hex}"
+    return new_folder(spark, name).removeprefix("file://").removeprefix("file:")
 
 
 _COUNTS = f"""{CUBE}, counts AS (SELECT c.pix, c.chan, c.t, coalesce(n, 0) AS n FROM cube c LEFT JOIN (SELECT pix, chan, t, count(*) AS n FROM ev GROUP BY ALL) USING (pix, chan, t)),
@@ -62,3 +62,87 @@ def fits_single_sources(spark, sf_dir):
     """Rows of one code, with three of the columns decoded."""
     rows = fits.scan(spark, _catalog(spark, sf_dir), ["o_orderkey", "o_totalprice", "o_orderstatus"], rows_per_task=5000)
     return rows.where("o_orderstatus = 'F'").select("o_orderkey", r6("o_totalprice").alias("o_totalprice"))
+
+
+_LEVELS = """c AS (SELECT l_orderkey * 10 + l_linenumber AS cand, l_orderkey % 50 AS gulp, CAST(l_partkey % 64 AS INTEGER) AS ra_idx, CAST(l_suppkey % 64 AS INTEGER) AS dec_idx, CAST(l_linenumber % 3 AS INTEGER) AS dm_idx, CAST(l_quantity AS DOUBLE) AS snr, CAST(l_discount AS DOUBLE) * 10 AS prob FROM lineitem),
+kept AS (SELECT * FROM c WHERE prob <= 0.5), levels AS (SELECT 'raw' AS level, * FROM c UNION ALL SELECT 'classified', * FROM kept
+UNION ALL SELECT 'final', * FROM kept QUALIFY row_number() OVER (PARTITION BY gulp ORDER BY snr DESC, cand) <= 3)"""
+
+
+@query(f"WITH {_LEVELS} SELECT level, 'cand' || cand AS candname, ra_idx, dec_idx, dm_idx, snr, round(prob, 6) + 0 AS prob FROM levels")
+def candidate_files(spark, sf_dir):
+    """Candidates as CSV files of three levels (all; those that the classifier keeps; the three best of each gulp), read again."""
+    line = table(spark, sf_dir, "lineitem")
+    cand = line.select(
+        F.concat(F.lit("cand"), F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("candname"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("cand"), (F.col("l_orderkey") % 50).alias("gulp"),
+        (F.col("l_partkey") % 64).cast("int").alias("ra_idx"), (F.col("l_suppkey") % 64).cast("int").alias("dec_idx"), (F.col("l_linenumber") % 3).cast("int").alias("dm_idx"), F.col("l_quantity").cast("double").alias("snr"), (F.col("l_discount").cast("double") * 10).alias("prob"),
+    )
+    kept = cand.where("prob <= 0.5")
+    folder = new_folder(spark, "candidates")
+    for level, rows in (("raw", cand), ("classified", kept), ("final", candidates.best_per(kept, ["gulp"], 3, [F.desc("snr"), F.col("cand")]))):
+        sinks.write_candidates(rows, folder, level)
+    levels = [tables.candidates(spark, f"{folder}/level={level}").withColumn("level", F.lit(level)) for level in ("raw", "classified", "final")]
+    both = levels[0].unionByName(levels[1]).unionByName(levels[2])
+    return both.select("level", "candname", "ra_idx", "dec_idx", "dm_idx", "snr", r6("prob").alias("prob"))
+
+
+def _text(spark, lines, name: str) -> str:
+    """A folder of text files with these lines."""
+    folder = new_folder(spark, name)
+    lines.write.text(folder)
+    return folder
+
+
+@query("""SELECT 'B' || c_custkey AS name, round(15 * (c_custkey % 24 + CAST(c_custkey % 60 AS DOUBLE) / 60 + (c_custkey % 50 + CAST(0.25 AS DOUBLE)) / 3600), 9) + 0 AS ra,
+round((CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE -1 END) * (c_custkey % 80 + CAST(c_custkey % 59 AS DOUBLE) / 60 + CAST(30.5 AS DOUBLE) / 3600), 9) + 0 AS dec, CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 90 AS DOUBLE) / 8 END AS period, CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 300 AS DOUBLE) / 4 END AS dm FROM customer""")
+def pulsar_catalog_text(spark, sf_dir):
+    """A semicolon catalog with sexagesimal positions and * for what is missing, written and read."""
+    n = F.col("c_custkey")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    ra = F.concat(two(n % 24), F.lit(":"), two(n % 60), F.lit(":"), (n % 50 + 0.25).cast("string"))
+    dec = F.concat(F.when(n % 2 == 0, "+").otherwise("-"), two(n % 80), F.lit(":"), two(n % 59), F.lit(":30.5"))
+    star = lambda c, there: F.when(there, c.cast("string")).otherwise("*")
+    line = F.concat_ws(";", n.cast("string"), F.concat(F.lit("B"), n), ra, dec, star((n % 90) / 8, n % 7 != 0), F.lit("*"), star((n % 300) / 4, n % 5 != 0), F.lit("*"), F.lit("*"), F.lit("*"))
+    rows = tables.pulsars(spark, _text(spark, table(spark, sf_dir, "customer").select(line), "pulsars"))
+    return rows.select("name", (F.round("ra", 9) + F.lit(0.0)).alias("ra"), (F.round("dec", 9) + F.lit(0.0)).alias("dec"), "period", "dm")
+
+
+@query("SELECT 'J' || s_suppkey AS name, CAST(s_suppkey % 360 AS DOUBLE) AS ra, CASE WHEN s_suppkey % 6 <> 0 THEN CAST(s_suppkey % 50 AS DOUBLE) / 4 END AS flux FROM supplier")
+def column_catalog_text(spark, sf_dir):
+    """A white-space catalog in which -9.99 is missing, with comments and empty lines, written and read."""
+    n = F.col("s_suppkey")
+    flux = F.when(n % 6 != 0, ((n % 50) / 4).cast("string")).otherwise("-9.99")
+    line = F.concat(F.lit("  J"), n, F.lit("   "), (n % 360).cast("string"), F.lit(" x  "), flux, F.when(n % 3 == 0, "\n# a comment\n\n").otherwise(""))
+    folder = _text(spark, table(spark, sf_dir, "supplier").select(line), "columns")
+    return tables.columns_text(spark, folder, [("name", 0, "string"), ("ra", 1, "double"), ("flux", 3, "double")])
+
+
+@query("SELECT p_partkey AS id, p_size AS size, CASE p_partkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS confirmed FROM part")
+def flagged_catalog_text(spark, sf_dir):
+    """A CSV catalog with a Y/N column, in either case and with blanks, written and read."""
+    flag = F.when(F.col("p_partkey") % 3 == 0, F.when(F.col("p_partkey") % 2 == 0, " y ").otherwise("Y")).when(F.col("p_partkey") % 3 == 1, "N").otherwise("unknown")
+    folder = new_folder(spark, "flagged")
+    table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size"), flag.alias("confirmed")).write.csv(folder, header=True)
+    kind = table(spark, sf_dir, "part").schema["p_size"].dataType.simpleString()
+    return tables.flagged_catalog(spark, folder, f"id bigint, size {kind}, confirmed string", ["confirmed"]).withColumn("confirmed", F.col("confirmed").cast("string"))
+
+
+@query("SELECT 'S' || s_suppkey AS name, CAST(s_suppkey % 360 AS DOUBLE) AS ra, CAST(s_suppkey % 90 AS DOUBLE) / 2 AS dec, round(s_acctbal, 6) + 0 AS flux FROM supplier")
+def calibrator_json(spark, sf_dir):
+    """Calibrators as JSON objects of name to place and flux, a file a nation, written and read."""
+    n = F.col("s_suppkey")
+    entry = F.struct(F.concat(F.lit("S"), n).alias("k"), F.struct((n % 360).cast("double").alias("ra"), ((n % 90) / 2).alias("dec"), F.col("s_acctbal").cast("double").alias("flux")).alias("v"))
+    objects = table(spark, sf_dir, "supplier").groupBy("s_nationkey", F.floor(n / 1000).alias("part")).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))  # a thousand at most
+    folder = new_folder(spark, "calibrators")
+    objects.repartition("s_nationkey", "part").write.partitionBy("s_nationkey", "part").text(folder)
+    return tables.calibrators(spark, f"{folder}/*/*").select("name", "ra", "dec", r6("flux").alias("flux"))
+
+
+@query("SELECT 'file' || o_orderkey AS file, CAST(1 + o_orderkey % 4 AS INTEGER) AS n_processed, CASE WHEN o_orderkey % 2 = 0 THEN 'ok' END AS note FROM orders")
+def ledger_appends(spark, sf_dir):
+    """A recovery ledger that grows by two appends."""
+    folder = new_folder(spark, "ledger")
+    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("file"), F.col("o_orderkey")).alias("file"), (1 + F.col("o_orderkey") % 4).cast("int").alias("n_processed"), F.when(F.col("o_orderkey") % 2 == 0, "ok").alias("note"), "o_orderstatus")
+    for some in (F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "F"):
+        sinks.append_ledger(rows.where(some), folder, schemas.LEDGER)
+    return spark.read.schema(schemas.LEDGER).parquet(folder)

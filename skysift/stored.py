@@ -27,13 +27,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for this process's own files; it is removed when the driver process ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
 
     The tables are removed when the driver process ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, f"tables/{name}")
     # the shuffles of a written table are of no more use: let Spark drop their files when it is written
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
@@ -41,7 +48,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

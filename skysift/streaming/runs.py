@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -14,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from skysift.operators import noise
 from skysift.sources import pages
-from skysift.stored import materialize, shared_dir
+from skysift.stored import materialize, new_folder
 
 _EPOCH = 1704067200000000
 
@@ -52,7 +51,7 @@ def _result(spark: SparkSession, schema: T.StructType, base: str, written: bool,
 
 def replay(stream: DataFrame, mode: str) -> DataFrame:
     """The result table of a stream over what is there now."""
-    base = f"{shared_dir(stream.sparkSession)}/streams/{uuid.uuid4().hex}"
+    base = new_folder(stream.sparkSession, "streams")
     return _result(stream.sparkSession, stream.schema, base, _run(stream, mode, base))
 
 
@@ -61,7 +60,7 @@ def feed(rows: DataFrame, slices: list[Column], build: Callable[[DataFrame], Dat
     checkpoint, as a scheduled job would. slices: a few conditions that part the rows, in order of arrival. In update mode the
     last row of each of the keys counts: an aggregate's state goes when the watermark passes it, its row stays."""
     spark = rows.sparkSession
-    base, written = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}", False
+    base, written = new_folder(spark, "streams"), False
     for landed in slices:
         rows.where(landed).write.mode("append").parquet(f"{base}/in")
         stream = build(spark.readStream.schema(rows.schema).parquet(f"{base}/in"))
@@ -74,7 +73,7 @@ def through_pages(rows: DataFrame, slices: list[Column], order: str, page_bytes:
     within a micro-batch, and another reads the buffer after each landing. Both go on from their checkpoints."""
     spark = rows.sparkSession
     spark.dataSource.register(pages.PageSource)
-    base, written = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}", False
+    base, written = new_folder(spark, "streams"), False
     for landed in slices:
         rows.where(landed).write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
@@ -202,7 +201,7 @@ def running_noise(rows: DataFrame, slices: list[Column], keys: list[str]) -> Dat
     """(keys, n, noise) state after all slices of rows (keys, x) have landed: each micro-batch merges its means into the
     version before and writes the next. A version is named by its batch, so a batch that is run again replaces its own."""
     spark = rows.sparkSession
-    base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    base = new_folder(spark, "streams")
     state = rows.select(*keys, F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("noise")).schema
     last = -1
 
@@ -223,7 +222,7 @@ def batch_metrics(rows: DataFrame, slices: list[Column], metrics: list[Column])
     """(batch, *metrics) of each micro-batch of rows that land slice by slice, as they are observed while it is written: aggregates
     without a pass of their own. A batch that is run again replaces its row."""
     spark = rows.sparkSession
-    base = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    base = new_folder(spark, "streams")
     shape = rows.agg(*metrics).schema
 
     def put(batch: DataFrame, number: int) -> None:
