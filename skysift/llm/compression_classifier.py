@@ -118,7 +118,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Compressi
     sample = rows.where((part == 0) & (F.col("label") == 1)).orderBy("order", "doc_id").limit(DICT_ROWS)
     sample = sample.unionByName(rows.where((part == 0) & (F.col("label") == 0)).orderBy("order", "doc_id").limit(DICT_ROWS))
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = materialize(body.join(F.broadcast(sample), "doc_id"), "labelled")  # 2 * DICT_ROWS labels at most
+    # of rows that share an id one text counts, that of the least hash: the samples are bounded by ids, so repeats don't add to them
+    one = lambda known, *more: body.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label", *more).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    texts = materialize(one(sample, "order"), "labelled")  # 2 * DICT_ROWS rows at most
     whole = F.encode("text", "UTF-8")
     count = F.ceil(F.octet_length("text") / BLOCK).cast("int")
     blocks = (
@@ -139,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Compressi
         return CompressionModel(b"", b"", ())
     good, bad = build_dictionary(got[1]), build_dictionary(got[0])
 
-    other = F.broadcast(rows.where(part == 1).orderBy("order", "doc_id").limit(CALIBRATION_ROWS).select("doc_id", "label"))
+    other = rows.where(part == 1).orderBy("order", "doc_id").limit(CALIBRATION_ROWS).select("doc_id", "label")
     shared = spark.sparkContext.broadcast((good, bad))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Compressi
             yield pa.RecordBatch.from_arrays([pa.array(f[:, 0]), pa.array(f[:, 1]), batch.column("label").cast(pa.int32())], names=["s", "r", "label"])
 
     short_batches(spark)
-    found = body.join(other, "doc_id").select("text", "label").mapInArrow(measure, "s double, r double, label int").collect()
+    found = one(other).select("text", "label").mapInArrow(measure, "s double, r double, label int").collect()
     if len({r.label for r in found}) < 2:
         return CompressionModel(b"", b"", ())
     x, y = np.array([(r.s, r.r) for r in found]), np.array([r.label for r in found], float)

@@ -13,13 +13,13 @@ result; only the id and text columns are read, so other columns of any name don'
 from __future__ import annotations
 
 import heapq
-import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skysift.llm.support import materialize, shared_dir
+from skysift.llm.support import materialize
+from skysift.stored import new_folder
 
 #: Virtual slots; the map has one row for each, so its size never depends on the data.
 SLOTS = 8192
@@ -158,7 +158,7 @@ def assign(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 24, slots: int = SLOTS, folder: str | None = None) -> tuple[DataFrame, SlotMap]:
-    """Rows with their shards, sizes near equal, by the map in the folder (by default a new one in the shared folder).
+    """Rows with their shards, sizes near equal, by the map in the folder (by default a new one in the shared folder, which goes with the process).
 
     Where the folder has no map, version 1 is planned. A map that is there is loaded; it gets the slots' new totals and
     the wanted number of shards, slots move where that evens out the sizes, and the outcome is the next version.
@@ -166,7 +166,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, slots: int = SLOTS, folder
     spark = docs.sparkSession
     rows = materialize(slot_rows(docs, slots=slots), "slot-rows")
     known = folder is not None and _exists(spark, folder)
-    folder = folder or f"{shared_dir(spark)}/tables/slot-map-{uuid.uuid4().hex}"
+    folder = folder or new_folder(spark, "tables/slot-map")
     if known:
         old = load_map(spark, folder)
         bytes_of, rows_of = totals(rows, len(old.shard_of))

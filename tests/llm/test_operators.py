@@ -679,3 +679,16 @@ def test_other_tokenizer_settings(spark, tmp_path):
     for r in packing.pack_documents(docs, path).collect():
         ids = np.array(coder.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [0], "<u4")
         assert zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32
+
+
+def test_repeated_ids_do_not_grow_the_classifier_samples(spark, monkeypatch):
+    """An id with very many rows is one labelled text, whichever row comes first."""
+    r = random.Random(9)
+    rows = [(n, prose(r, 60) if n % 2 else "@@ ## %% " * 40) for n in range(60)]
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(60)], "doc_id bigint, quality int, toxic int")
+    taken = []
+    real = compression_classifier.fit_logistic
+    monkeypatch.setattr(compression_classifier, "fit_logistic", lambda x, y: taken.append(len(y)) or real(x, y))
+    for more in ([], [(k, f"copy {c} {prose(r, 9)}") for k in range(60) for c in range(40)]):
+        compression_classifier.fit(spark.createDataFrame([*rows, *more], "doc_id bigint, text string"), labels)
+    assert len(taken) == 2 and taken[0] == taken[1] <= 60
