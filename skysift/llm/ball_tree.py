@@ -292,20 +292,19 @@ def _reach(queries: DataFrame, made: Index, taken: int, upto: int | None) -> Dat
     return reached.join(made.cells.select("dim", "cell", "salts"), ["dim", "cell"]).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts").cast("bigint") - 1))).drop("salts")
 
 
-_FOUND = "query_id bigint, v binary, vec_id bigint, score bigint, made bigint"
+_FOUND = "query_id bigint, v binary, vec_id bigint, score bigint"
 
 
 def _searched(asked: DataFrame, trees: DataFrame, blocks: int, k: int) -> DataFrame:
-    """The best k of each asked query and shard, with the number of products made for the whole block on its first row."""
+    """The best k of each asked query in each of its shards."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({c.split()[0]: [] for c in _FOUND.split(", ")})
         tree: BallTree = pickle.loads(right["tree"].iloc[0])
         q = unpacked(left["v"].tolist(), int(right["dim"].iloc[0]))
-        best, made = search(tree, left["query_id"].to_numpy(np.int64), q, left["floor"].to_numpy(np.int64), k)
-        out = pd.DataFrame({"query_id": left["query_id"].to_numpy()[best.who], "v": left["v"].to_numpy()[best.who], "vec_id": best.ids, "score": best.score})
-        return out.assign(made=np.where(np.arange(len(out)) == 0, made, 0))
+        best, _ = search(tree, left["query_id"].to_numpy(np.int64), q, left["floor"].to_numpy(np.int64), k)
+        return pd.DataFrame({"query_id": left["query_id"].to_numpy()[best.who], "v": left["v"].to_numpy()[best.who], "vec_id": best.ids, "score": best.score})
 
     keys = ["cell", "shard", "dim", "block"]
     spread = trees.select("cell", "shard", "dim", "tree").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -333,9 +332,7 @@ def top_k(rows: DataFrame, queries: str, k: int = 10, id_col: str = "vec_id", ve
             known = asked.join(reached, ["query_id", "v"], "left").withColumn("floor", F.coalesce("floor", F.lit(least).cast("bigint")))
         upto = None if count is None else taken + count
         found = _searched(_reach(known, made, taken, upto), made.trees, blocks, k)
-        every = found.select("query_id", "v", "vec_id", "score")
-        if best is not None:
-            every = every.unionByName(best.select("query_id", "v", "vec_id", "score"))
+        every = found if best is None else found.unionByName(best.select("query_id", "v", "vec_id", "score"))
         best = materialize(every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
         taken = upto or taken
         if upto is None:
