@@ -58,7 +58,7 @@ def next_names(df: DataFrame, order: list[Column], last: int, batch: str) -> Dat
     before = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select(batch, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__base"))
     ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(batch).orderBy(*order)))
-    return ranked.join(F.broadcast(base), batch).withColumn("candname", F.format_string("cand%06d", F.col("__base") + F.col("__n") + last)).drop("__n", "__base")
+    return ranked.join(base, batch).withColumn("candname", F.format_string("cand%06d", F.col("__base") + F.col("__n") + last)).drop("__n", "__base")
 
 
 def merge_results(df: DataFrame, key: str, results: list[DataFrame]) -> DataFrame:

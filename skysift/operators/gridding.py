@@ -7,6 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Points that a direct transform takes.
+TARGETS = 1000
+
 
 def grid_index(u: Column, cell: float, size: int) -> Column:
     """Cell number of a coordinate: truncated toward zero, from the grid's middle."""
@@ -36,7 +39,10 @@ def briggs(df: DataFrame, i: str, j: str, robust: float) -> DataFrame:
 
 
 def direct_transform(df: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    """The image at target points: sum of re cos(phase) - im sin(phase). targets: a few rows, broadcast."""
+    """The image at target points: sum of re cos(phase) - im sin(phase). targets are TARGETS rows at most (more are an error), and are
+    broadcast: each row meets each target, summed before the shuffle."""
+    if targets.limit(TARGETS + 1).count() > TARGETS:
+        raise ValueError(f"more than {TARGETS} targets: image them by the grid")
     phase = 2 * math.pi * (F.col("u") * F.col("l") + F.col("v") * F.col("m"))
     return df.join(F.broadcast(targets)).groupBy(*keys, "target").agg(F.sum(F.col("re") * F.cos(phase) - F.col("im") * F.sin(phase)).alias("value"))
 

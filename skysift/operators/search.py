@@ -73,6 +73,23 @@ def detect(df: DataFrame, noise: DataFrame, keys: list[str], by: str, value: str
     return peak.join(F.broadcast(noise), by).select(*keys, (F.abs(F.col("p.v") - F.col("m")) / F.nullif(F.col("noise"), F.lit(0.0))).alias("snr"), (-F.col("p.t")).alias("toa"))
 
 
+def detect_below_quantile(df: DataFrame, keys: list[str], by: list[str], quantile: float = 0.9, value: str = "value") -> DataFrame:
+    """keys, snr of series (keys, t, value) as the older search has it: what reaches a quantile of the series' peaks (of its `by`) is masked.
+
+    A series' noise is the deviation (sample) of its values with 0 where masked, times sqrt(samples / unmasked ones); the lower
+    median of that over the series of a `by` is the noise. snr = (peak - lower median of the masked values) / noise. `by` are some of
+    the keys; a `by` has one series a pixel. Null where nothing is unmasked or the noise is 0.
+    """
+    peaks = df.groupBy(*keys).agg(F.max(value).alias("__peak"))
+    limits = peaks.groupBy(*by).agg(F.percentile("__peak", F.lit(quantile)).alias("__limit"))
+    below = F.col(value) < F.col("__limit")
+    masked = df.join(limits, by).withColumn("__m", F.when(below, F.col(value)).otherwise(0.0)).withColumn("__in", below.cast("int"))
+    low = lambda c: F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {c})")
+    each = masked.groupBy(*keys).agg(F.max(value).alias("__peak"), low("__m").alias("__low"), (F.stddev_samp("__m") * F.sqrt(F.count("*") / F.nullif(F.sum("__in"), F.lit(0)))).alias("__noise"))
+    noise = each.where("__noise is not null").groupBy(*by).agg(low("__noise").alias("noise"))
+    return each.join(noise, by, "left").select(*keys, ((F.col("__peak") - F.col("__low")) / F.nullif(F.col("noise"), F.lit(0.0))).alias("snr"))
+
+
 def threshold(df: DataFrame, least: float) -> DataFrame:
     return df.where(F.col("snr") >= least)
 

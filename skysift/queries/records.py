@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skysift import schemas, sinks
 from skysift.operators import candidates
 from skysift.queries.registry import CUBE, cube, events, query, r6, table
-from skysift.sources import fits, tables, visibility
+from skysift.sources import fits, packets, tables, visibility
 from skysift.stored import materialize, new_folder
 
 
@@ -146,3 +146,18 @@ def ledger_appends(spark, sf_dir):
     for some in (F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "F"):
         sinks.append_ledger(rows.where(some), folder, schemas.LEDGER)
     return spark.read.schema(schemas.LEDGER).parquet(folder)
+
+
+_CHUNKS = "c AS (SELECT l_orderkey AS k, l_linenumber AS n, min(CAST(l_quantity AS DOUBLE)) AS a, min(CAST(l_discount AS DOUBLE)) AS b FROM lineitem GROUP BY ALL)"
+
+
+@query(f"WITH {_CHUNKS} SELECT k, CAST(7 - count(*) AS INTEGER) AS missing, round(sum(a), 6) + 0 AS a, round(sum(b), 6) + 0 AS b FROM c WHERE n BETWEEN 1 AND 7 GROUP BY k")
+def incomplete_messages(spark, sf_dir):
+    """Messages of seven chunks of two doubles, given out when their time is up: chunks that haven't come are NaN."""
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k"), (F.col("l_linenumber") - 1).cast("int").alias("chunk_no")).agg(F.min(F.col("l_quantity").cast("double")).alias("a"), F.min(F.col("l_discount").cast("double")).alias("b"))
+    chunks = packets.encode_doubles(rows.select("k", "chunk_no", F.array("a", "b").alias("v")), ["k", "chunk_no"], "v").withColumn("expected", F.lit(7))
+    whole = materialize(packets.fill_chunks(chunks, "k", 16), "messages")
+    values = packets.decode_doubles(whole, "k", "bytes").join(whole.select("k", F.size("missing").alias("missing")), "k").where(F.size("values") == 14)
+    place = values.select("k", "missing", F.posexplode("values").alias("at", "v"))
+    total = lambda odd: r6(F.sum(F.when(F.col("at") % 2 == odd, F.col("v"))))
+    return place.groupBy("k", "missing").agg(total(0).alias("a"), total(1).alias("b"))

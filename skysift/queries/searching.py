@@ -203,3 +203,16 @@ def noise_from_visibilities(spark, sf_dir):
 
     samples = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_linenumber").alias("sb"), F.col("l_quantity").cast("double").alias("re"))
     return from_visibilities(samples, "sb", 16, WIDTHS, 1.5).select("dm_idx", "width", "n", r6("noise").alias("noise"))
+
+
+@query(f"""{_DEDISP}, {_BOX}, peaks AS (SELECT pix, dm_idx, wid_idx, max(value) AS peak FROM boxes GROUP BY ALL), limits AS (SELECT dm_idx, wid_idx, quantile_cont(peak, CAST(0.9 AS DOUBLE)) AS top FROM peaks GROUP BY ALL),
+m AS (SELECT pix, dm_idx, wid_idx, value, CASE WHEN value < top THEN value ELSE CAST(0 AS DOUBLE) END AS m, value < top AS below FROM boxes JOIN limits USING (dm_idx, wid_idx)),
+e AS (SELECT pix, dm_idx, wid_idx, max(value) AS peak, quantile_disc(m, 0.5) AS low, stddev_samp(m) * sqrt(CAST(count(*) AS DOUBLE) / nullif(count(*) FILTER (WHERE below), 0)) AS s FROM m GROUP BY ALL),
+n AS (SELECT dm_idx, wid_idx, quantile_disc(s, 0.5) AS noise FROM e WHERE s IS NOT NULL GROUP BY ALL)
+SELECT pix, dm_idx, wid_idx, round((peak - low) / nullif(noise, 0), 6) + 0 AS snr FROM e JOIN n USING (dm_idx, wid_idx)""")
+def snr_below_quantile(spark, sf_dir):
+    """The older S/N, with what reaches the 0.9 quantile of the positions' peaks masked."""
+    delays = trials.linear_delays(spark, 8, 5, -0.75)
+    boxes = search.boxcar(search.dedisperse(cube(spark, sf_dir), delays, ["pix"], HOURS), WIDTHS, ["pix", "dm_idx"])
+    out = search.detect_below_quantile(boxes, ["pix", "dm_idx", "wid_idx"], ["dm_idx", "wid_idx"])
+    return out.select("pix", "dm_idx", "wid_idx", r6("snr").alias("snr"))

@@ -34,6 +34,30 @@ def join_chunks(chunks: DataFrame, key: str) -> DataFrame:
     return whole.where(F.size("parts") == F.col("expected")).select(key, F.unhex(F.array_join(ordered, "")).alias("bytes"))
 
 
+def fill_chunks(chunks: DataFrame, key: str, size: int) -> DataFrame:
+    """key, bytes and missing (numbers of chunks) of messages whose time is up, from chunks (key, chunk_no from 0, expected, bytes) of `size`
+    bytes, doubles counted once: what hasn't come, or has another length, is NaN doubles in its place."""
+    good = chunks.where((F.octet_length("bytes") == size) & (F.col("chunk_no") >= 0) & (F.col("chunk_no") < F.col("expected")))
+    once = good.groupBy(key, "chunk_no").agg(F.min("bytes").alias("bytes"))
+    wanted = chunks.groupBy(key).agg(F.max("expected").alias("expected")).select(key, F.explode(F.sequence(F.lit(0), F.col("expected") - 1)).alias("chunk_no"))
+    nan = F.unhex(F.repeat(F.lit("000000000000F87F"), F.lit(size // 8)))
+    whole = wanted.join(once, [key, "chunk_no"], "left").select(key, "chunk_no", F.coalesce("bytes", nan).alias("bytes"), F.col("bytes").isNull().alias("gone"))
+    parts = whole.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("chunk_no", "bytes", "gone"))).alias("parts"))
+    return parts.select(key, F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["bytes"])), "")).alias("bytes"), F.transform(F.filter("parts", lambda p: p["gone"]), lambda p: p["chunk_no"]).alias("missing"))
+
+
+def encode_doubles(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """keys and `bytes`, the little-endian 64-bit floats of an array column; null is NaN."""
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [np.array([np.nan if v is None else v for v in row], "<f8").tobytes() for row in batch.column(column).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(raw, pa.binary())], names=[*keys, "bytes"])
+
+    return df.select(*keys, column).mapInArrow(run, f"{kinds}, bytes binary")
+
+
 def decode_doubles(df: DataFrame, key: str, column: str = "body") -> DataFrame:
     """Little-endian 64-bit floats of a binary column as an array; NaN is null."""
     kind = df.schema[key].dataType.simpleString()

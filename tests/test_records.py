@@ -214,3 +214,22 @@ def test_fits_written_and_read(spark, tmp_path):
 def test_fits_headers():
     assert fits.parse_cards(fits.header([("A", 1), ("B", "it's"), ("C", True), ("D", -1.5), ("A", 2)])) == {"A": 1, "B": "it's", "C": True, "D": -1.5}
     assert fits.parse_cards(b"X       = 1.5D3 / comment".ljust(80) + b"COMMENT x".ljust(80) + b"Y       = 'a / b'  / text".ljust(80) + b"END".ljust(80)) == {"X": 1500.0, "Y": "a / b"}
+
+
+def test_missing_chunks_are_nan(spark):
+    """Doubles count once, chunks of another length or number don't count, a message without any whole chunk is all NaN."""
+    two = lambda a, b: struct.pack("<2d", a, b)
+    rows = [("a", 0, 3, two(1, 2)), ("a", 2, 3, two(5, 6)), ("a", 2, 3, two(5, 6)), ("b", 1, 2, b"short"), ("b", 7, 2, two(9, 9)), ("c", 0, 1, two(7, 8))]
+    out = packets.fill_chunks(spark.createDataFrame(rows, "k string, chunk_no int, expected int, bytes binary"), "k", 16)
+    got = {r.k: (r["values"], None) for r in packets.decode_doubles(out, "k", "bytes").collect()}
+    assert {k: v[0] for k, v in got.items()} == {"a": [1, 2, None, None, 5, 6], "b": [None] * 4, "c": [7, 8]}
+    assert {r.k: r.missing for r in out.collect()} == {"a": [1], "b": [0, 1], "c": []}
+    coded = packets.encode_doubles(spark.createDataFrame([("x", [1.5, None])], "k string, v array<double>"), ["k"], "v").first()
+    assert bytes(coded.bytes) == struct.pack("<2d", 1.5, float("nan"))
+
+
+def test_direct_transform_refuses_many_targets(spark):
+    rows = spark.createDataFrame([(0, 1.0, 0.0, 1.0, 1.0)], "k int, re double, im double, u double, v double")
+    many = spark.range(gridding.TARGETS + 1).select(F.col("id").alias("target"), F.lit(0.0).alias("l"), F.lit(0.0).alias("m"))
+    with pytest.raises(ValueError, match="targets"):
+        gridding.direct_transform(rows, many, ["k"])
