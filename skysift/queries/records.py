@@ -161,3 +161,13 @@ def incomplete_messages(spark, sf_dir):
     place = values.select("k", "missing", F.posexplode("values").alias("at", "v"))
     total = lambda odd: r6(F.sum(F.when(F.col("at") % 2 == odd, F.col("v"))))
     return place.groupBy("k", "missing").agg(total(0).alias("a"), total(1).alias("b"))
+
+
+@query("SELECT 'v' || vec_id AS name, CAST((k - 1) // 8 AS INTEGER) AS y, CAST((k - 1) % 8 AS INTEGER) AS x, round(CAST(embedding[k] AS DOUBLE), 6) + 0 AS value FROM embeddings, range(1, 65) r(k) WHERE k <= len(embedding)")
+def image_dump_fits(spark, sf_dir):
+    """Images as units of FITS files, a file a task, written and read."""
+    rows = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("v"), F.col("vec_id")).alias("name"), F.array(F.lit(8), F.lit(8)).alias("shape"), F.col("embedding").cast("array<double>").alias("values"))
+    folder = _folder(spark, "images")
+    materialize(fits.write_images(rows.repartition(4, "name"), folder), "image-files")
+    place = fits.images(spark, f"{folder}/*.fits").select("name", F.posexplode("values").alias("at", "value"))
+    return place.select("name", F.floor(F.col("at") / 8).cast("int").alias("y"), (F.col("at") % 8).alias("x"), r6("value").alias("value"))

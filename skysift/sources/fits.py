@@ -259,3 +259,60 @@ def write(rows: DataFrame, folder: str, widths: dict[str, int] | None = None) ->
 
     os.makedirs(folder, exist_ok=True)
     return rows.mapInArrow(run, "file string, rows bigint")
+
+
+def write_images(rows: DataFrame, folder: str) -> DataFrame:
+    """(file, images) of the files written from rows (name string, shape array<int> with the slowest axis first, values array<double>), one a
+    task that has any: an image unit of doubles for each row, named by EXTNAME. A null value is NaN; a row whose values don't fill its
+    shape is an error. A file appears under its name when it is whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, count, f = f"{folder}/{uuid.uuid4().hex}.fits", 0, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                values = np.array([np.nan if v is None else v for v in row["values"]], ">f8")
+                if len(values) != math.prod(row["shape"]):
+                    raise ValueError(f"{row['name']}: {len(values)} values for shape {row['shape']}")
+                if f is None:
+                    f = open(f"{name}.part", "wb")  # noqa: SIM115
+                    f.write(header([("SIMPLE", True), ("BITPIX", 8), ("NAXIS", 0), ("EXTEND", True)]))
+                axes = [(f"NAXIS{n + 1}", s) for n, s in enumerate(reversed(row["shape"]))]
+                data = values.tobytes()
+                f.write(header([("XTENSION", "IMAGE"), ("BITPIX", -64), ("NAXIS", len(axes)), *axes, ("PCOUNT", 0), ("GCOUNT", 1), ("EXTNAME", row["name"])]) + data.ljust(_padded(len(data)), b"\0"))
+                count += 1
+        if f is not None:
+            f.close()
+            os.replace(f"{name}.part", name)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([count], pa.int64())], names=["file", "images"])
+
+    os.makedirs(folder, exist_ok=True)
+    return rows.select("name", "shape", "values").mapInArrow(run, "file string, images bigint")
+
+
+def images(spark: SparkSession, path: str) -> DataFrame:
+    """name, shape and values of the image units of files that match the path (a task a file; one unit is in memory at once). Whole numbers and
+    floats are read, with BSCALE and BZERO; NaN is null, and so is BLANK."""
+    kinds = {8: "u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column("file").to_pylist():
+                with open(file, "rb") as f:
+                    while (head := read_header(f)) is not None:
+                        shape = [int(head[f"NAXIS{n}"]) for n in range(int(head.get("NAXIS", 0)), 0, -1)]
+                        form = np.dtype(kinds[int(head["BITPIX"])])
+                        extra = int(head.get("GCOUNT", 1) or 1) * (int(head.get("PCOUNT", 0) or 0) + math.prod(shape)) * form.itemsize if shape else 0
+                        data = f.read(_padded(extra))
+                        if not shape or head.get("XTENSION", "IMAGE") != "IMAGE":
+                            continue
+                        raw = np.frombuffer(data, form, math.prod(shape))
+                        values = raw.astype(np.float64) * float(head.get("BSCALE", 1)) + float(head.get("BZERO", 0))
+                        gone = np.isnan(values) | (raw == head["BLANK"] if head.get("BLANK") is not None else False)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([str(head.get("EXTNAME", ""))]), pa.array([shape], pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, mask=gone))],
+                            names=["name", "shape", "values"],
+                        )
+
+    files = sorted(glob.glob(path))
+    listed = spark.createDataFrame([(f,) for f in files], "file string")
+    return (listed.repartition(len(files)) if files else listed).mapInArrow(run, "name string, shape array<int>, values array<double>")

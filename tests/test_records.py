@@ -233,3 +233,19 @@ def test_direct_transform_refuses_many_targets(spark):
     many = spark.range(gridding.TARGETS + 1).select(F.col("id").alias("target"), F.lit(0.0).alias("l"), F.lit(0.0).alias("m"))
     with pytest.raises(ValueError, match="targets"):
         gridding.direct_transform(rows, many, ["k"])
+
+
+def test_fits_images(spark, tmp_path):
+    """Images of several shapes in one file, scaled whole numbers with blanks, and tables between them."""
+    rows = [("a", [2, 3], [1.0, None, 3.0, 4.0, 5.0, 6.0]), ("b", [2, 1, 2], [0.5] * 4), ("c", [1], [9.0])]
+    df = spark.createDataFrame(rows, "name string, shape array<int>, values array<double>").coalesce(1)
+    assert [(r.images) for r in fits.write_images(df, str(tmp_path)).collect()] == [3]
+    assert sorted(tuple(r) for r in fits.images(spark, f"{tmp_path}/*.fits").collect()) == rows
+    scaled = fits.header([("SIMPLE", True), ("BITPIX", 16), ("NAXIS", 1), ("NAXIS1", 3), ("BSCALE", 0.5), ("BZERO", 10), ("BLANK", -1)]) + struct.pack(">3h", 2, -1, 4).ljust(2880, b"\0")
+    (tmp_path / "i.fit").write_bytes(scaled)
+    assert fits.images(spark, f"{tmp_path}/*.fit").first()["values"] == [11.0, None, 12.0]
+    fits_file(tmp_path / "t.fts", [{"TTYPE": "k", "TFORM": "K"}], [struct.pack(">q", 1)])
+    assert [r["values"] for r in fits.images(spark, f"{tmp_path}/*.fts").collect()] == [[0, 1, 2, 3, 4, 5]]
+    with pytest.raises(Exception, match="values for shape"):
+        fits.write_images(spark.createDataFrame([("x", [3], [1.0])], df.schema), str(tmp_path / "bad")).collect()
+    assert fits.images(spark, f"{tmp_path}/none*").count() == 0
