@@ -67,7 +67,8 @@ EV = """ev AS (
 
 def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pix, chan, t, value: hourly means less their median over the series, 0 where an hour has no event."""
-    means = events(spark, sf_dir).groupBy("pix", "chan", "t").agg(F.avg("value").alias("v"))
+    # said here, and so on both sides of the join: then one exchange of the means serves both
+    means = events(spark, sf_dir).where("pix is not null and chan is not null and t is not null").groupBy("pix", "chan", "t").agg(F.avg("value").alias("v"))
     middle = means.groupBy("pix", "chan").agg(F.median("v").alias("m"))
     full = middle.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))))
     return full.join(means, ["pix", "chan", "t"], "left").select("pix", "chan", "t", F.coalesce(F.col("v") - F.col("m"), F.lit(0.0)).alias("value"))
