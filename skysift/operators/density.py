@@ -1,4 +1,4 @@
-"""Clusters of varying density: a ladder of radii in place of a continuous one, all its steps as joins."""
+"""Clusters of varying density: a ladder of radii in place of a continuous one, all its steps as joins and sums."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skysift.operators.components import components
+from skysift.operators import reach
 from skysift.stored import materialize
 
 
@@ -16,22 +16,6 @@ def psf_distance(psf: Callable[[list[Column]], Column], offsets: list[Column]) -
     return psf(offsets) * F.sqrt(sum((d * d for d in offsets[1:]), offsets[0] * offsets[0]))
 
 
-def pairs_within(points: DataFrame, axes: list[str], radius: float, metric: Callable[[list[Column]], Column] | None = None) -> DataFrame:
-    """(k, a, b, d) for points (k, id, axes) of one key whose axes differ by the radius at most, each with itself too, and
-    d <= radius. They meet in grid cells. The metric takes the offsets; Euclidean where it is None. It may not be below d
-    for offsets beyond the radius on an axis, as those pairs aren't made."""
-    cells = [f"c{n}" for n in range(len(axes))]
-    cell = {c: F.floor(F.col(a) / (radius * (1 + 1e-9))) for c, a in zip(cells, axes, strict=True)}
-    whole = points.where(" and ".join(f"{a} is not null and not isnan({a})" for a in axes))
-    left = whole.withColumns(cell).select("k", F.col("id").alias("a"), *[F.col(a).alias(f"__{a}") for a in axes], *cells)
-    right = whole.withColumns(cell).withColumnRenamed("id", "b")
-    for c in cells:
-        right = right.withColumn(c, F.explode(F.array(*[F.col(c) + d for d in (-1, 0, 1)])))
-    offsets = [F.col(a) - F.col(f"__{a}") for a in axes]
-    d = metric(offsets) if metric else psf_distance(lambda _: F.lit(1.0), offsets)
-    return left.join(right, ["k", *cells]).withColumn("d", d).where(F.col("d") <= radius).select("k", "a", "b", "d")
-
-
 def nested_clusters(cands: DataFrame, key: str, axes: list[str], id_col: str, radii: list[float], least: int, size: int, metric: Callable[[list[Column]], Column] | None = None) -> DataFrame:
     """cluster (the least id of its members, null: noise) and level of each candidate, within its key.
 
@@ -40,25 +24,18 @@ def nested_clusters(cands: DataFrame, key: str, axes: list[str], id_col: str, ra
     smaller radius lie in one of a larger; with one part only it lives on in that part, with several it ends. Its weight is
     the sum, over the levels that it lives and its members there, of what 1 / radius gains on the level above (the first level: on
     0). It is chosen if it weighs no less than the best choice among its parts. Ids are unique within a key; points with a null or NaN axis are noise.
-    Neighbours within the largest radius are stored as pairs, and one run links all levels.
+    Groups are found as in reach.dense_groups, for all levels in one run; what it asks of the metric holds here.
     """
     if sorted(set(radii), reverse=True) != list(radii):
         raise ValueError("radii must fall")
     names = [f"x{n}" for n in range(len(axes))]
     points = materialize(cands.select(F.col(key).alias("k"), F.col(id_col).alias("id"), *[F.col(a).cast("double").alias(x) for a, x in zip(axes, names, strict=True)]), "points")
-    near = materialize(pairs_within(points, names, radii[0], metric), "near")
-    level = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(float(r)).alias("radius")) for n, r in enumerate(radii)])).alias("s")
-    each = near.select("k", "a", "b", "d", level).where("d <= s.radius").select("k", "a", "b", "s.level")
-    dense = materialize(each.groupBy("k", "level", "a").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("k", "level", "a"), "dense")
-    node = lambda c: F.struct("level", "k", F.col(c).alias("id"))
-    links = each.where("a < b").join(dense, ["k", "level", "a"]).join(dense.withColumnRenamed("a", "b"), ["k", "level", "b"])
-    found = components(links.select(node("a").alias("u"), node("b").alias("v"))).select(F.col("node.level").alias("level"), F.col("node.k").alias("k"), F.col("node.id").alias("a"), F.col("component.id").alias("root"))
-    roots = dense.join(found, ["level", "k", "a"], "left").select("k", "level", F.col("a").alias("id"), F.coalesce("root", "a").alias("root"))
-    large = roots.groupBy("k", "level", "root").agg(F.count("*").alias("n")).where(F.col("n") >= size)
-    member = materialize(roots.join(large.select("k", "level", "root"), ["k", "level", "root"]), "members")
+    roots, _ = reach.dense_groups(reach.positions(points, names), names, radii, least, metric or reach.euclid)
+    large = roots.groupBy("k", "level", "root").agg(F.sum("n").alias("n")).where(F.col("n") >= size)
+    member = materialize(roots.select("k", "level", "id", "root", *names).join(large.select("k", "level", "root"), ["k", "level", "root"]), "members")
     # the tree: a group's parent is the group of one of its members a level up
     up = member.select("k", (F.col("level") + 1).alias("level"), "id", F.col("root").alias("parent"))
-    tree = member.where("id = root").drop("id").join(up.withColumnRenamed("id", "root"), ["k", "level", "root"], "left")
+    tree = member.where("id = root").select("k", "level", "root").join(up.withColumnRenamed("id", "root"), ["k", "level", "root"], "left")
     tree = materialize(tree.join(large, ["k", "level", "root"]).select("k", "level", "root", "parent", "n"), "tree")
     # an only child carries its parent on: the chain has one weight, and is one group
     gain = F.element_at(F.array(*[F.lit(1 / r - (1 / radii[n - 1] if n else 0.0)) for n, r in enumerate(radii)]), F.col("level") + 1)
@@ -80,5 +57,5 @@ def nested_clusters(cands: DataFrame, key: str, axes: list[str], id_col: str, ra
     # of the chosen groups that hold a point, the widest counts
     first = Window.partitionBy("k", "id").orderBy("level")
     picked = member.join(chosen.where("chosen").select("k", "level", "root"), ["k", "level", "root"]).withColumn("n", F.row_number().over(first)).where("n = 1")
-    out = points.select("k", "id").join(picked.select("k", "id", "level", "root"), ["k", "id"], "left")
+    out = points.join(picked.select("k", *names, "level", "root"), ["k", *names], "left")
     return out.select(F.col("k").alias(key), F.col("id").alias(id_col), F.col("root").alias("cluster"), "level")

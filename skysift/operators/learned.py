@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skysift.operators.components import components
+from skysift.operators import reach
 from skysift.stored import materialize
 
 
@@ -42,31 +42,18 @@ def density_labels(points: np.ndarray, radius: float, least: int) -> np.ndarray:
 def cluster(cands: DataFrame, key: str, axes: list[str], id_col: str, radius: float, least: int) -> DataFrame:
     """cluster of each candidate within its gulp, as density_labels numbers them; ids are unique within a gulp.
 
-    Points meet in grid cells a little wider than the radius, so a gulp may have any size; dense cells are left to the
-    split of skewed joins. Neighbours within the radius are stored as pairs: their number grows with the square of what lies in
-    one radius. Points with enough of them link up by connected components; a border point goes to the least cluster that it touches.
-    Points with a null or NaN axis are noise.
+    Groups of dense points are found as in reach.dense_groups, so a gulp may have any size and points may lie as close as they like; a
+    border point goes to the least cluster that it touches. Points with a null or NaN axis are noise.
     """
-    rows = materialize(cands.select(F.col(key).alias("k"), F.col(id_col).alias("id"), *[F.col(a).cast("double").alias(f"x{n}") for n, a in enumerate(axes)]), "points")
-    cells = [f"c{n}" for n in range(len(axes))]
-    whole = rows.where(" and ".join(f"x{n} is not null and not isnan(x{n})" for n in range(len(axes))))
-    a = whole.select("k", F.col("id").alias("a"), *[F.col(f"x{n}").alias(f"y{n}") for n in range(len(axes))], *[F.floor(F.col(f"x{n}") / (radius * (1 + 1e-9))).alias(c) for n, c in enumerate(cells)])
-    b = whole.select("k", F.col("id").alias("b"), *[f"x{n}" for n in range(len(axes))], *[F.floor(F.col(f"x{n}") / (radius * (1 + 1e-9))).alias(c) for n, c in enumerate(cells)])
-    for c in cells:
-        b = b.withColumn(c, F.explode(F.array(*[F.col(c) + d for d in (-1, 0, 1)])))
-    apart = sum(((F.col(f"x{n}") - F.col(f"y{n}")) * (F.col(f"x{n}") - F.col(f"y{n}")) for n in range(1, len(axes))), (F.col("x0") - F.col("y0")) * (F.col("x0") - F.col("y0")))
-    near = materialize(a.join(b, ["k", *cells]).where(apart <= radius * radius).select("k", "a", "b"), "near")
-    core = materialize(near.groupBy("k", "a").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("k", "a"), "core")
-    touch = materialize(near.join(core.withColumnRenamed("a", "b"), ["k", "b"]), "touch")
-    node = lambda c: F.struct("k", F.col(c).alias("id"))
-    found = components(touch.where("a < b").join(core, ["k", "a"]).select(node("a").alias("u"), node("b").alias("v")))
-    roots = core.join(found.select(F.col("node.k").alias("k"), F.col("node.id").alias("a"), F.col("component.id").alias("root")), ["k", "a"], "left").select("k", F.col("a").alias("b"), F.coalesce("root", "a").alias("root"))
-    roots = materialize(roots, "roots")
-    numbers = roots.select("k", "root").distinct().withColumn("cluster", F.row_number().over(Window.partitionBy("k").orderBy("root")) - 1)
-    numbered = roots.join(numbers, ["k", "root"])
-    border = touch.join(core, ["k", "a"], "left_anti").join(numbered, ["k", "b"]).groupBy("k", "a").agg(F.min("cluster").alias("cluster"))
-    labels = numbered.select("k", F.col("b").alias("id"), "cluster").unionByName(border.select("k", F.col("a").alias("id"), "cluster"))
-    out = rows.select("k", "id").join(labels, ["k", "id"], "left")
+    names = [f"x{n}" for n in range(len(axes))]
+    rows = materialize(cands.select(F.col(key).alias("k"), F.col(id_col).alias("id"), *[F.col(a).cast("double").alias(x) for a, x in zip(axes, names, strict=True)]), "points")
+    square = lambda o: sum((d * d for d in o[1:]), o[0] * o[0])
+    dense, sparse = reach.dense_groups(reach.positions(rows, names), names, [radius], least, square, [radius * radius])
+    numbers = dense.select("k", "root").distinct().withColumn("cluster", F.row_number().over(Window.partitionBy("k").orderBy("root")) - 1)
+    numbered = materialize(dense.join(numbers, ["k", "root"]), "numbered")
+    border = sparse.join(reach.touched(sparse, numbered, names, "cluster", square), ["level", "k", "id"])
+    labels = numbered.select("k", *names, "cluster").unionByName(border.select("k", *names, "cluster"))
+    out = rows.join(labels, ["k", *names], "left")
     return materialize(out.select(F.col("k").alias(key), F.col("id").alias(id_col), F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster")), "clusters")
 
 
