@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from skysift.stored import materialize
 
+#: Points of one place that meet its ranked rows in one task.
+SHARE = 4096
+
 
 def _buckets(low: Column, high: Column, width: float) -> Column:
     return F.explode(F.sequence(F.floor(low / width).cast("bigint"), F.floor(high / width).cast("bigint")))
@@ -154,17 +157,43 @@ def cone(points: DataFrame, catalog: DataFrame, radius: float) -> DataFrame:
 
 
 def nearest_on_sky(points: DataFrame, catalog: DataFrame, key: str, order: list[Column], radii: list[float]) -> DataFrame:
-    """Of the catalog, the row nearest each point within the last of the radii, by `order`. Only points without a row within a
-    radius are sought in the next, so that few catalog rows meet each."""
-    out, left = None, points
+    """Of the catalog, the row nearest each point within the last of the radii, by `order`: terms of `sep` alone or of a catalog row alone.
+
+    Places are matched, not rows: of catalog rows at one place the first by `order` stands for all, and each distinct place of the
+    points is sought once. Only places without a row within a radius are sought in the next, so that few catalog rows meet each.
+    """
+    first = lambda rows, *by: rows.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("__n = 1").drop("__n")
+    sources = materialize(first(catalog.withColumn("sep", F.lit(0.0)), "c_ra", "c_dec").drop("sep"), "sources")
+    out, left = None, materialize(points.select("ra", "dec").distinct(), "places")
     for n, radius in enumerate(radii):
-        near = cone(left, catalog, radius)
-        best = near.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__n = 1").drop("__n")
-        best = materialize(best, "nearest")
+        best = materialize(first(cone(left, sources, radius), "ra", "dec"), "nearest")
         out = best if out is None else out.unionByName(best)
         if n + 1 < len(radii):
-            left = left.join(best.select(key), key, "left_anti")
-    return out
+            left = left.join(best.select("ra", "dec"), ["ra", "dec"], "left_anti")
+    found = first(points.join(out, ["ra", "dec"]), key)
+    return found.select(*points.columns, *catalog.columns, "sep")
+
+
+def ranked_cone(points: DataFrame, catalog: DataFrame, radius: float, key: str, order: list[Column], place: str) -> DataFrame:
+    """Catalog rows within radius of points, with `sep` and the place of each in its point's `order`, which is of catalog columns alone.
+
+    Each distinct place of the points is searched and ranked once; then points meet the ranked rows of their place, many
+    points of one place in shares of SHARE, so beyond the searched places the work is that of writing the result.
+    """
+    mine = Window.partitionBy(key)
+    numbered = points.withColumn("__j", F.row_number().over(mine.orderBy("ra", "dec"))).withColumn("__copies", F.count("*").over(mine))
+    spots = materialize(points.groupBy("ra", "dec").agg(F.ceil(F.count("*") / SHARE).alias("__shares")), "places")
+    sources = materialize(catalog.select("c_ra", "c_dec").distinct(), "sources")
+    near = materialize(cone(spots, sources, radius), "near")
+    rank = F.row_number().over(Window.partitionBy("ra", "dec").orderBy(*order))
+    ranked = near.join(catalog, ["c_ra", "c_dec"]).withColumn("__rank", rank)
+    ranked = ranked.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__shares") - 1))).drop("__shares")
+    dealt = numbered.join(spots, ["ra", "dec"]).withColumn("__s", F.pmod(F.xxhash64(key), F.col("__shares"))).drop("__shares")
+    # few points make many rows: a number said here is kept, where one set by the points' bytes would be small
+    count = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = dealt.repartition(count, "ra", "dec", "__s").join(ranked.hint("merge"), ["ra", "dec", "__s"])
+    # rows that repeat a key follow each other at every rank
+    return both.withColumn(place, (F.col("__rank") - 1) * F.col("__copies") + F.col("__j")).select(*points.columns, *catalog.columns, "sep", place)
 
 
 def strip(points: DataFrame, catalog: DataFrame, half: float) -> DataFrame:
