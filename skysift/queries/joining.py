@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skysift.operators import candidates, joins
@@ -76,9 +75,8 @@ def _sky(spark, sf_dir):
 def cone_search(spark, sf_dir):
     """Catalog sources within 4 degrees of each pointing, brightest first."""
     p, c = _sky(spark, sf_dir)
-    found = joins.cone(p, c, 4.0)
-    place = F.row_number().over(Window.partitionBy("c_custkey").orderBy(F.desc("flux"), "s_suppkey"))
-    return found.select("c_custkey", "s_suppkey", r6("sep").alias("sep"), place.cast("bigint").alias("place"))
+    found = joins.ranked_cone(p, c, 4.0, "c_custkey", [F.desc("flux"), F.col("s_suppkey")], "place")
+    return found.select("c_custkey", "s_suppkey", r6("sep").alias("sep"), F.col("place").cast("bigint").alias("place"))
 
 
 @query(f"WITH {_SKY} SELECT c_custkey, count(*) AS n, round(max(flux), 6) + 0 AS best FROM p, c WHERE abs(dec - c_dec) < 1.5 GROUP BY c_custkey")
