@@ -81,8 +81,11 @@ def cone_search(spark, sf_dir):
 
 @query(f"WITH {_SKY} SELECT c_custkey, count(*) AS n, round(max(flux), 6) + 0 AS best FROM p, c WHERE abs(dec - c_dec) < 1.5 GROUP BY c_custkey")
 def dec_strip(spark, sf_dir):
+    """Sources in the strip of declination about each pointing, and the brightest; distinct declinations meet, each with what lies there."""
     p, c = _sky(spark, sf_dir)
-    return joins.strip(p, c, 1.5).groupBy("c_custkey").agg(F.count("*").alias("n"), r6(F.max("flux")).alias("best"))
+    there = c.groupBy("c_dec").agg(F.count("*").alias("n"), F.max("flux").alias("best"))
+    strips = joins.strip(p.select("dec").distinct(), there, 1.5).groupBy("dec").agg(F.sum("n").alias("n"), F.max("best").alias("best"))
+    return p.join(strips, "dec").groupBy("c_custkey").agg(F.sum("n").alias("n"), r6(F.max("best")).alias("best"))
 
 
 @query(f"WITH {_SKY}, s AS (SELECT c_custkey, s_suppkey, {_SEP} AS sep FROM p, c) SELECT c_custkey, s_suppkey, round(sep, 6) + 0 AS sep FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY round(sep, 9), s_suppkey) AS n FROM s WHERE sep < 30) WHERE n = 1")
