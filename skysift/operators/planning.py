@@ -87,29 +87,39 @@ def next_visits(visits: DataFrame, rate: float) -> DataFrame:
     """id and next_id of visits (id, start, length above 0, elevation): the one that can begin first once a visit is over and the dish has
     slewed, at `rate` in elevation a unit of time, to where that one is; the least id at ties. Visits that none can follow have no row.
 
-    Elevations are strips of a survey, a fixed number (STRIPS at most): a visit asks each strip for its first visit in reach.
+    Elevations are strips of a survey, a fixed number (STRIPS at most). A visit asks its own strip first, where no slew is
+    needed; then, of the others, only those that the dish can reach before what it found there begins.
     """
     strips = materialize(visits.select(F.col("elevation").alias("strip")).distinct(), "strips")
     if strips.count() > STRIPS:
         raise ValueError(f"more than {STRIPS} distinct elevations")
-    known = visits.groupBy(F.col("elevation").alias("strip"), "start").agg(F.min("id").alias("first"))
+    known = materialize(visits.where("start is not null and elevation is not null").groupBy(F.col("elevation").alias("strip"), "start").agg(F.min("id").alias("first")), "known")
     ready = F.col("start") + F.col("length") + F.abs(F.col("strip") - F.col("elevation")) / rate
-    asks = visits.join(F.broadcast(strips)).select("id", "strip", ready.alias("ready"))  # STRIPS rows at most
-    found = joins.forward_by(asks, known, "strip", "ready", "start", ["first"]).where("found is not null")
-    return found.groupBy("id").agg(F.min(F.struct("found.at", "found.first")).alias("m")).select("id", F.col("m.first").alias("next_id"))
+    own = visits.select("id", F.col("elevation").alias("strip"), (F.col("start") + F.col("length")).alias("ready"))
+    here = materialize(joins.forward_by(own, known, "strip", "ready", "start", ["first"]).select("id", "strip", "ready", "found.at", "found.first"), "own")
+    away = here.select("id", F.col("strip").alias("elevation"), F.col("ready").alias("start"), F.lit(0.0).alias("length"), "at").join(F.broadcast(strips), ~F.col("strip").eqNullSafe(F.col("elevation")))  # STRIPS rows at most
+    asks = away.select("id", "strip", ready.alias("ready"), "at").where("coalesce(ready <= at, true)").drop("at")
+    found = joins.forward_by(asks, known, "strip", "ready", "start", ["first"]).where("found is not null").select("id", "found.at", "found.first")
+    other = found.groupBy("id").agg(F.min(F.struct("at", "first")).alias("m"))
+    mine = F.when(F.col("at").isNotNull(), F.struct("at", "first"))
+    return here.join(other, "id", "left").select("id", F.least(mine, "m").alias("m")).where("m is not null").groupBy("id").agg(F.min("m").alias("m")).select("id", F.col("m.first").alias("next_id"))
 
 
 def chains(starts: DataFrame, jumps: DataFrame, steps: int) -> DataFrame:
     """(first, step, id): what each start (id) leads to by jumps (id, next_id), itself as step 0, up to `steps` visits in all.
 
-    Each round doubles the steps that are known and the jumps, over stored tables, so it takes the logarithm of the steps.
+    Jumps have one row an id. A visit's path is columns of one row, so a round moves each visit once; each doubles the paths, over
+    stored tables, and the last takes no more than `steps`.
     """
-    known = materialize(starts.select(F.col("id").alias("first"), F.lit(0).alias("step"), "id").distinct(), "chains")
-    jump, reach = materialize(jumps.select("id", F.col("next_id").alias("to")), "jumps"), 1
-    while reach < steps:
-        further = known.where(F.col("step") < steps - reach).join(jump, "id").select("first", (F.col("step") + reach).alias("step"), F.col("to").alias("id"))
-        known = materialize(known.unionByName(further), "chains")
-        reach *= 2
-        if reach < steps:
-            jump = materialize(jump.join(jump.select(F.col("id").alias("to"), F.col("to").alias("beyond")), "to").select("id", F.col("beyond").alias("to")), "jumps")
-    return known
+    step = lambda n: F.col(f"s{n}")
+    known = starts.select("id").distinct()
+    if steps > 1:
+        path, reach = materialize(jumps.select("id", F.col("next_id").alias("s1")), "jumps"), 1
+        while reach + 1 < steps:
+            more = min(reach, steps - 1 - reach)
+            ahead = path.select(F.col("id").alias(f"s{reach}"), *[step(n).alias(f"s{reach + n}") for n in range(1, more + 1)])
+            path = path.join(ahead, f"s{reach}", "left").select("id", *[f"s{n}" for n in range(1, reach + more + 1)])
+            path, reach = materialize(path, "paths"), reach + more
+        known = known.join(path, "id", "left")
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("step"), (step(n) if n else F.col("id")).alias("to")) for n in range(steps)])).alias("s")
+    return known.select(F.col("id").alias("first"), each).where("s.to is not null or s.step = 0").select("first", "s.step", F.col("s.to").alias("id"))

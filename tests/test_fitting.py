@@ -52,3 +52,28 @@ def test_survey_chains(spark):
                     break
                 at = follow[at]
         assert {tuple(x) for x in planning.chains(df.select("id"), jumps, steps).collect()} == want
+
+
+def test_a_visit_asks_few_strips(spark, monkeypatch):
+    """Where strips are full of visits, hardly any but a visit's own is asked; a chain of one start runs on through visits that are no start."""
+    r = random.Random(3)
+    visits = [(n, float(r.randrange(3000)), 5.0, float(r.randrange(12) * 10)) for n in range(3000)]
+    df = spark.createDataFrame(visits, "id bigint, start double, length double, elevation double").repartition(4)
+    asked, real = [], planning.joins.forward_by
+
+    def counted(left, *args):
+        asked.append(left.count())
+        return real(left, *args)
+
+    monkeypatch.setattr(planning.joins, "forward_by", counted)
+    jumps = planning.next_visits(df, 0.05)
+    follow = {x.id: x.next_id for x in jumps.collect()}
+    for i, start, length, elevation in visits[::50]:
+        can = [(s, j) for j, s, _, e in visits if s >= start + length + abs(e - elevation) / 0.05]
+        assert follow.get(i) == (min(can)[1] if can else None)
+    assert sum(asked) < 2 * len(visits)
+    want, at = [], 1
+    while at is not None and len(want) < 12:
+        want.append((1, len(want), at))
+        at = follow.get(at)
+    assert sorted(tuple(x) for x in planning.chains(df.select("id").where("id = 1"), jumps, 12).collect()) == want
