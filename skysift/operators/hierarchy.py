@@ -1,10 +1,13 @@
 """Density clusters from a whole hierarchy: core distances, a minimum spanning tree of mutual reachability, a condensed tree.
 
 No radius is given. Points of a key are packed in blocks along a space-filling order. Whatever needs pairs of points is done for
-pairs of blocks in NumPy, at most BLOCK points each, and only for blocks whose boxes are near enough to matter; no pair of points
-is a row. For each threshold, the forests of all pairs of blocks connect what the complete graph connects, so the
-tree of their stored edges, by Boruvka rounds, has the complete graph's hierarchy. The condensed tree of a key is then
-made from one edge a point: its task holds a key's points in numbers, and a gulp has one candidate a search cell at most.
+pairs of blocks in NumPy, at most BLOCK points each; no pair of points is a row, and a block meets another one only with those of
+its points that are near enough to matter to it. Core distances ask the blocks that a point's own block can't rule out. For the tree,
+neighbouring blocks of the order and points near a foreign block are linked first; those links bound how long an
+edge of the tree between two points can be at most, and each point asks the foreign blocks within its bound only. At each threshold
+the edges found connect what the complete graph connects, so the tree of them, by Boruvka rounds, has the complete graph's hierarchy.
+The bounds and the condensed tree of a key are made from a few edges a point: that task holds a key's points in numbers, and a gulp
+has one candidate a search cell at most.
 
 Defined: points with a null or NaN axis are noise, and so is a key's only point; merges at equal distance are one merge; distances
 below LEAST count as LEAST; ids are unique within a key.
@@ -25,8 +28,9 @@ from pyspark.sql import functions as F
 from skysift.operators.components import components
 from skysift.stored import materialize
 
-#: Points of a block, bits of an axis in the order, and the distance that closer points count as.
-BLOCK, BITS, LEAST = 2048, 10, 1e-9
+#: Points of a block, bits of an axis in the order, the distance that closer points count as, and the core distances within which
+#: points are linked first.
+BLOCK, BITS, LEAST, FIRST = 2048, 10, 1e-9, 3.0
 Metric = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -115,6 +119,37 @@ def _nearest(metric: Metric, x: np.ndarray, y: np.ndarray, count: int, same: boo
     return out
 
 
+def _away(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The least distance of each point to a box, a little less for rounding."""
+    return np.sqrt((np.maximum(0.0, np.maximum(lo - x, x - hi)) ** 2).sum(1)) * (1 - 1e-9)
+
+
+def _asked(own: DataFrame, wanted: DataFrame, packed: DataFrame, shrink: float) -> DataFrame:
+    """k, i, j, some: the points of block i that block j may matter to (pickled places in i, and their greatest bound).
+
+    own: k, i, points, bound (a distance for each point). wanted: k, i, j, the box of j (lo, hi) and pair, a bound of the pair; the greater
+    bound counts.
+    """
+    kind = packed.schema["k"].dataType.simpleString()
+    others = wanted.groupBy("k", "i").agg(F.collect_list(F.struct("j", "lo", "hi", "pair")).alias("others"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for k, i, points, bound, near in zip(rows["k"], rows["i"], rows["points"], rows["bound"], rows["others"], strict=True):
+                x, bound = pickle.loads(points)[1], np.asarray(bound, float)
+                out = []
+                for other in near:
+                    within = np.maximum(bound, other["pair"])
+                    at = np.flatnonzero(_away(x, np.asarray(other["lo"], float), np.asarray(other["hi"], float)) * shrink <= within)
+                    if len(at):
+                        out.append((other["j"], pickle.dumps((at, float(within[at].max())))))
+                if out:
+                    yield pd.DataFrame({"k": _of_key([k] * len(out)), "i": [i] * len(out), "j": [j for j, _ in out], "some": [s for _, s in out]})
+
+    with _single_rows(packed.sparkSession):
+        return materialize(own.join(others, ["k", "i"]).mapInPandas(run, f"k {kind}, i bigint, j bigint, some binary"), "asked")
+
+
 def core_distances(packed: DataFrame, axes: int, neighbours: int, metric: Metric, shrink: float) -> DataFrame:
     """k, block, core: for each point of a block the distance to its `neighbours`-th nearest other point of the key (the
     farthest, where there are fewer)."""
@@ -124,31 +159,38 @@ def core_distances(packed: DataFrame, axes: int, neighbours: int, metric: Metric
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             near = [_nearest(metric, x, x, neighbours, True) for _, x in map(pickle.loads, rows["points"])]
-            yield pd.DataFrame({"k": _of_key(rows["k"].tolist()), "block": rows["block"], "near": [d.ravel() for d in near], "reach": [float(d[:, -1].max()) for d in near]})
+            yield pd.DataFrame({"k": _of_key(rows["k"].tolist()), "block": rows["block"], "near": [d.ravel() for d in near], "bound": [d[:, -1] for d in near], "reach": [float(d[:, -1].max()) for d in near]})
 
     with _single_rows(spark):
-        first = materialize(packed.mapInPandas(own, f"k {kind}, block bigint, near array<double>, reach double"), "near")
+        first = materialize(packed.mapInPandas(own, f"k {kind}, block bigint, near array<double>, bound array<double>, reach double"), "near")
     boxes = packed.select("k", "block", "lo", "hi").join(first.select("k", "block", "reach"), ["k", "block"])
     side = lambda name: boxes.select("k", F.struct("block", "lo", "hi", "reach").alias(name))
-    wanted = side("a").join(side("b"), "k").where((F.col("a.block") < F.col("b.block")) & (_gap("a", "b", axes) * shrink <= F.greatest("a.reach", "b.reach")))
-    both = _with_points(wanted.select("k", F.col("a.block").alias("i"), F.col("b.block").alias("j")), packed, ["points"])
+    wanted = side("a").join(side("b"), "k").where((F.col("a.block") != F.col("b.block")) & (_gap("a", "b", axes) * shrink * (1 - 1e-9) <= F.col("a.reach")))
+    wanted = wanted.select("k", F.col("a.block").alias("i"), F.col("b.block").alias("j"), "b.lo", "b.hi", F.lit(0.0).alias("pair"))
+    mine = packed.select("k", F.col("block").alias("i"), "points").join(first.select("k", F.col("block").alias("i"), "bound"), ["k", "i"])
+    both = _with_points(_asked(mine, wanted, packed, shrink), packed, ["points"])
 
     def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for k, i, j, a, b in zip(rows["k"], rows["i"], rows["j"], rows["points_i"], rows["points_j"], strict=True):
-                x, y = pickle.loads(a)[1], pickle.loads(b)[1]
-                yield pd.DataFrame({"k": _of_key([k, k]), "block": [i, j], "near": [_nearest(metric, x, y, neighbours, False).ravel(), _nearest(metric, y, x, neighbours, False).ravel()]})
+            for k, i, some, a, b in zip(rows["k"], rows["i"], rows["some"], rows["points_i"], rows["points_j"], strict=True):
+                at = pickle.loads(some)[0]
+                yield pd.DataFrame({"k": _of_key([k]), "block": [i], "near": [_nearest(metric, pickle.loads(a)[1][at], pickle.loads(b)[1], neighbours, False).ravel()], "at": [at]})
 
     with _single_rows(spark):
-        second = materialize(both.mapInPandas(across, f"k {kind}, block bigint, near array<double>"), "near")
+        second = materialize(both.mapInPandas(across, f"k {kind}, block bigint, near array<double>, at array<bigint>"), "near")
 
     def merged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        d = np.sort(np.concatenate([np.asarray(r, float).reshape(-1, neighbours) for r in rows["near"]], axis=1), axis=1)[:, :neighbours]
+        d = next(np.array(r, float).reshape(-1, neighbours) for r, at in zip(rows["near"], rows["at"], strict=True) if at is None)
+        for r, at in zip(rows["near"], rows["at"], strict=True):
+            if at is not None:
+                at = np.asarray(at, np.int64)
+                d[at] = np.sort(np.concatenate([d[at], np.asarray(r, float).reshape(-1, neighbours)], axis=1), axis=1)[:, :neighbours]
         known = np.isfinite(d).sum(1)
         core = np.where(known > 0, d[np.arange(len(d)), np.maximum(known, 1) - 1], np.inf)
         return pd.DataFrame({"k": _of_key([key[0]]), "block": [key[1]], "core": [core], "least": [float(core.min())]})
 
-    return first.drop("reach").unionByName(second).groupBy("k", "block").applyInPandas(merged, f"k {kind}, block bigint, core array<double>, least double")
+    whole = first.select("k", "block", "near", F.lit(None).cast("array<bigint>").alias("at"))
+    return whole.unionByName(second).groupBy("k", "block").applyInPandas(merged, f"k {kind}, block bigint, core array<double>, least double")
 
 
 def _with_points(pairs: DataFrame, packed: DataFrame, columns: list[str]) -> DataFrame:
@@ -214,20 +256,109 @@ def boruvka(edges: DataFrame) -> DataFrame:
     return tree if tree is not None else edges
 
 
+def _across(asked: DataFrame, packed: DataFrame, metric: Metric, shrink: float) -> DataFrame:
+    """Edges (k, a, b, w) between two blocks, of the tree of the points of i that ask block j and of those of j within their bound."""
+    kind = packed.schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for r in rows.itertuples(index=False):
+                at, bound = pickle.loads(r.some)
+                (ids, x), (more, y) = pickle.loads(r.points_i), pickle.loads(r.points_j)
+                ids, x, core = ids[at], x[at], np.asarray(r.core_i, float)[at]
+                near = _away(y, x.min(0), x.max(0)) * shrink <= bound
+                if near.any():
+                    a, b, w = spanning_tree(np.concatenate([x, y[near]]), np.concatenate([core, np.asarray(r.core_j, float)[near]]), metric)
+                    two, ids = (a < len(at)) != (b < len(at)), np.concatenate([ids, more[near]])
+                    yield pd.DataFrame({"k": _of_key([r.k] * int(two.sum())), "a": ids[a[two]], "b": ids[b[two]], "w": w[two]})
+
+    with _single_rows(packed.sparkSession):
+        return materialize(_with_points(asked, packed, ["points", "core"]).mapInPandas(run, f"k {kind}, a bigint, b bigint, w double"), "across")
+
+
+class Bottlenecks:
+    """Of a forest of edges the longest edge on the best path between two points (numbers below n); infinite without a path."""
+
+    def __init__(self, n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray):
+        # unions by size and without short cuts: a way up has log2(n) steps at most, each joined later than the one before
+        up, count, joined, weights = list(range(n)), [1] * n, [n] * n, []
+        for e in np.argsort(weight, kind="stable").tolist():
+            u, v = int(a[e]), int(b[e])
+            while up[u] != u:
+                u = up[u]
+            while up[v] != v:
+                v = up[v]
+            if u != v:
+                if count[u] < count[v]:
+                    u, v = v, u
+                up[v], joined[v] = u, len(weights)
+                count[u] += count[v]
+                weights.append(float(weight[e]))
+        self.up, self.joined = np.array(up, np.int64), np.array(joined, np.int64)
+        self.weights = np.full(n + 1, np.inf)
+        self.weights[: len(weights)] = weights
+
+    def between(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        u, v = np.broadcast_arrays(u, v)
+        u, v, last = u.copy(), v.copy(), np.full(u.shape, -1)
+        while len(apart := np.flatnonzero((u != v) & (last < len(self.up)))):
+            first = self.joined[u[apart]] <= self.joined[v[apart]]
+            last[apart] = np.where(first, self.joined[u[apart]], self.joined[v[apart]])
+            u[apart], v[apart] = np.where(first, self.up[u[apart]], u[apart]), np.where(first, v[apart], self.up[v[apart]])
+        return np.where(last < 0, 0.0, self.weights[last])
+
+
+def _bounds(edges: DataFrame, packed: DataFrame, shrink: float) -> DataFrame:
+    """k, i, bound, others (j, lo, hi, pair): no edge of the tree between a point of i and one of j is longer than the greatest of the
+    pair's bound and those of both points, by the paths along the edges.
+
+    Each block has a point that stands for it; a point's bound is that of its path to it, a pair's that of the path between both.
+    """
+    kind = packed.schema["k"].dataType.simpleString()
+
+    def of_key(key: tuple, links: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        each = [pickle.loads(p)[0] for p in held["points"]]
+        ids = np.concatenate(each)
+        order = np.argsort(ids)
+        number = lambda c: order[np.searchsorted(ids, links[c].to_numpy(np.int64), sorter=order)]
+        paths = Bottlenecks(len(ids), number("a"), number("b"), links["w"].to_numpy(float))
+        ends = np.cumsum([len(p) for p in each])
+        spans = [np.arange(e - len(p), e) for p, e in zip(each, ends, strict=True)]
+        stands = np.array([s[paths.joined[s].argmax()] for s in spans])
+        lo, hi = np.stack(held["lo"].tolist()), np.stack(held["hi"].tolist())
+        names, least = held["block"].to_numpy(), held["least"].to_numpy(float)
+        out = []
+        for n, span in enumerate(spans):
+            bound, pair = paths.between(span, stands[n]), paths.between(stands, stands[n])
+            gap = np.sqrt((np.maximum(0.0, np.maximum(lo - hi[n], lo[n] - hi)) ** 2).sum(1)) * (1 - 1e-9)
+            near = np.flatnonzero((np.maximum(gap * shrink, np.maximum(least, least[n])) <= np.maximum(pair, bound.max())) & (np.arange(len(names)) != n))
+            out.append((key[0], int(names[n]), bound, names[near], lo[near].ravel(), hi[near].ravel(), pair[near]))
+        return pd.DataFrame({"k": _of_key([r[0] for r in out]), **{c: [r[m] for r in out] for m, c in enumerate(("i", "bound", "j", "lo", "hi", "pair"), 1)}})
+
+    boxes = packed.select("k", "block", "lo", "hi", "least", "points")
+    found = edges.groupBy("k").cogroup(boxes.groupBy("k")).applyInPandas(of_key, f"k {kind}, i bigint, bound array<double>, j array<bigint>, lo array<double>, hi array<double>, pair array<double>")
+    return materialize(found, "bounds")
+
+
 def reachability_tree(packed: DataFrame, axes: int, metric: Metric, shrink: float) -> DataFrame:
     """Edges (k, a, b, w) of a minimum spanning tree of each key. packed: blocks with core distances and the least of them."""
     order = Window.partitionBy("k").orderBy("block")  # one row a block
     chain = materialize(packed.select("k", F.col("block").alias("i"), F.lead("block").over(order).alias("j"), F.count("*").over(Window.partitionBy("k")).alias("blocks")), "chain")
     alone = _forest(chain.where("blocks = 1").select("k", "i", F.col("i").alias("j")), packed, metric)
-    linked = chain.where("j is not null").select("k", "i", "j")
-    first = _forest(linked, packed, metric)
-    # the chain's edges span the key, so no edge of the tree is longer than their longest
-    longest = first.groupBy("k").agg(F.max("w").alias("longest"))
-    side = lambda name: packed.select("k", F.struct("block", "lo", "hi", "least").alias(name))
-    near = F.greatest(_gap("a", "b", axes) * shrink, F.col("a.least"), F.col("b.least")) <= F.col("longest")
-    rest = side("a").join(side("b"), "k").where("a.block < b.block").join(longest, "k").where(near).select("k", F.col("a.block").alias("i"), F.col("b.block").alias("j"))
-    second = _forest(rest.join(linked, ["k", "i", "j"], "left_anti"), packed, metric)
-    return alone.unionByName(boruvka(first.unionByName(second)))
+    first = _forest(chain.where("j is not null").select("k", "i", "j"), packed, metric)
+    # links of points near a foreign block, so that paths don't have to follow the order of blocks
+    own = packed.select("k", F.col("block").alias("i"), "points", F.transform("core", lambda c: c * FIRST).alias("bound"))
+    side = lambda name: packed.select("k", F.struct("block", "lo", "hi", (F.array_max("core") * FIRST).alias("reach")).alias(name))
+    close = side("a").join(side("b"), "k").where((F.col("a.block") != F.col("b.block")) & (_gap("a", "b", axes) * shrink * (1 - 1e-9) <= F.col("a.reach")))
+    close = close.select("k", F.col("a.block").alias("i"), F.col("b.block").alias("j"), "b.lo", "b.hi", F.lit(0.0).alias("pair"))
+    edges = first.unionByName(_across(_asked(own, close, packed, shrink), packed, metric, shrink))
+    # each point asks what its paths so far don't rule out
+    several = packed.join(chain.where("blocks > 1").select("k").distinct(), "k", "left_semi")
+    bounds = _bounds(edges, several, shrink)
+    own = packed.select("k", F.col("block").alias("i"), "points").join(bounds.select("k", "i", "bound"), ["k", "i"])
+    parts = lambda c: F.slice(c, F.col("n") * axes + 1, axes).alias(c)
+    left = bounds.select("k", "i", "lo", "hi", "pair", F.posexplode("j").alias("n", "j")).select("k", "i", "j", parts("lo"), parts("hi"), F.get("pair", F.col("n")).alias("pair"))
+    return alone.unionByName(boruvka(edges.unionByName(_across(_asked(own, left, packed, shrink), packed, metric, shrink))))
 
 
 def condensed(ids_a: np.ndarray, ids_b: np.ndarray, weight: np.ndarray, size: int, whole: bool = False) -> dict[int, tuple[int, float]]:

@@ -103,3 +103,23 @@ def test_rounds_end_when_one_finds_nothing(spark):
     assert len(out) == len(rows)
     by_round = {n: {(r.cluster) for r in out if r.round == n} for n in (0, 1)}
     assert by_round[0] == {0, 20} and by_round[1] == {40, 44}
+
+
+def test_distances_grow_with_the_points(spark, tmp_path, monkeypatch):
+    """Twice the points of a lump with thin edges: the distances that are made don't grow with their square."""
+    monkeypatch.setattr(hierarchy, "boruvka", lambda edges: edges)
+    made = []
+    for n in (3000, 6000):
+        file = str(tmp_path / str(n))
+
+        def metric(p, others, file=file):
+            with open(file, "a") as f:
+                f.write(f"{len(others)}\n")
+            return hierarchy.euclid(p, others)
+
+        x = np.random.default_rng(2).normal(0, 1, (n, 2))
+        frame = spark.createDataFrame([("a", i, float(p), float(q), 0.0) for i, (p, q) in enumerate(x)], POINTS)
+        _, packed = hierarchy._cored(frame, "k", ["x", "y"], "id", 2, metric, 1.0, 64)
+        hierarchy.reachability_tree(packed, 2, metric, 1.0).count()
+        made.append(np.loadtxt(file).sum())
+    assert made[1] < 2.6 * made[0]
