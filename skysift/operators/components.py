@@ -11,19 +11,19 @@ from skysift.stored import materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    return down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    return down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """links (u, v) to (node, component): the least node that each linked node reaches, itself aside.
 
-    Each round is a stored table, so lost executors repeat one round at most.
+    Each round is a stored table, so lost executors repeat one round at most. Its joins hold a row for each node, so neither side is broadcast.
     """
     sign = lambda t: t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     edges, before = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links"), None

@@ -6,6 +6,8 @@ that of least id as its hub. Only positions of poorer cells count their neighbou
 first; then positions meet only across cells that hold different groups, so nothing is compared inside a group.
 Pairs that are looked at stay within a join and are summed or made distinct there. Two groups that lie side by side without a link
 are still compared position by position where their cells touch.
+
+No side of a join is broadcast: each may hold a row for each position, and a broadcast is built on the driver.
 """
 
 from __future__ import annotations
@@ -64,14 +66,13 @@ def dense_groups(places: DataFrame, axes: list[str], radii: list[float], least:
     met = lambda keys: [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys]
 
     held = rows.groupBy(*at, *fine).agg(F.sum("n").alias("held"))
-    rows = materialize(rows.join(held, [*at, *fine]), "held")
-    # stored sizes say little of what is dealt to all cells around: such a side is never broadcast
+    rows = materialize(rows.join(held.hint("merge"), [*at, *fine]), "held")
     poor = _around(rows.where(F.col("held") < least).select(*here), cells).hint("merge")
     near = poor.alias("a").join(rows.alias("b"), met([*at, *cells])).where(within)
     found = materialize(near.groupBy("a.level", "a.k", "a.id").agg(F.sum("b.n").alias("near")).where(F.col("near") >= least).select(*at, "id"), "found")
-    dense = rows.where(F.col("held") >= least).select(*here).unionByName(rows.where(F.col("held") < least).join(found, [*at, "id"], "left_semi").select(*here))
+    dense = rows.where(F.col("held") >= least).select(*here).unionByName(rows.where(F.col("held") < least).join(found.hint("merge"), [*at, "id"], "left_semi").select(*here))
     dense = materialize(dense, "dense")
-    sparse = rows.where(F.col("held") < least).join(found, [*at, "id"], "left_anti").select(*here)
+    sparse = rows.where(F.col("held") < least).join(found.hint("merge"), [*at, "id"], "left_anti").select(*here)
 
     hubs = dense.groupBy(*at, *fine).agg(F.min(F.struct("id", "bound", *axes, *cells)).alias("h")).select(*at, *fine, "h.*")
     hubs = materialize(hubs, "hubs")
@@ -79,8 +80,8 @@ def dense_groups(places: DataFrame, axes: list[str], radii: list[float], least:
     links = _around(hubs, cells).hint("merge").alias("a").join(hubs.alias("b"), met([*at, *cells])).where(F.col("a.id") < F.col("b.id")).where(within)
     linked = lambda f: f.select(F.col("node.level").alias("level"), F.col("node.k").alias("k"), F.col("node.id").alias("id"), F.col("component.id").alias("root"))
     first = linked(components(links.select(node("a.id").alias("u"), node("b.id").alias("v"))))
-    group = hubs.join(first, [*at, "id"], "left").select(*at, *fine, F.coalesce("root", "id").alias("root"))
-    member = materialize(dense.join(group, [*at, *fine]), "grouped")
+    group = hubs.join(first.hint("merge"), [*at, "id"], "left").select(*at, *fine, F.coalesce("root", "id").alias("root"))
+    member = materialize(dense.join(group.hint("merge"), [*at, *fine]), "grouped")
 
     # cells around that hold another group
     parts = materialize(member.select(*at, *cells, "root").distinct(), "parts")
@@ -89,12 +90,12 @@ def dense_groups(places: DataFrame, axes: list[str], radii: list[float], least:
     live = _around(moved, to).hint("merge").alias("a").join(parts.alias("b"), [*met(at), *[F.col(f"a.{t}") == F.col(f"b.{c}") for t, c in zip(to, cells, strict=True)]])
     live = materialize(live.where("a.root < b.root").select(*[F.col(f"a.{c}").alias(c) for c in (*at, *cells, *to, "root")], F.col("b.root").alias("other")), "live")
     small = member.select(*at, *cells, "root", "bound", *axes)
-    ask = small.join(live, [*at, *cells, "root"]).hint("merge")
+    ask = small.join(live.hint("merge"), [*at, *cells, "root"]).hint("merge")
     across = ask.alias("a").join(small.alias("b"), [*met(at), *[F.col(f"a.{t}") == F.col(f"b.{c}") for t, c in zip(to, cells, strict=True)], F.col("a.other") == F.col("b.root")]).where(within)
     more = materialize(across.select(node("a.root").alias("u"), node("b.root").alias("v")).distinct(), "across")
     if not more.isEmpty():
         second = linked(components(more)).select(*at, F.col("id").alias("root"), F.col("root").alias("wider"))
-        member = member.join(second, [*at, "root"], "left").withColumn("root", F.coalesce("wider", "root")).drop("wider")
+        member = member.join(second.hint("merge"), [*at, "root"], "left").withColumn("root", F.coalesce("wider", "root")).drop("wider")
         member = materialize(member, "grouped")
     return member.select(*here, "root"), sparse
 

@@ -57,6 +57,25 @@ def test_nested_over_copies(spark, stored):
     assert max(n for _, n in stored) <= 2 * 2 * len(x)
 
 
+def broadcasts(spark, query):
+    """How many plans of what the query ran built a table on the driver."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    first = store.executionsCount()
+    query()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = store.executionsList()
+    plans = [runs.apply(n).physicalPlanDescription() for n in range(runs.size())][first:]
+    assert plans
+    return sum("BroadcastExchange" in p for p in plans)
+
+
+def test_nested_clusters_broadcast_nothing(spark):
+    """Groups, positions and links may be as many as the points: none of them passes through the driver."""
+    frame, _ = points(spark)
+    assert broadcasts(spark, lambda: density.nested_clusters(frame, "g", ["p", "q"], "id", [0.1, 0.05], 4, 5).collect()) == 0
+
+
 def test_groups_under_a_metric_equal_all_pairs(spark):
     """A metric above the Euclidean one: dense positions and their groups at two radii."""
     frame, x = points(spark)
