@@ -50,10 +50,10 @@ def cluster(cands: DataFrame, key: str, axes: list[str], id_col: str, radius: fl
     square = lambda o: sum((d * d for d in o[1:]), o[0] * o[0])
     dense, sparse = reach.dense_groups(reach.positions(rows, names), names, [radius], least, square, [radius * radius])
     numbers = dense.select("k", "root").distinct().withColumn("cluster", F.row_number().over(Window.partitionBy("k").orderBy("root")) - 1)
-    numbered = materialize(dense.join(numbers, ["k", "root"]), "numbered")
-    border = sparse.join(reach.touched(sparse, numbered, names, "cluster", square), ["level", "k", "id"])
+    numbered = materialize(dense.join(numbers.hint("merge"), ["k", "root"]), "numbered")
+    border = sparse.join(reach.touched(sparse, numbered, names, "cluster", square).hint("merge"), ["level", "k", "id"])
     labels = numbered.select("k", *names, "cluster").unionByName(border.select("k", *names, "cluster"))
-    out = rows.join(labels, ["k", *names], "left")
+    out = rows.join(labels.hint("merge"), ["k", *names], "left")
     return materialize(out.select(F.col("k").alias(key), F.col("id").alias(id_col), F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster")), "clusters")
 
 
@@ -64,7 +64,7 @@ def iterate_clusters(cands: DataFrame, key: str, axes: list[str], id_col: str, r
         got = cluster(left, key, axes, id_col, radius, max(least // (r + 1), 2)).withColumn("round", F.lit(r))
         found = got.where("cluster >= 0")
         out = found if out is None else out.unionByName(found)
-        left = left.join(got.where("cluster < 0").select(key, id_col), [key, id_col], "left_semi")
+        left = left.join(got.where("cluster < 0").select(key, id_col).hint("merge"), [key, id_col], "left_semi")
     return out.unionByName(left.select(key, id_col, F.lit(-1).alias("cluster"), F.lit(-1).alias("round")))
 
 

@@ -76,6 +76,11 @@ def test_nested_clusters_broadcast_nothing(spark):
     assert broadcasts(spark, lambda: density.nested_clusters(frame, "g", ["p", "q"], "id", [0.1, 0.05], 4, 5).collect()) == 0
 
 
+def test_rounds_broadcast_nothing(spark):
+    frame, _ = points(spark)
+    assert broadcasts(spark, lambda: learned.iterate_clusters(frame, "g", ["p", "q"], "id", 0.1, 6, 2).collect()) == 0
+
+
 def test_groups_under_a_metric_equal_all_pairs(spark):
     """A metric above the Euclidean one: dense positions and their groups at two radii."""
     frame, x = points(spark)
