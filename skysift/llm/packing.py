@@ -53,6 +53,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
                     start, stop, nth = stop, stop + capacity, nth + 1
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            batch = texts = None
+        encoder.forget()
 
     short_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)

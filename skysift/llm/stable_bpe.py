@@ -11,6 +11,8 @@ is_plain) has no such cuts that are known; its texts go to the library whole.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import json
 import os
@@ -110,6 +112,12 @@ class WordEncoder:
         get = self.memo.__getitem__
         return [list(map(get, c)) for c in cut]
 
+    def forget(self) -> None:
+        """Drop the memo and give its memory back to the system: a Python worker lives on after its task, and then other stages count it."""
+        self.memo.clear()
+        with contextlib.suppress(OSError, AttributeError):  # no such call in other C libraries
+            ctypes.CDLL(None).malloc_trim(0)
+
     def learn(self, missing: list[str]) -> None:
         coder, special, widths = fast_coder(self.path)
         strung, apart = [], []

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skysift import stored
-from skysift.llm import boosting, compression_classifier, components, packing, parity_join, payload_chunks, pii, quality_rules, shingles, slots, support, token_counts, url_rules
+from skysift.llm import boosting, compression_classifier, components, packing, parity_join, payload_chunks, pii, quality_rules, shingles, slots, stable_bpe, support, token_counts, url_rules
 from skysift.llm.queries import URL_RULES, tokenizer_file
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -65,6 +65,17 @@ def test_empty_tables(spark, docs):
 # packing
 
 
+def test_packing_leaves_no_memo_in_workers(spark, docs):
+    path = tokenizer_file("byte_bpe_50k.json")
+    assert packing.pieces(docs, path).count()
+
+    def left(batches):
+        for batch in batches:
+            yield batch.assign(id=len(stable_bpe.word_encoder(path, "ids").memo))
+
+    assert spark.range(8).repartition(8).mapInPandas(left, "id long").agg({"id": "max"}).first()[0] == 0
+
+
 def test_packing(docs, texts):
     from tokenizers import Tokenizer
 
