@@ -212,10 +212,18 @@ def _hub_pairs(members: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
     return best.groupBy("u").agg(F.max(F.struct("close", "v")).alias("b")).select("u", F.col("b.v").alias("v"))
 
 
-def _close_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of one block whose components differ and whose sizes and sketches allow a link."""
-    a, b = members.alias("a"), members.alias("b")
-    met = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b"))
+def _gathered(members: DataFrame) -> DataFrame:
+    """lead and the nodes that meet there, each once: members of blocks that several components share, by the first node of the block
+    in an order that all blocks have. Texts that are alike share many blocks but few first nodes."""
+    live = members.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node").alias("o"), "node")).alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    live = live.where("lo < hi").select("sig", F.col("first.node").alias("lead"))
+    return members.join(live, "sig").select("lead", "node", "component", "n", *_SKETCH).distinct()
+
+
+def _close_pairs(gathered: DataFrame) -> DataFrame:
+    """Pairs that meet, whose components differ and whose sizes and sketches allow a link; all pairs of one block are among them."""
+    a, b = gathered.alias("a"), gathered.alias("b")
+    met = a.join(b, (F.col("a.lead") == F.col("b.lead")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b"))
     return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
 
@@ -264,8 +272,7 @@ def jaccard_components(docs: DataFrame, hub_rounds: int = HUB_ROUNDS) -> DataFra
         if turn < hub_rounds:
             pairs = _hub_pairs(grouped, nodes, turn)
         else:
-            live = grouped.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig")
-            pairs = _close_pairs(materialize(grouped.join(live, "sig", "left_semi"), "unsettled"))
+            pairs = _close_pairs(materialize(_gathered(grouped), "unsettled"))
         new = materialize(verified(pairs, sets), "verified")
         if new.isEmpty():
             continue

@@ -223,6 +223,31 @@ def test_unrelated_sets_make_no_pairs(spark):
     assert rows.groupBy("sig").count().agg(F.sum(F.expr("count * (count - 1) div 2")).alias("pairs")).first().pairs < 20_000
 
 
+def test_texts_that_share_many_blocks_meet_seldom(spark, monkeypatch):
+    """Versions of a long text that are just too different to link: they meet a few times each, not once for each block they share."""
+    r = random.Random(31)
+    base = [f"w{r.randrange(10**6)}" for _ in range(1500)]
+    rows = []
+    for _ in range(30):
+        words = list(base)
+        for n in r.sample(range(len(words)), 28):
+            words[n] = f"e{r.randrange(10**6)}"
+        rows.append(" ".join(words))
+    rows += [" ".join([*rows[n].split(), "end"]) for n in (3, 17)]
+    met = []
+    close = parity_join._close_pairs
+
+    def kept(frame):
+        key = "lead" if "lead" in frame.columns else "sig"
+        met.append(frame.groupBy(key).count().agg(F.sum(F.expr("count * count"))).first()[0])
+        return close(frame)
+
+    monkeypatch.setattr(parity_join, "_close_pairs", kept)
+    got = parity_join.jaccard_components(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    assert {x.doc_id: x.component_id for x in got} == plain_components({n: plain_shingles(t) for n, t in enumerate(rows)})
+    assert met[0] < 10 * len(rows) ** 2, met
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_jaccard_at_the_threshold(spark, seed):
     """Sets of every small size, and edits around the threshold, lose no link."""
