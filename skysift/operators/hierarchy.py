@@ -5,7 +5,7 @@ pairs of blocks in NumPy, at most BLOCK points each; no pair of points is a row,
 its points that are near enough to matter to it. Core distances ask the blocks that a point's own block can't rule out. For the tree,
 neighbouring blocks of the order and points near a foreign block are linked first; those links bound how long an
 edge of the tree between two points can be at most, and each point asks the foreign blocks within its bound only. At each threshold
-the edges found connect what the complete graph connects, so the tree of them, by Boruvka rounds, has the complete graph's hierarchy.
+the edges found connect what the complete graph connects, so the tree of them, by Boruvka rounds within tasks, has the complete graph's hierarchy.
 The bounds and the condensed tree of a key are made from a few edges a point: that task holds a key's points in numbers, and a gulp
 has one candidate a search cell at most.
 
@@ -25,12 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skysift.operators.components import components
 from skysift.stored import materialize
 
-#: Points of a block, bits of an axis in the order, the distance that closer points count as, and the core distances within which
-#: points are linked first.
-BLOCK, BITS, LEAST, FIRST = 2048, 10, 1e-9, 3.0
+#: Points of a block, bits of an axis in the order, the distance that closer points count as, the core distances within which
+#: points are linked first, and the edges of a key that a task gathers before it leaves out those of no tree.
+BLOCK, BITS, LEAST, FIRST, EDGES = 2048, 10, 1e-9, 3.0, 1 << 16
 Metric = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -233,27 +232,59 @@ def _forest(pairs: DataFrame, packed: DataFrame, metric: Metric) -> DataFrame:
         return materialize(_with_points(pairs, packed, ["points", "core"]).mapInPandas(run, f"k {kind}, a bigint, b bigint, w double"), "forest")
 
 
-def boruvka(edges: DataFrame) -> DataFrame:
-    """A minimum spanning forest of edges (k, a, b, w): each round stores the least edge of every part, joins the parts along them,
-    and keeps of the edges between two parts the least one."""
-    best = lambda: F.min(F.struct("w", "a", "b")).alias("e")
-    left = edges.select("k", F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "w")
-    left = materialize(left.where("u < v").groupBy("k", "u", "v").agg(best()), "between")
-    tree: DataFrame | None = None
+def least_edges(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Places of the edges of a minimum spanning forest: in each round the least edge (by weight and ends) of every part, by which parts join."""
+    order = np.lexsort((np.maximum(a, b), np.minimum(a, b), weight))
+    ids, index = np.unique(np.concatenate([a[order], b[order]]), return_inverse=True)
+    u, v = index[: len(order)], index[len(order) :]
+    label, kept, left = np.arange(len(ids)), np.zeros(len(order), bool), np.arange(len(order))
     while True:
-        ends = left.select("k", "u", "v", "e").unionByName(left.select("k", F.col("v").alias("u"), F.col("u").alias("v"), "e"))
-        least = materialize(ends.groupBy("k", "u").agg(F.min(F.struct("e", "v")).alias("m")).select("k", "u", F.col("m.v").alias("v"), F.col("m.e").alias("e")), "least")
-        if not least.limit(1).count():
-            break
-        found = least.select("k", "e.a", "e.b", "e.w").distinct()
-        tree = found if tree is None else tree.unionByName(found)
-        node = lambda c: F.struct("k", F.col(c).alias("id"))
-        parts = components(least.select(node("u").alias("u"), node("v").alias("v"))).select(F.col("node.k").alias("k"), F.col("node.id").alias("id"), F.col("component.id").alias("part"))
-        for c in ("u", "v"):
-            left = left.join(parts.select("k", F.col("id").alias(c), F.col("part").alias(f"{c}_part")), ["k", c], "left").withColumn(c, F.coalesce(f"{c}_part", c)).drop(f"{c}_part")
-        left = left.where("u <> v").select("k", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "e")
-        left = materialize(left.groupBy("k", "u", "v").agg(F.min("e").alias("e")), "between")
-    return tree if tree is not None else edges
+        left = left[label[u[left]] != label[v[left]]]
+        if not len(left):
+            return order[kept]
+        best = np.full(len(ids), len(order))
+        np.minimum.at(best, label[u[left]], left)
+        np.minimum.at(best, label[v[left]], left)
+        parts = np.flatnonzero(best < len(order))
+        e = best[parts]
+        kept[e] = True
+        other = np.where(label[u[e]] == parts, label[v[e]], label[u[e]])
+        up = np.arange(len(ids))
+        up[parts] = other
+        last = parts[(up[other] == parts) & (parts < other)]  # two parts with one least edge
+        up[last] = last
+        while (up[up] != up).any():
+            up = up[up]
+        label = up[label]
+
+
+def boruvka(edges: DataFrame) -> DataFrame:
+    """A minimum spanning forest of edges (k, a, b, w). Each task leaves the forest of its own edges, which holds what the whole one has of
+    them; a key's forests, of some edges a point, then meet in one task, as the tree does afterwards."""
+
+    def forest(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.iloc[least_edges(rows["a"].to_numpy(np.int64), rows["b"].to_numpy(np.int64), rows["w"].to_numpy(float))]
+
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[object, list[pd.DataFrame]] = {}
+        most: dict[object, int] = {}
+        for batch in batches:
+            for k, rows in batch.groupby("k", sort=False):
+                held.setdefault(k, []).append(rows)
+                if sum(map(len, held[k])) > most.get(k, EDGES):
+                    held[k] = [forest(pd.concat(held[k]))]
+                    most[k] = max(EDGES, 2 * len(held[k][0]))
+        for k in held:
+            out = forest(pd.concat(held[k]))
+            yield out.assign(k=_of_key(out["k"].tolist()).to_numpy())
+
+    def of_key(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = forest(rows)
+        return pd.DataFrame({"k": _of_key([key[0]] * len(out)), **{c: out[c].to_numpy() for c in ("a", "b", "w")}})
+
+    kind = f"k {edges.schema['k'].dataType.simpleString()}, a bigint, b bigint, w double"
+    thinned = materialize(edges.select("k", "a", "b", "w").mapInPandas(thin, kind), "thinned")
+    return thinned.groupBy("k").applyInPandas(of_key, kind)
 
 
 def _across(asked: DataFrame, packed: DataFrame, metric: Metric, shrink: float) -> DataFrame:

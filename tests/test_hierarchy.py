@@ -123,3 +123,23 @@ def test_distances_grow_with_the_points(spark, tmp_path, monkeypatch):
         hierarchy.reachability_tree(packed, 2, metric, 1.0).count()
         made.append(np.loadtxt(file).sum())
     assert made[1] < 2.6 * made[0], made
+
+
+def test_a_forest_stores_one_table(spark, monkeypatch):
+    """The least edges of parts are joined within tasks: the tables stored don't grow with the rounds; the forest is Kruskal's."""
+    r = np.random.default_rng(4)
+    edges = sorted({(float(w), *sorted((int(a), int(b)))) for w, a, b in zip(r.integers(0, 50, 900), r.integers(0, 200, 900), r.integers(0, 200, 900), strict=True) if a != b})
+    up, want = list(range(200)), set()
+    for w, a, b in edges:
+        x, y = ([n for n in range(200) if up[n] == up[e]] for e in (a, b))
+        if up[a] != up[b]:
+            want.add((a, b, w))
+            for n in y:
+                up[n] = up[x[0]]
+    stored = []
+    store = hierarchy.materialize
+    monkeypatch.setattr(hierarchy, "materialize", lambda df, name: stored.append(name) or store(df, name))
+    rows = [(k, a, b, w) for k in ("a", "b") for w, a, b in edges]
+    got = hierarchy.boruvka(spark.createDataFrame(rows, "k string, a bigint, b bigint, w double").repartition(3)).collect()
+    assert {(x.k, min(x.a, x.b), max(x.a, x.b), x.w) for x in got} == {(k, *e) for k in ("a", "b") for e in want}
+    assert len(got) == 2 * len(want) and len(stored) == 1
